@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("rows",)
+MODULES = ("rows", "joins")
 
 
 def load() -> dict:
