@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("rows", "joins")
+MODULES = ("rows", "joins", "aggregates", "windows")
 
 
 def load() -> dict:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -87,8 +88,10 @@ HIST, NEW = "month_lag <= 0", "month_lag > 0"
 
 
 def with_views(*parts: str) -> str:
-    """``WITH`` the given views; the last part is the statement itself."""
-    return "WITH " + ",\n".join(parts[:-1]) + "\n" + parts[-1]
+    """``WITH`` the given views; the last part is the statement, which may open with a view of its own."""
+    *named, last = parts
+    own_view = re.match(r"\s*\w+ AS \(", last) is not None
+    return "WITH " + ",\n".join(named) + (",\n" if own_view else "\n") + last
 
 
 def money(column: str = "purchase_amount", where: str | None = None) -> str:

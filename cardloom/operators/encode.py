@@ -9,7 +9,8 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from cardloom.operators.ordering import position_in_group
-from cardloom.operators.pivots import pivot_values
+from cardloom.operators.pivots import pivot_values, value_name
+from cardloom.session import settle
 
 # Smoothing term and scale of the label rate.
 SMOOTHING = 0.01
@@ -45,7 +46,7 @@ def one_hot(df: DataFrame, columns: Sequence[str] | None = None, null_level: boo
     columns = columns or [f.name for f in df.schema if f.dataType.typeName() == "string"]
     made: dict[str, Column] = {}
     for c in columns:
-        made |= {f"{c}_{v}": F.coalesce((F.col(c) == F.lit(v)).cast("int"), F.lit(0)) for v in pivot_values(df, c)}
+        made |= {value_name(c, v): F.coalesce((F.col(c) == F.lit(v)).cast("int"), F.lit(0)) for v in pivot_values(df, c)}
         if null_level:
             made[f"{c}_nan"] = F.col(c).isNull().cast("int")
     encoded = df.withColumns(made)
@@ -60,33 +61,42 @@ def rate_name(keys: Sequence[str]) -> str:
     return "_".join(keys) + "_ctr"
 
 
-def rate_table(df: DataFrame, keys: Sequence[str], label: str) -> DataFrame:
-    """Smoothed label rate of each key value."""
-    return (df.where(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys]))
-            .groupBy(*keys).agg(smoothed(F.sum(label), F.count(label)).alias(rate_name(keys))))
+def key_sets(items: Sequence[str], pairs: bool = True) -> list[list[str]]:
+    """Every single key, and every pair of keys."""
+    return [[i] for i in items] + ([list(p) for p in combinations(items, 2)] if pairs else [])
+
+
+def label_cells(df: DataFrame, items: Sequence[str], label: str) -> DataFrame:
+    """Label sum and count per combination of all items, read from the rows once.
+
+    Every key set aggregates these cells again instead of the rows.
+    """
+    return settle(df.groupBy(*items).agg(F.sum(label).alias("_c"), F.count(label).alias("_n")))
+
 
+def _known(cells: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return cells.where(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys]))
 
-def key_sets(items: Sequence[str]) -> list[list[str]]:
-    """Every single key and every pair of keys."""
-    return [[i] for i in items] + [list(p) for p in combinations(items, 2)]
+
+def rate_table(cells: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Smoothed label rate of each key value."""
+    return _known(cells, keys).groupBy(*keys).agg(smoothed(F.sum("_c"), F.sum("_n")).alias(rate_name(keys)))
 
 
-def attach_rates(df: DataFrame, source: DataFrame, items: Sequence[str], label: str,
-                 pairs: bool = True) -> DataFrame:
+def attach_rates(df: DataFrame, source: DataFrame, items: Sequence[str], label: str, pairs: bool = True) -> DataFrame:
     """Label rates of single keys and key pairs, learned on ``source`` and joined to ``df``."""
-    for keys in key_sets(items) if pairs else [[i] for i in items]:
-        df = df.join(rate_table(source, keys, label), keys, "left")
+    cells = label_cells(source, items, label)
+    for keys in key_sets(items, pairs):
+        df = df.join(rate_table(cells, keys), keys, "left")
     return df
 
 
-def out_of_fold_table(df: DataFrame, keys: Sequence[str], label: str, fold: str) -> DataFrame:
+def out_of_fold_table(cells: DataFrame, keys: Sequence[str], fold: str) -> DataFrame:
     """Rate per (key, fold) learned outside that fold: key totals minus the fold's own part.
 
-    One aggregation by (key, fold); the totals come from its result. A key that occurs in one fold only has
-    no outside rows there and stays missing.
+    A key that occurs in one fold only has no outside rows there and stays missing.
     """
-    known = df.where(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys]))
-    part = known.groupBy(*keys, fold).agg(F.sum(label).alias("_c"), F.count(label).alias("_n"))
+    part = _known(cells, keys).groupBy(*keys, fold).agg(F.sum("_c").alias("_c"), F.sum("_n").alias("_n"))
     total = part.groupBy(*keys).agg(F.sum("_c").alias("_tc"), F.sum("_n").alias("_tn"))
     clicks, count = F.col("_tc") - F.coalesce("_c", F.lit(0)), F.col("_tn") - F.col("_n")
     return part.join(total, list(keys)).select(
@@ -94,8 +104,10 @@ def out_of_fold_table(df: DataFrame, keys: Sequence[str], label: str, fold: str)
 
 
 def attach_out_of_fold(df: DataFrame, items: Sequence[str], label: str, fold: str, pairs: bool = True) -> DataFrame:
-    for keys in key_sets(items) if pairs else [[i] for i in items]:
-        df = df.join(out_of_fold_table(df, keys, label, fold), [*keys, fold], "left")
+    """Rates of every key set, each row's own fold left out."""
+    cells = label_cells(df, [*items, fold], label)
+    for keys in key_sets(items, pairs):
+        df = df.join(out_of_fold_table(cells, keys, fold), [*keys, fold], "left")
     return df
 
 

@@ -20,12 +20,18 @@ def pivot_values(df: DataFrame, column: str, limit: int = MAX_PIVOT_VALUES) -> l
     return sorted(r[0] for r in rows)
 
 
+def value_name(column: str, value: object) -> str:
+    """Column name of one pivot value; whole floats read as integers and no name carries a dot."""
+    text = str(int(value)) if isinstance(value, float) and value.is_integer() else str(value)
+    return f"{column}_{text}".replace(".", "_")
+
+
 def sum_pivot(df: DataFrame, key: str, column: str, value: str, values: Sequence | None = None,
               name: Callable[[object], str] | None = None, extra: Sequence[Column] = (),
               count: bool = False) -> DataFrame:
     """Sum (or count) of ``value`` per key with one zero-filled column per pivot value."""
     values = pivot_values(df, column) if values is None else values
-    name = name or (lambda v: f"{column}_{v}")
+    name = name or (lambda v: value_name(column, v))
     scale = EXACT_SCALE.get(value)
 
     def cell(v: object) -> Column:
@@ -40,8 +46,8 @@ def share_pivot(df: DataFrame, key: str, column: str, value: str, values: Sequen
                 prefix: str = "") -> DataFrame:
     """Sums per pivot value and their shares of the key's total."""
     values = pivot_values(df, column) if values is None else values
-    names = [f"{prefix}{column}_{v}" for v in values]
-    wide = sum_pivot(df, key, column, value, values, lambda v: f"{prefix}{column}_{v}",
+    names = [f"{prefix}{value_name(column, v)}" for v in values]
+    wide = sum_pivot(df, key, column, value, values, lambda v: f"{prefix}{value_name(column, v)}",
                      [exact_sum(F.col(value), EXACT_SCALE.get(value)).alias("_total")])
     return wide.withColumns({f"{n}_ratio": ratio(F.col(n), F.col("_total")) for n in names}).drop("_total")
 
