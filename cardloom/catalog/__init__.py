@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("rows", "joins", "aggregates", "windows")
+MODULES = ("rows", "joins", "aggregates", "windows", "learning", "flows")
 
 
 def load() -> dict:

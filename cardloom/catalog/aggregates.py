@@ -127,13 +127,13 @@ def multi_statistic_table(spark, d):
 
 @query("D12a D12d", with_views(TXN, BASE_FEATURES, """
 SELECT card_id, """ + ", ".join(
-    f"round(CASE WHEN count({c}) < 3 THEN NULL WHEN min({c}) = max({c}) THEN 0 ELSE skewness({c}) END, 6) AS {c}_skew, "
+    f"round(CASE WHEN count({c}) < 3 THEN NULL WHEN min({c}) = max({c}) THEN 0 ELSE skewness({c}) END, 6) + 0.0 AS {c}_skew, "
     f"round(var_samp({c}), 6) AS {c}_var" for c in ("month_lag", "installments", "month_diff"))
     + " FROM bf GROUP BY card_id"))
 def skewness_and_variance(spark, d):
     columns = ("month_lag", "installments", "month_diff")
     table = multi_agg(base_features(spark, d), ["card_id"], [(c, ["skew", "var"]) for c in columns])
-    return table.withColumns({f"{c}_{s}": F.round(f"{c}_{s}", 6) for c in columns for s in ("skew", "var")})
+    return table.withColumns({f"{c}_{s}": F.round(f"{c}_{s}", 6) + 0.0 for c in columns for s in ("skew", "var")})
 
 
 @query("D13", with_views(TXN, """

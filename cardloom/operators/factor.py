@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from functools import partial
+
 import numpy as np
+import pandas as pd
 from pyspark.ml.functions import array_to_vector
 from pyspark.mllib.linalg.distributed import RowMatrix
 from pyspark.mllib.util import MLUtils
@@ -56,55 +60,58 @@ def nmf(cells: DataFrame, key: str, category: str, value: str, components: int =
         seed: int = 42, prefix: str = "nmf") -> tuple[DataFrame, np.ndarray, list[float]]:
     """Non-negative factors by multiplicative updates: card scores, component × category matrix, residuals.
 
-    The card side stays a DataFrame of one row per key with its own cells; the small side (components ×
-    categories) travels to the tasks as a literal. Each round is one narrow update and one aggregation that
-    combines before its shuffle. Card rows are checkpointed every round, since each round builds on the last.
+    The card side stays a DataFrame of one row per key with its own cells (at most one per category); only the
+    components × categories matrix visits the driver. Each round updates the rows in place, batch by batch, and
+    adds up small per-task products. Rows are checkpointed every round, since each round builds on the last.
     """
     categories = pivot_values(cells, category)
-    index = {c: j for j, c in enumerate(categories)}
-    codes = F.create_map(*[F.lit(x) for pair in index.items() for x in pair])
-    m = len(categories)
-    total = cells.agg(F.sum(F.col(value).cast("double")), F.count_distinct(key),
-                      F.sum(F.col(value).cast("double") * F.col(value).cast("double"))).first()
-    start = float(np.sqrt(total[0] / (total[1] * m) / components))
+    codes = F.create_map(*[F.lit(x) for j, c in enumerate(categories) for x in (c, j)])
+    m, amount = len(categories), F.col(value).cast("double")
+    mass, cards, square = cells.agg(F.sum(amount), F.count_distinct(key), F.sum(amount * amount)).first()
+    start = float(np.sqrt(mass / (cards * m) / components))
     h = np.random.default_rng(seed).random((components, m)) * start + 1e-9
     draws = [key_hash(key, seed + i) / F.lit(float(HASH_RANGE)) * start + 1e-9 for i in range(components)]
-    rows = settle(cells.groupBy(key).agg(F.collect_list(F.struct(
-        F.element_at(codes, F.col(category)).alias("j"), F.col(value).cast("double").alias("x"))).alias("cells"))
-        .withColumn("w", F.array(*draws)))
+    listed = F.collect_list(F.struct(F.element_at(codes, F.col(category)).alias("j"), amount.alias("x")))
+    rows = settle(cells.groupBy(key).agg(listed.alias("_l")).select(
+        key, F.col("_l.j").alias("j"), F.col("_l.x").alias("x"), F.array(*draws).alias("w")))
     residuals = []
     for _ in range(iterations):
-        rows = settle(_update_cards(rows, h))
-        wa, ww = _card_products(rows, components, m)
-        residuals.append(float(np.sqrt(max(total[2] - 2 * np.sum(wa * h) + np.sum(ww * (h @ h.T)), 0.0))))
+        rows = settle(rows.mapInPandas(partial(_update_cards, h=h), rows.schema))
+        sums = rows.select("j", "x", "w").mapInPandas(partial(_task_products, components=components, m=m),
+                                                      "i int, j int, v double")
+        both = np.zeros((components, m + components))
+        for i, j, v in sums.groupBy("i", "j").agg(F.sum("v")).collect():  # components × (m + components) cells
+            both[i, j] = v
+        wa, ww = both[:, :m], both[:, m:]
+        residuals.append(float(np.sqrt(max(square - 2 * np.sum(wa * h) + np.sum(ww * (h @ h.T)), 0.0))))
         h = h * wa / np.maximum(ww @ h, 1e-12)
     scores = rows.select(key, *[F.get("w", F.lit(i)).alias(f"{prefix}_{i}") for i in range(components)])
     return scores, h, residuals
 
 
-def _update_cards(rows: DataFrame, h: np.ndarray) -> DataFrame:
+def _flat(batch: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Row starts, category codes, amounts and card factors of one Arrow batch."""
+    sizes = batch["j"].map(len).to_numpy()
+    return (np.concatenate([[0], np.cumsum(sizes)[:-1]]), np.concatenate(batch["j"].to_list()),
+            np.concatenate(batch["x"].to_list()), np.stack(batch["w"].to_list()))
+
+
+def _update_cards(batches: Iterator[pd.DataFrame], h: np.ndarray) -> Iterator[pd.DataFrame]:
     """One multiplicative step of the card side: w * (a hᵀ) / (w h hᵀ)."""
-    hh = h @ h.T
-    updated = []
-    for i in range(h.shape[0]):
-        weights = F.array(*[F.lit(float(x)) for x in h[i]])
-        gain = F.aggregate("cells", F.lit(0.0), lambda acc, c, wts=weights: acc + c["x"] * F.get(wts, c["j"]))
-        loss = sum((F.get("w", F.lit(k)) * float(hh[k, i]) for k in range(1, h.shape[0])),
-                   F.get("w", F.lit(0)) * float(hh[0, i]))
-        updated.append(F.get("w", F.lit(i)) * gain / F.greatest(loss, F.lit(1e-12)))
-    return rows.withColumn("w", F.array(*updated))
-
-
-def _card_products(rows: DataFrame, components: int, m: int) -> tuple[np.ndarray, np.ndarray]:
-    """wᵀa (components × categories) and wᵀw, both small sums over all cards."""
-    wa = np.zeros((components, m))
-    exploded = rows.select("w", F.explode("cells").alias("c"))
-    for r in exploded.groupBy("c.j").agg(*[F.sum(F.get("w", F.lit(i)) * F.col("c.x")).alias(f"s{i}")
-                                           for i in range(components)]).collect():
-        wa[:, r[0]] = r[1:]
-    pairs = [(i, k) for i in range(components) for k in range(i, components)]
-    sums = rows.agg(*[F.sum(F.get("w", F.lit(i)) * F.get("w", F.lit(k))) for i, k in pairs]).first()
-    ww = np.zeros((components, components))
-    for (i, k), s in zip(pairs, sums):
-        ww[i, k] = ww[k, i] = s
-    return wa, ww
+    for batch in batches:
+        starts, j, x, w = _flat(batch)
+        gain = np.add.reduceat(x[:, None] * h.T[j], starts, axis=0)
+        batch["w"] = list(w * gain / np.maximum(w @ (h @ h.T), 1e-12))
+        yield batch
+
+
+def _task_products(batches: Iterator[pd.DataFrame], components: int, m: int) -> Iterator[pd.DataFrame]:
+    """wᵀa and wᵀw of one task, side by side, as (i, j, v) cells."""
+    total = np.zeros((components, m + components))
+    for batch in batches:
+        starts, j, x, w = _flat(batch)
+        owner = np.repeat(np.arange(len(batch)), np.diff(np.append(starts, len(j))))
+        np.add.at(total.T, j, x[:, None] * w[owner])
+        total[:, m:] += w.T @ w
+    i, j = np.nonzero(total)
+    yield pd.DataFrame({"i": i.astype("int32"), "j": j.astype("int32"), "v": total[i, j]})

@@ -6,10 +6,10 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.ml.classification import GBTClassifier
+from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import GBTRegressor
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
 from pyspark.sql import Column, DataFrame, functions as F
 
 from cardloom.operators.folds import validation_split
@@ -45,8 +45,8 @@ def _score(model, df: DataFrame, task: str, name: str) -> DataFrame:
     """Add the prediction, or the probability of class 1, as one plain column."""
     scored = model.transform(df)
     if task == "classification":
-        scored = scored.withColumn(name, vector_to_array("probability")[1])
-        return scored.drop("rawPrediction", "probability", "prediction")
+        positive = vector_to_array("probability")[1]
+        return scored.drop("prediction").withColumn(name, positive).drop("rawPrediction", "probability")
     return scored.withColumnRenamed("prediction", name)
 
 
@@ -80,8 +80,7 @@ def kfold_boosting(train: DataFrame, features: Sequence[str], label: str, fold:
         scored = stage(assemble(test, features, [key], vectors), "test")
         for f, model in enumerate(models):
             scored = _score(model, scored, task, f"_p{f}")
-        mean: Column = sum((F.col(f"_p{f}") for f in range(1, k)), F.col("_p0")) / k
-        averaged = scored.select(key, mean.alias("prediction"))
+        averaged = scored.select(key, _mean_of(k).alias("prediction"))
     return KFoldResult(oof, importance, averaged, models)
 
 
@@ -123,6 +122,35 @@ def token_vectors(counts: DataFrame, chosen: DataFrame, key: str, name: str = "t
     return VectorAssembler(inputCols=[f"t{i}" for i in range(len(listed))], outputCol=name).transform(wide).select(key, name)
 
 
+def save_models(models: Sequence, path: str) -> None:
+    """Store one fitted model per fold."""
+    for f, model in enumerate(models):
+        model.write().overwrite().save(f"{path}/fold_{f}")
+
+
+def load_models(path: str, folds: int, task: str) -> list:
+    kind = {"regression": GBTRegressionModel, "classification": GBTClassificationModel}[task]
+    return [kind.load(f"{path}/fold_{f}") for f in range(folds)]
+
+
+def average_scores(df: DataFrame, features: Sequence[str], models: Sequence, task: str, key: str = "card_id") -> DataFrame:
+    """Mean prediction of several models per row."""
+    scored = stage(assemble(df, features, [key]), "scored")
+    for f, model in enumerate(models):
+        scored = _score(model, scored, task, f"_p{f}")
+    return scored.select(key, _mean_of(len(models)).alias("prediction"))
+
+
+def _mean_of(k: int) -> Column:
+    return sum((F.col(f"_p{f}") for f in range(1, k)), F.col("_p0")) / k
+
+
+def with_vectors(df: DataFrame, vectors: DataFrame, key: str, name: str, size: int) -> DataFrame:
+    """Attach token vectors; a row without tokens gets the all-zero vector."""
+    zeros = array_to_vector(F.array_repeat(F.lit(0.0), size))
+    return df.join(vectors, key, "left").withColumn(name, F.coalesce(name, zeros))
+
+
 def stack(tables: Sequence[DataFrame], key: str = "card_id", label: str | None = None) -> DataFrame:
     """Out-of-fold scores of several models side by side, as inputs of a second-level model."""
     renamed = [t.select(key, F.col("prediction").alias(f"score_{i}")) for i, t in enumerate(tables)]

@@ -130,6 +130,16 @@ def top_features(importance: DataFrame, n: int) -> DataFrame:
             .orderBy(F.desc("importance"), "feature").limit(n))
 
 
+def zero_importance(importance: DataFrame) -> DataFrame:
+    """Features whose mean importance is zero."""
+    return importance.where(F.col("importance") == 0)
+
+
+def low_importance(shares: DataFrame, cumulative: float) -> DataFrame:
+    """Features beyond the running share that the more important ones already reach."""
+    return shares.where(F.col("cumulative_importance") > cumulative)
+
+
 class FeatureSelector:
     """Five removal methods over one feature table, and the table without what they found."""
 
@@ -168,13 +178,12 @@ class FeatureSelector:
         importance = boosted_importance(data, numeric_columns(data, (self.key, self.label)), self.label, self.key,
                                         task, runs, early_stopping, **params)
         self.tables["importance"] = cumulative_share(importance, "importance", "feature")
-        zero = importance.where(F.col("importance") == 0)
-        return self._record("zero_importance", sorted(r["feature"] for r in zero.collect()))
+        return self._record("zero_importance", sorted(r["feature"] for r in zero_importance(importance).collect()))
 
     def identify_low_importance(self, cumulative: float) -> list[str]:
         if "importance" not in self.tables:
             raise NotImplementedError("run identify_zero_importance first")
-        low = self.tables["importance"].where(F.col("cumulative_importance") > cumulative)
+        low = low_importance(self.tables["importance"], cumulative)
         return self._record("low_importance", sorted(r["feature"] for r in low.collect()))
 
     def identify_all(self, params: Mapping[str, object]) -> list[str]:

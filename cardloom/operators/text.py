@@ -34,7 +34,7 @@ def chi_square(counts: DataFrame, labels: DataFrame, key: str, label: str) -> Da
     The expected mass of a class is its share of the labelled rows times the token's total mass.
     """
     labels = labels.where(F.col(label).isNotNull()).select(key, F.col(label).alias("_y"))
-    classes = labels.groupBy("_y").agg(F.count(F.lit(1)).alias("_n")).collect()  # one row per class
+    classes = labels.groupBy("_y").agg(F.count(F.lit(1)).alias("_n")).orderBy("_y").collect()  # one row per class
     rows = sum(c["_n"] for c in classes)
     total = F.sum("n")
     terms = []
