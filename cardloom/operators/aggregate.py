@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from cardloom.operators.ordering import hot_keys, hot_medians, same_keys
+from cardloom.operators.ordering import hot_keys, hot_medians, split_hot
 
 Spec = Sequence[tuple[str, Sequence[str]]]
 
@@ -50,6 +51,16 @@ def statistic(column: Column, stat: str, scale: int | None = None, where: Column
     return simple[stat](value)
 
 
+@dataclass(frozen=True, eq=False)
+class Part:
+    """One output column of an aggregation."""
+
+    name: str
+    column: str
+    stat: str
+    where: Column | None
+
+
 def flatten(spec: Spec, prefix: str, suffix: str = "") -> list[tuple[str, str, str]]:
     """(output name, column, statistic) triples; a name that appears twice is an error."""
     triples = [(f"{prefix}{c}_{s}{suffix}", c, s) for c, stats in spec for s in stats]
@@ -60,47 +71,69 @@ def flatten(spec: Spec, prefix: str, suffix: str = "") -> list[tuple[str, str, s
     return triples
 
 
+def value_groups(df: DataFrame, keys: Sequence[str], columns: Sequence[str],
+                 aggregates: Mapping[str, Column]) -> tuple[DataFrame, dict[str, Column]]:
+    """Aggregates per (key, value) for several columns at once, and the row condition of each column's part.
+
+    Grouping sets read the table once; equal values combine before the shuffle.
+    """
+    columns = list(columns)
+    groups = df.groupingSets([[*keys, c] for c in columns], *keys, *columns).agg(
+        F.grouping_id().alias("_set"), *[a.alias(n) for n, a in aggregates.items()])
+    every = 2 ** len(columns) - 1
+    return groups, {c: F.col("_set") == F.lit(every - 2 ** (len(columns) - 1 - i)) for i, c in enumerate(columns)}
+
+
+def _distinct_counts(df: DataFrame, keys: Sequence[str], parts: Sequence[Part]) -> DataFrame:
+    """Exact distinct counts of many columns and slices: one row per value first, then a plain count."""
+    flags = {f"_w{i}": p.where for i, p in enumerate(parts)}
+    groups, chosen = value_groups(df, keys, dict.fromkeys(p.column for p in parts), {
+        n: F.lit(True) if where is None else F.coalesce(F.bool_or(where), F.lit(False)) for n, where in flags.items()})
+    return groups.groupBy(*keys).agg(*[
+        F.count(F.when(chosen[p.column] & F.col(f"_w{i}"), F.col(p.column))).alias(p.name) for i, p in enumerate(parts)])
+
+
+def _medians(df: DataFrame, keys: Sequence[str], parts: Sequence[Part], hot: DataFrame | None) -> DataFrame:
+    """Exact medians: a buffer per ordinary group, distributed ranks for hot groups."""
+    def expressions() -> list[Column]:
+        return [statistic(F.col(p.column), "median", None, p.where).alias(p.name) for p in parts]
+
+    if hot is None:
+        return df.groupBy(*keys).agg(*expressions())
+    cold, heavy = split_hot(df, keys, hot)
+    heavy = heavy.select(*keys, *[(F.col(p.column) if p.where is None else F.when(p.where, F.col(p.column))).alias(p.name)
+                                  for p in parts])
+    ranked = hot_medians(heavy, keys, [p.name for p in parts])
+    return cold.groupBy(*keys).agg(*expressions()).unionByName(
+        ranked.withColumnsRenamed({f"_median_{p.name}": p.name for p in parts}))
+
+
 def multi_agg(df: DataFrame, keys: Sequence[str], spec: Spec, prefix: str = "",
               slices: Mapping[str, Column] | None = None, exact: Mapping[str, int] | None = None,
-              batch: int = 100, hot_rows: int | None = None, hot: DataFrame | None = None) -> DataFrame:
+              batch: int = 30, hot_rows: int | None = None, hot: DataFrame | None = None) -> DataFrame:
     """Grouped statistics named ``{prefix}{column}_{stat}{slice}``, all slices in the same pass.
 
-    ``slices`` maps a name suffix to a row condition: overlapping slices become conditional aggregates, so
-    the table is read once however many there are. Very wide lists are cut into ``batch``-sized aggregations
-    on the same key, whose results are co-partitioned and join without another shuffle. Rows with a missing
-    key form no group. Medians of hot groups are taken by distributed rank instead of a per-group buffer.
+    ``slices`` maps a name suffix to a row condition: overlapping slices become conditional aggregates, so none
+    of them reads the table for itself. Long lists are cut into ``batch``-sized aggregations, because one very
+    wide aggregation leaves compiled code; their results are partitioned by the same key and join without
+    another shuffle. Give a stored table, since each batch scans its own columns of it. Distinct counts and
+    medians run apart, so that they do not slow the others down. Rows with a missing key form no group.
     """
     exact = EXACT_SCALE if exact is None else exact
     df = df.where(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys]))
-    parts = [(name, c, s, where)
-             for suffix, where in (slices or {"": None}).items()
+    parts = [Part(name, c, s, where) for suffix, where in (slices or {"": None}).items()
              for name, c, s in flatten(spec, prefix, suffix)]
-    medians = {name: (c, where) for name, c, s, where in parts if s == "median"}
-    if medians and hot is None:
-        hot = hot_keys(df, keys, hot_rows)
-    rescue = hot is not None and bool(medians)
-    if rescue:
-        flagged = F.broadcast(hot.withColumn("_hot", F.lit(True)).alias("r"))
-        df = (df.alias("l").join(flagged, same_keys(keys, "l", "r"), "left")
-              .select("l.*", F.col("r._hot").alias("_hot")))
-
-    def expression(name: str, c: str, s: str, where: Column | None) -> Column:
-        if rescue and s == "median":
-            cold = F.col("_hot").isNull()
-            where = cold if where is None else cold & where
-        return statistic(F.col(c), s, exact.get(c), where).alias(name)
-
-    chunks = [parts[i:i + batch] for i in range(0, len(parts), batch)]
-    tables = [df.groupBy(*keys).agg(*[expression(*p) for p in chunk]) for chunk in chunks]
-    result = reduce(lambda a, b: a.join(b, list(keys)), tables)
-    if rescue:
-        heavy = df.where("_hot").withColumns({
-            name: F.col(c) if where is None else F.when(where, F.col(c)) for name, (c, where) in medians.items()})
-        exact_medians = F.broadcast(hot_medians(heavy, keys, list(medians)))  # one row per hot key
-        result = result.join(exact_medians, list(keys), "left")
-        result = result.withColumns({m: F.coalesce(m, f"_median_{m}") for m in medians})
-        result = result.drop(*[f"_median_{m}" for m in medians])
-    return result
+    distinct = [p for p in parts if p.stat == "nunique" and p.column not in keys]
+    medians = [p for p in parts if p.stat == "median"]
+    plain = [p for p in parts if p not in distinct and p not in medians]
+    tables = [df.groupBy(*keys).agg(*[statistic(F.col(p.column), p.stat, exact.get(p.column), p.where).alias(p.name)
+                                      for p in plain[i:i + batch]]) for i in range(0, len(plain), batch)]
+    if distinct:
+        tables.append(_distinct_counts(df, keys, distinct))
+    if medians:
+        hot = hot if hot is not None else hot_keys(df, keys, hot_rows)
+        tables += [_medians(df, keys, medians[i:i + batch], hot) for i in range(0, len(medians), batch)]
+    return reduce(lambda a, b: a.join(b, list(keys)), tables).select(*keys, *[p.name for p in parts])
 
 
 def attach(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -135,22 +168,16 @@ def category_profile(rows: DataFrame, keys: Sequence[str], columns: Sequence[str
                      stats: Sequence[str] = PROFILE, prefix: str = "") -> DataFrame:
     """Most frequent value, number of values, and both relative to the rows, for many columns at once.
 
-    A missing value counts as a value. Ties go to the smallest value, a missing one first. Columns travel in
-    long form through two aggregations: (key, column, value) counts, then one row per key.
+    A missing value counts as a value. Ties go to the smallest value, a missing one first. All columns share two
+    aggregations: counts per (key, value), then one row per key.
     """
     rows = rows.where(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys]))
-    slots = {c: F.when(F.col("_c") == i, F.col(f"_v.{c}")) for i, c in enumerate(columns)}
-    entries = F.array(*[F.struct(F.lit(i).alias("_c"), F.struct(*[
-        (F.col(c) if i == j else F.lit(None).cast(rows.schema[c].dataType)).alias(c)
-        for j, c in enumerate(columns)]).alias("_v")) for i in range(len(columns))])
-    counts = (rows.select(*keys, F.explode(entries).alias("_e")).select(*keys, "_e.*")
-              .groupBy(*keys, "_c", "_v").agg(F.count(F.lit(1)).alias("_n")))
+    counts, chosen = value_groups(rows, keys, columns, {"_n": F.count(F.lit(1))})
     out = []
-    for i, c in enumerate(columns):
-        mine = F.col("_c") == i
-        size = F.sum(F.when(mine, F.col("_n")))
-        distinct = F.count(F.when(mine, F.lit(1)))
-        best = F.min(F.when(mine, F.struct((-F.col("_n")).alias("n"), slots[c].alias("v"))))
+    for c in columns:
+        size = F.sum(F.when(chosen[c], F.col("_n")))
+        distinct = F.count(F.when(chosen[c], F.lit(1)))
+        best = F.min(F.when(chosen[c], F.struct((-F.col("_n")).alias("n"), F.col(c).alias("v"))))
         made = {"mode": best.getField("v"), "nunique": distinct,
                 "mode_ratio": -best.getField("n") / size, "nunique_ratio": distinct / size}
         out += [made[s].alias(f"{prefix}{c}_{s}") for s in stats]

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 from cardloom.functions.clean import ratio
 from cardloom.functions.dates import BASE_DATE, floor_days, timestamp
 from cardloom.operators.aggregate import Spec, attach, multi_agg
+from cardloom.operators.joins import full_outer
 from cardloom.operators.ratios import history, recent
 
 PERIODS = ("hist", "new")
@@ -18,17 +19,13 @@ PAIR_GUARD = 0.01
 
 
 def period_table(rows: DataFrame, key: str, spec: Spec, **options) -> DataFrame:
-    """``hist_*`` and ``new_*`` statistics per key in one pass, as two separate tables joined would give.
+    """``hist_*`` and ``new_*`` statistics per key; a period without rows leaves all its columns missing.
 
-    A period without rows leaves all its columns missing, counts and sums included.
+    The two periods share no row, so each is filtered and aggregated for itself (the filter reaches the scan)
+    and the results, partitioned by the same key, meet in a full outer join.
     """
-    table = multi_agg(rows, [key], [*spec, ("month_lag", ["size"])], slices={"@hist": history(), "@new": recent()}, **options)
-    out = []
-    for c in table.columns:
-        if "@" in c and not c.startswith("month_lag_size"):
-            name, period = c.split("@")
-            out.append(F.when(F.col(f"month_lag_size@{period}") > 0, F.col(f"`{c}`")).alias(f"{period}_{name}"))
-    return table.select(key, *out)
+    parts = {"hist_": history(), "new_": recent()}
+    return full_outer([key], *[multi_agg(rows.where(where), [key], spec, prefix, **options) for prefix, where in parts.items()])
 
 
 def span_features(df: DataFrame, prefix: str, as_of: str, ts: str = "purchase_date", size: str = "card_id_size") -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from cardloom.functions.clean import ratio
-from cardloom.operators.aggregate import EXACT_SCALE, exact_sum, multi_agg, statistic, two_level
+from cardloom.operators.aggregate import EXACT_SCALE, exact_sum, multi_agg, statistic, two_level, value_groups
 
 
 def history() -> Column:
@@ -47,19 +47,18 @@ def _history_rows() -> Column:
 def distinct_ratios(df: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
     """Number of values in the new period over their number in history; a missing value counts as one.
 
-    One long aggregation serves all columns; cards without new rows get 0.
+    One aggregation by value serves all columns; cards without new rows get 0.
     """
-    entries = F.array(*[F.struct(F.lit(c).alias("_c"), F.col(c).cast("string").alias("_v")) for c in columns])
-    long = df.where(F.col(key).isNotNull()).select(key, "month_lag", F.explode(entries).alias("_e"))
-    seen = long.groupBy(key, "_e._c", "_e._v").agg(
-        F.bool_or(history()).alias("_h"), F.bool_or(recent()).alias("_r"))
+    groups, chosen = value_groups(df.where(F.col(key).isNotNull()), [key], columns,
+                                  {"_h": F.bool_or(history()), "_r": F.bool_or(recent())})
 
     def number(column: str, flag: str) -> Column:
-        return F.count(F.when((F.col("_c") == column) & F.col(flag), F.lit(1)))
+        return F.count(F.when(chosen[column] & F.col(flag), F.lit(1)))
 
-    table = seen.groupBy(key).agg(
+    table = groups.groupBy(key).agg(
         F.count(F.when(F.col("_h"), F.lit(1))).alias("_hist_rows"),
-        *[F.coalesce(ratio(number(c, "_r"), number(c, "_h")), F.lit(0.0)).alias(f"new_hist_{c}_counts_ratio") for c in columns])
+        *[F.coalesce(ratio(number(c, "_r"), number(c, "_h")), F.lit(0.0)).alias(f"new_hist_{c}_counts_ratio")
+          for c in columns])
     return _with_history(table)
 
 

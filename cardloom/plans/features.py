@@ -71,7 +71,8 @@ def baseline_rows(txn: DataFrame, setting: Setting) -> DataFrame:
 def with_category_means(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Mean amount of each category value within the row's own period, on each row.
 
-    All category columns and both periods come from one aggregation over the few distinct combinations.
+    ``rows`` must be a stored table. All category columns and both periods come from one aggregation over the few
+    distinct combinations; batches of statistics that do not use the means drop the joins.
     """
     period = history().alias("_hist")
     scale = aggregate.EXACT_SCALE["purchase_amount"]
@@ -99,10 +100,9 @@ def card_columns(cards: DataFrame, as_of: str) -> DataFrame:
 def baseline_features(cards: DataFrame, txn: DataFrame, setting: Setting) -> DataFrame:
     """The whole baseline table: card columns, history and new statistics, spans, totals and lifetime value.
 
-    History and new period are conditional aggregates of the same pass, so the transactions are scanned for the
-    statistics once and joined to the cards once.
+    The prepared transactions are written once; every batch of statistics then scans only its own columns.
     """
-    rows = with_category_means(baseline_rows(txn, setting), ["category_2", "category_3"])
+    rows = with_category_means(stage(baseline_rows(txn, setting), "baseline_rows"), ["category_2", "category_3"])
     spec = BASELINE_SPEC + [(e, ["mean"]) for e in setting.events]
     table = combine.period_table(rows, "card_id", spec, hot_rows=setting.hot_rows)
     for prefix in ("hist_", "new_"):

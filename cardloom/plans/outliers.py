@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
 
 from cardloom.functions import clean, dates
 from cardloom.operators import combine, encode, folds, metrics, models, text
-from cardloom.operators.aggregate import attach, group_transform
+from cardloom.operators.aggregate import attach, multi_agg
 from cardloom.operators.ratios import history, recent
 from cardloom.operators.select import numeric_columns
 from cardloom.plans.features import Setting
@@ -16,7 +17,7 @@ from cardloom.sources.tables import stage
 
 RATE_ITEMS = ["feature_1", "feature_2", "feature_3", "new_month_diff_mean", "hist_month_diff_mean", "hist_month_diff_max", "hist_month_diff_min"]
 MEAN_COLUMNS = ["month", "hour", "weekofyear", "weekday", "year", "subsector_id", "merchant_id", "merchant_category_id",
-                "category_1", "category_2", "category_3", "month_lag", "card_id"]
+                "category_1", "category_2", "category_3", "month_lag"]
 COUNT_COLUMNS = ["month", "day", "hour", "weekofyear", "weekday", "year", "subsector_id", "merchant_id", "merchant_category_id"]
 TEXT_COLUMNS = ["authorized_flag", "category_1", "installments", "category_3", "merchant_category_id", "merchant_id",
                 "category_2", "state_id", "subsector_id"]
@@ -32,11 +33,22 @@ def outlier_rows(txn: DataFrame, setting: Setting) -> DataFrame:
     })
 
 
+def with_group_means(rows: DataFrame, columns: Sequence[str], value: str = "purchase_amount") -> DataFrame:
+    """Mean amount of each column's own value within the row's period, on each row.
+
+    ``rows`` must be a stored table: every mean is taken from it, not from the growing join. Batches of statistics
+    that do not use the means drop the joins.
+    """
+    wide = rows.withColumn("_period", history())
+    for c in columns:
+        means = multi_agg(rows.withColumn("_period", history()), ["_period", c], [(value, ["mean"])])
+        wide = wide.join(means.withColumnRenamed(f"{value}_mean", f"{c}_amount_mean"), ["_period", c], "left")
+    return wide.drop("_period")
+
+
 def outlier_features(cards: DataFrame, txn: DataFrame, setting: Setting) -> DataFrame:
     """Per-card aggregates of both periods, date gaps, inactivity, spend change and all pairwise combinations."""
-    rows = outlier_rows(txn, setting).withColumn("_period", history())
-    for c in MEAN_COLUMNS:
-        rows = group_transform(rows, ["_period", c], "purchase_amount", {f"{c}_amount_mean": "mean"})
+    rows = with_group_means(stage(outlier_rows(txn, setting), "outlier_rows"), MEAN_COLUMNS)
     spec = [(f"{c}_amount_mean", ["mean"]) for c in MEAN_COLUMNS] + [(c, ["nunique"]) for c in COUNT_COLUMNS] + [
         ("purchase_amount", ["sum", "max", "min", "mean", "var"]), ("installments", ["sum", "max", "min", "mean", "var"]),
         ("purchase_date", ["max", "min"]), ("month_lag", ["max", "min", "mean", "var"]),
@@ -45,10 +57,11 @@ def outlier_features(cards: DataFrame, txn: DataFrame, setting: Setting) -> Data
     table = combine.period_table(rows, "card_id", spec, hot_rows=setting.hot_rows)
     for prefix in ("hist_", "new_"):
         table = combine.span_features(table, prefix, setting.as_of)
+        # The mean of a card's own mean over its rows is that mean again: no join by card is needed.
+        table = table.withColumn(f"{prefix}card_id_amount_mean_mean", F.col(f"{prefix}purchase_amount_mean"))
     table = attach(cards.withColumn("elapsed_time", dates.tenure(F.col("first_active_month"), setting.as_of)), table, ["card_id"])
     table = combine.spend_change(combine.inactivity(combine.active_month_gaps(table)))
-    table = stage(table, "outlier_features")
-    return combine.pair_columns(table)
+    return combine.pair_columns(stage(table, "outlier_features"))
 
 
 def rate_encoded(table: DataFrame, k: int = 5, seed: int = 4590) -> DataFrame:
