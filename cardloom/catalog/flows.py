@@ -32,7 +32,7 @@ def comparable(df: DataFrame) -> DataFrame:
     """Doubles to eight digits; skewness, which may cancel to nearly nothing, to six decimals."""
     def shown(name: str) -> Column:
         return F.round(name, 6) + 0.0 if name.endswith("_skew") else digits(F.col(name))
-    return df.withColumns({f.name: shown(f.name) for f in df.schema if f.dataType.typeName() == "double"})
+    return df.withColumns({f.name: shown(f.name) for f in df.schema if f.dataType.typeName() == "double" and f.name != "target"})
 
 
 # --- the SQL of the baseline table ------------------------------------------------------------------------------

@@ -271,9 +271,10 @@ def fill_with_mode(df: DataFrame, column: str) -> DataFrame:
     return df.withColumn(column, F.coalesce(column, mode.scalar()))
 
 
-def fill_with_mean(df: DataFrame, column: str) -> DataFrame:
-    """Fill missing values with the mean of the present ones."""
-    return df.withColumn(column, F.coalesce(F.col(column).cast("double"), df.agg(F.avg(column)).scalar()))
+def fill_with_mean(df: DataFrame, *columns: str) -> DataFrame:
+    """Fill missing values with the mean of the present ones; one pass finds the means of all columns."""
+    means = df.agg(*[F.avg(c).alias(c) for c in columns]).first()
+    return df.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(means[c])) for c in columns})
 
 
 def fill_from_row(df: DataFrame, column: str, key: str, chosen: object) -> DataFrame:

@@ -8,6 +8,7 @@ piece to piece. The carries number as many as the pieces, never as the rows.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -15,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from cardloom.session import settle
 
 HOT_ROWS = 1_000_000
+NEVER_HOT = sys.maxsize  # for callers that know no group is long: skips the detection
 MAX_HOT_KEYS = 1000
 _PIECE, _POS = "_piece", "_pos"
 
@@ -26,6 +28,8 @@ def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int | None = None) ->
     the result may therefore be broadcast.
     """
     hot_rows = HOT_ROWS if hot_rows is None else hot_rows
+    if hot_rows == NEVER_HOT:
+        return None
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     largest, total = counts.agg(F.max("_n"), F.sum("_n")).first()
     if largest is None or largest <= hot_rows:

@@ -12,6 +12,7 @@ from cardloom.operators.aggregate import fill_with_mean, multi_agg
 from cardloom.operators.ordering import previous_in_group, running_totals
 
 Group = Sequence[str]
+GAP_COLUMNS = ("purchase_time_diff_days", "purchase_time_diff_seconds")
 
 
 def lag_ratio(df: DataFrame, group: Group, order: Sequence[str], value: str, name: str, **options) -> DataFrame:
@@ -58,9 +59,7 @@ def purchase_gaps(df: DataFrame, group: Group, order: Sequence[str], ts: str, fi
         "purchase_time_diff_days": floor_days(F.col(ts), F.col("_p")),
         "purchase_time_diff_seconds": day_seconds(F.col(ts), F.col("_p")),
     }).drop("_p")
-    if not fill_mean:
-        return rows
-    return fill_with_mean(fill_with_mean(rows, "purchase_time_diff_days"), "purchase_time_diff_seconds")
+    return fill_with_mean(rows, *GAP_COLUMNS) if fill_mean else rows
 
 
 def cumulative_share(df: DataFrame, value: str, name_column: str) -> DataFrame:

@@ -7,14 +7,14 @@ so a lost executor costs one stage at most.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, functions as F
 
 from cardloom.functions import clean, dates
 from cardloom.operators import aggregate, combine, encode, joins, pivots, ratios, sequences, windows
 from cardloom.operators.aggregate import attach, attach_all, multi_agg
-from cardloom.operators.ordering import hot_keys
+from cardloom.operators.ordering import NEVER_HOT, hot_keys
 from cardloom.operators.ratios import authorised_history, history, lag_slices, recent
 from cardloom.sources.tables import stage
 
@@ -36,6 +36,13 @@ class Setting:
     hot_rows: int | None = None
 
 
+def with_known_skew(rows: DataFrame, setting: Setting) -> Setting:
+    """One detection for a whole chain: where no card is hot, no group inside a card is."""
+    if hot_keys(rows, ["card_id"], setting.hot_rows) is None:
+        return replace(setting, hot_rows=NEVER_HOT)
+    return setting
+
+
 # --- baseline -----------------------------------------------------------------------------------------------------
 
 BASELINE_SPEC = [
@@ -102,7 +109,9 @@ def baseline_features(cards: DataFrame, txn: DataFrame, setting: Setting) -> Dat
 
     The prepared transactions are written once; every batch of statistics then scans only its own columns.
     """
-    rows = with_category_means(stage(baseline_rows(txn, setting), "baseline_rows"), ["category_2", "category_3"])
+    rows = stage(baseline_rows(txn, setting), "baseline_rows")
+    setting = with_known_skew(rows, setting)
+    rows = with_category_means(rows, ["category_2", "category_3"])
     spec = BASELINE_SPEC + [(e, ["mean"]) for e in setting.events]
     table = combine.period_table(rows, "card_id", spec, hot_rows=setting.hot_rows)
     for prefix in ("hist_", "new_"):
@@ -121,24 +130,28 @@ CODE_COLUMNS = [*INTERACTIONS, "authorized_flag", "merchant_id", "city_id", "cat
 
 
 def stage_one_rows(txn: DataFrame, holidays: DataFrame, setting: Setting) -> DataFrame:
-    """Clean, code and date every transaction; the table all later stages read."""
+    """Clean, code and date every transaction; the table all later stages read.
+
+    It is written twice: before the label codes and windows, which need passes of their own over it, and after.
+    """
     rows = aggregate.fill_with_mode(txn, "merchant_id")
     rows = rows.withColumns(clean.interaction_keys())
-    rows = encode.label_encode(rows, INTERACTIONS)
     rows = clean.clean_transactions(rows, 6.0, "B", setting.missing_merchant, {-1: 1, 999: 0})
     rows = dates.date_parts(rows, "purchase_date", ["month", "hour", "weekofyear", "weekday", "weekend", "year"])
     rows = rows.withColumns({"day_gap": dates.day_gap(F.col("purchase_date"), setting.base_date),
-                             "month_gap": dates.month_gap(F.col("purchase_date"), setting.base_date)})
-    rows = dates.days_to_holiday(rows, "purchase_date", holidays)
-    return windows.purchase_gaps(rows, ["card_id"], setting.order, "purchase_date", hot_rows=setting.hot_rows)
+                             "month_gap": dates.month_gap(F.col("purchase_date"), setting.base_date),
+                             "_new": recent()})
+    rows = stage(dates.days_to_holiday(rows, "purchase_date", holidays), "clean")
+    setting = with_known_skew(rows, setting)
+    rows = encode.label_encode(rows, INTERACTIONS)
+    rows = windows.purchase_gaps(rows, ["card_id"], setting.order, "purchase_date", fill_mean=False, hot_rows=setting.hot_rows)
+    rows = windows.difference(rows, ["card_id", "_new"], setting.order, "purchase_amount", "purchase_diff", hot_rows=setting.hot_rows)
+    return aggregate.fill_with_mean(stage(rows.drop("_new"), "transactions"), *windows.GAP_COLUMNS)
 
 
 def stage_one(cards: DataFrame, rows: DataFrame, setting: Setting) -> DataFrame:
     """Windowed statistics per card: authorised and refused history by lag, new period by lag, profiles, pivots."""
     rows = clean.indicators(clean.indicators(rows, "category_3", [0, 1, 2]), "category_2", [1, 2, 3, 4, 5, 6])
-    hot = hot_keys(rows, ["card_id"], setting.hot_rows)
-    rows = windows.difference(rows.withColumn("_new", recent()), ["card_id", "_new"], setting.order, "purchase_amount",
-                              "purchase_diff", hot_rows=setting.hot_rows)
     parts = {"hist_auth_Y": authorised_history(1), "hist_auth_N": authorised_history(0), "new": recent()}
     lag_spec = [("purchase_amount", ["mean", "max", "median", "sum", "std", "count"]),
                 ("installments", ["mean", "max", "sum", "count"]),
@@ -150,30 +163,42 @@ def stage_one(cards: DataFrame, rows: DataFrame, setting: Setting) -> DataFrame:
                   *[(f"category_2_{v}", ["sum"]) for v in (1, 2, 3, 4, 5, 6)]]
     slices = {f"_{part}{suffix}": where for part, base in parts.items()
               for suffix, where in lag_slices(base, NEW_LAGS if part == "new" else HIST_LAGS).items()}
-    tables = [multi_agg(rows, ["card_id"], lag_spec, slices=slices, hot=hot, hot_rows=setting.hot_rows),
-              multi_agg(rows, ["card_id"], whole_spec, slices={f"_{p}": w for p, w in parts.items()}),
-              combine.purchase_spans(cards, rows, setting.base_date),
-              ratios.mean_to_current(rows, "card_id", "purchase_amount", HIST_LAGS, NEW_LAGS, authorised_history(1)),
-              aggregate.frequency(rows.where(history()), "card_id", "hist_card_id_counts", "hist_card_id_ratio"),
-              aggregate.frequency(rows.where(recent()), "card_id", "new_card_id_counts", "new_card_id_ratio")]
-    for part, where in parts.items():
-        mine = rows.where(where)
-        profiled = ["month", "month_gap", "weekday", "purchase_time_diff_seconds", "purchase_time_diff_days", *CODE_COLUMNS]
-        tables += [aggregate.category_profile(mine, ["card_id"], profiled, prefix=f"{part}_"),
-                   aggregate.repurchase_ratio(mine, "card_id", ["merchant_id"], "purchase_amount", f"{part}_repurchase_merchant_ratio"),
-                   aggregate.repurchase_ratio(mine, "card_id", ["merchant_category_id"], "purchase_amount", f"{part}_repurchase_merCate_ratio"),
-                   pivots.sum_pivot(mine, "card_id", "month_gap", "purchase_amount", name=lambda g, p=part: f"{p}_month{g}_purchase"),
-                   multi_agg(windows.lag_ratio(mine, ["card_id"], setting.order, "purchase_amount", f"{part}_purchase_shift_ratio",
-                                               hot_rows=setting.hot_rows),
-                             ["card_id"], [(f"{part}_purchase_shift_ratio", ["max"])])]
+    keys = cards.select("card_id")
+
+    def together(name: str, tables: Sequence[DataFrame]) -> DataFrame:
+        """Join one family of tables and write it: smaller plans, and less to repeat when an executor is lost."""
+        return stage(attach_all(keys, tables, ["card_id"]), name)
+
+    families = [
+        together("lag_statistics", [multi_agg(rows, ["card_id"], lag_spec, slices=slices, hot_rows=setting.hot_rows)]),
+        together("whole_statistics", [
+            multi_agg(rows, ["card_id"], whole_spec, slices={f"_{p}": w for p, w in parts.items()}),
+            combine.purchase_spans(cards, rows, setting.base_date),
+            ratios.mean_to_current(rows, "card_id", "purchase_amount", HIST_LAGS, NEW_LAGS, authorised_history(1)),
+            aggregate.frequency(rows.where(history()), "card_id", "hist_card_id_counts", "hist_card_id_ratio"),
+            aggregate.frequency(rows.where(recent()), "card_id", "new_card_id_counts", "new_card_id_ratio")]),
+        *[together(part, part_tables(rows.where(where), part, setting)) for part, where in parts.items()],
+    ]
     flagged = joins.membership(cards, rows, "card_id", {f"is_in_new_monthlag{lag}": F.col("month_lag") == lag for lag in NEW_LAGS})
-    table = attach_all(flagged, tables, ["card_id"])
+    table = attach_all(flagged, families, ["card_id"])
     table = ratios.per_lag_rates(table, "", ["purchase_amount_sum_hist_auth_Y", "purchase_amount_count_hist_auth_Y",
                                              "purchase_amount_sum_hist_auth_N", "purchase_amount_count_hist_auth_N"], HIST_LAGS)
     table = ratios.per_lag_rates(table, "", ["purchase_amount_sum_new", "purchase_amount_count_new"], NEW_LAGS)
     return fill_numbers(table, keep=("target", "first_active_month"))
 
 
+def part_tables(rows: DataFrame, part: str, setting: Setting) -> list[DataFrame]:
+    """Profiles of codes and dates, repurchase ratios, monthly spend and lag ratio of one part of the rows."""
+    profiled = ["month", "month_gap", "weekday", *windows.GAP_COLUMNS, *CODE_COLUMNS]
+    shift = f"{part}_purchase_shift_ratio"
+    lagged = windows.lag_ratio(rows, ["card_id"], setting.order, "purchase_amount", shift, hot_rows=setting.hot_rows)
+    return [aggregate.category_profile(rows, ["card_id"], profiled, prefix=f"{part}_"),
+            aggregate.repurchase_ratio(rows, "card_id", ["merchant_id"], "purchase_amount", f"{part}_repurchase_merchant_ratio"),
+            aggregate.repurchase_ratio(rows, "card_id", ["merchant_category_id"], "purchase_amount", f"{part}_repurchase_merCate_ratio"),
+            pivots.sum_pivot(rows, "card_id", "month_gap", "purchase_amount", name=lambda g: f"{part}_month{g}_purchase"),
+            multi_agg(lagged, ["card_id"], [(shift, ["max"])])]
+
+
 def fill_numbers(df: DataFrame, value: int = 0, keep: Sequence[str] = ()) -> DataFrame:
     """Fill missing numbers, except in the kept columns."""
     return df.na.fill(value, [c for c in df.columns if c not in keep])
@@ -238,6 +263,7 @@ def large_rows(txn: DataFrame, setting: Setting) -> DataFrame:
 def large_features(txn: DataFrame, setting: Setting) -> DataFrame:
     """The two large aggregates of stage 2 in one pass, with totals; infinite marks, then zeros."""
     rows = stage(large_rows(txn, setting), "large_rows")
+    setting = with_known_skew(rows, setting)
     base = [s for s in BASELINE_SPEC if s[0] not in {"duration", "amount_month_ratio", "category_2_mean", "category_3_mean"}]
     spec = base + LARGE_SPEC + [(f"spend_{e}", ["sum", "mean", "max"]) for e in setting.events] + [
         (e, ["min", "max", "sum", "mean", "median"]) for e in setting.events]
@@ -273,7 +299,8 @@ def stage_three(rows: DataFrame, setting: Setting) -> list[DataFrame]:
 
 def staged_features(cards: DataFrame, txn: DataFrame, merchants: DataFrame, holidays: DataFrame, setting: Setting) -> DataFrame:
     """All three stages joined to one row per card; each stage's tables are written before the next join."""
-    rows = stage(stage_one_rows(txn, holidays, setting), "transactions")
+    rows = stage_one_rows(txn, holidays, setting)
+    setting = with_known_skew(rows, setting)
     first = stage(stage_one(cards, rows, setting), "cards_one")
     second = stage(attach_all(cards.select("card_id"), stage_two_ratios(rows, merchants, setting), ["card_id"]), "cards_two")
     third = stage(attach_all(cards.select("card_id"), stage_three(rows, setting), ["card_id"]), "cards_three")

@@ -12,7 +12,7 @@ from cardloom.operators import combine, encode, folds, metrics, models, text
 from cardloom.operators.aggregate import attach, multi_agg
 from cardloom.operators.ratios import history, recent
 from cardloom.operators.select import numeric_columns
-from cardloom.plans.features import Setting
+from cardloom.plans.features import Setting, with_known_skew
 from cardloom.sources.tables import stage
 
 RATE_ITEMS = ["feature_1", "feature_2", "feature_3", "new_month_diff_mean", "hist_month_diff_mean", "hist_month_diff_max", "hist_month_diff_min"]
@@ -48,7 +48,9 @@ def with_group_means(rows: DataFrame, columns: Sequence[str], value: str = "purc
 
 def outlier_features(cards: DataFrame, txn: DataFrame, setting: Setting) -> DataFrame:
     """Per-card aggregates of both periods, date gaps, inactivity, spend change and all pairwise combinations."""
-    rows = with_group_means(stage(outlier_rows(txn, setting), "outlier_rows"), MEAN_COLUMNS)
+    rows = stage(outlier_rows(txn, setting), "outlier_rows")
+    setting = with_known_skew(rows, setting)
+    rows = with_group_means(rows, MEAN_COLUMNS)
     spec = [(f"{c}_amount_mean", ["mean"]) for c in MEAN_COLUMNS] + [(c, ["nunique"]) for c in COUNT_COLUMNS] + [
         ("purchase_amount", ["sum", "max", "min", "mean", "var"]), ("installments", ["sum", "max", "min", "mean", "var"]),
         ("purchase_date", ["max", "min"]), ("month_lag", ["max", "min", "mean", "var"]),
