@@ -103,7 +103,7 @@ def _medians(df: DataFrame, keys: Sequence[str], parts: Sequence[Part], hot: Dat
     cold, heavy = split_hot(df, keys, hot)
     heavy = heavy.select(*keys, *[(F.col(p.column) if p.where is None else F.when(p.where, F.col(p.column))).alias(p.name)
                                   for p in parts])
-    ranked = hot_medians(heavy, keys, [p.name for p in parts])
+    ranked = hot.join(hot_medians(heavy, keys, [p.name for p in parts]), list(keys), "left")
     return cold.groupBy(*keys).agg(*expressions()).unionByName(
         ranked.withColumnsRenamed({f"_median_{p.name}": p.name for p in parts}))
 
