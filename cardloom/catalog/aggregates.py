@@ -15,7 +15,7 @@ from cardloom.operators import aggregate, combine, encode, joins, metrics, pivot
 from cardloom.operators.aggregate import multi_agg
 from cardloom.operators.folds import kfold
 from cardloom.operators.ratios import history, lag_slices, recent
-from cardloom.sources import views
+from cardloom.sources import tables, views
 
 AS_OF = "2001-09-01"
 AS_OF_SQL = f"'{AS_OF}'::TIMESTAMP"
@@ -121,7 +121,8 @@ def multi_statistic_table(spark, d):
             ("installments", ["sum", "mean", "max", "count", "var"]), ("card_id", ["size", "count"]),
             ("purchase_date", ["max", "min"]), ("month_diff", ["max", "mean"]),
             ("authorized_flag", ["mean"]), ("weekend", ["mean"])]
-    table = multi_agg(base_features(spark, d).where(history()), ["card_id"], spec, prefix="hist_")
+    rows = tables.stage(base_features(spark, d), "base_features")
+    table = multi_agg(rows.where(history()), ["card_id"], spec, prefix="hist_")
     return table.withColumn("hist_installments_var", F.round("hist_installments_var", 6))
 
 
@@ -226,7 +227,7 @@ def monthly_spend_pivot(spark, d):
 def weekly_spend_pivot(spark, d):
     rows = dates.date_parts(staged_clean(spark, d).where(history()), "purchase_date", ["weekofyear"])
     return pivots.sum_pivot(rows, "card_id", "weekofyear", "purchase_amount", list(range(1, 54)),
-                            lambda w: f"week{w}_purchase", [pivots.active_units("weekofyear", "purchase_counts")])
+                            lambda w: f"week{w}_purchase", active="purchase_counts")
 
 
 @query("D22", with_views(TXN, CLEAN, "SELECT card_id, " + ", ".join(
@@ -465,7 +466,7 @@ SUMMARY_SPEC = [("purchase_amount", ["sum", "mean", "max", "min"]), ("installmen
 
 def summary(spark, d):
     """History and new-period statistics of every card, new ones missing where a card has no new rows."""
-    return combine.period_table(base_features(spark, d), "card_id", SUMMARY_SPEC)
+    return combine.period_table(tables.stage(base_features(spark, d), "base_features"), "card_id", SUMMARY_SPEC)
 
 
 @query("D39", with_views(TXN, BASE_FEATURES, SUMMARY, f"""

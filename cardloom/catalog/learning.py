@@ -57,7 +57,8 @@ TOKENS = r"""tokens AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[
 
 @query("I1", f"WITH {TOKENS} SELECT doc_id, 'text' AS block, token, count(*) AS n FROM tokens GROUP BY doc_id, token")
 def token_counts(spark, d):
-    return text.token_counts(views.table(spark, d, "documents"), "doc_id", ["text"])
+    documents = tables.spread(views.table(spark, d, "documents").select("doc_id", "text"))
+    return text.token_counts(documents, "doc_id", ["text"])
 
 
 @query("I1", with_views(TXN, r"""words AS (

@@ -20,12 +20,13 @@ RATE_SCALE = 1000
 def label_dictionary(df: DataFrame, columns: Sequence[str], hot_rows: int | None = None) -> DataFrame:
     """(column, value, code): dense codes in text order for all columns, a missing value being text ``nan``.
 
-    Ranking runs over distinct values only, and by pieces where a column has very many of them.
+    Ranking runs over distinct values only, and by pieces where a column has very many of them. The values are
+    stored, since every encoded column reads them.
     """
     entries = F.array(*[F.struct(F.lit(c).alias("column"),
                                  F.coalesce(F.col(c).cast("string"), F.lit("nan")).alias("value"))
                         for c in columns])
-    values = df.select(F.explode(entries).alias("e")).select("e.*").distinct()
+    values = settle(df.select(F.explode(entries).alias("e")).select("e.*").distinct())
     return position_in_group(values, ["column"], ["value"], "_rank", hot_rows).select(
         "column", "value", (F.col("_rank") - 1).cast("int").alias("code"))
 

@@ -1,4 +1,4 @@
-"""Long-to-wide sums as conditional aggregates: one shuffle, combined before it."""
+"""Long-to-wide sums, combined before every shuffle."""
 
 from __future__ import annotations
 
@@ -27,19 +27,28 @@ def value_name(column: str, value: object) -> str:
 
 
 def sum_pivot(df: DataFrame, key: str, column: str, value: str, values: Sequence | None = None,
-              name: Callable[[object], str] | None = None, extra: Sequence[Column] = (),
-              count: bool = False) -> DataFrame:
-    """Sum (or count) of ``value`` per key with one zero-filled column per pivot value."""
+              name: Callable[[object], str] | None = None, count: bool = False, total: str | None = None,
+              active: str | None = None) -> DataFrame:
+    """Sum (or count) of ``value`` per key with one zero-filled column per pivot value.
+
+    Cells are summed in long form first, so a row updates one sum however many columns there are; the wide step
+    then only places finished cells. ``total`` names a column for the sum of all cells, ``active`` one for their
+    number (how many different periods a key is active in).
+    """
     values = pivot_values(df, column) if values is None else values
     name = name or (lambda v: value_name(column, v))
     scale = EXACT_SCALE.get(value)
+    amount = F.col(value) if scale is None else F.col(value).cast(f"decimal(18,{scale})")
+    rows = df.where(F.col(key).isNotNull() & F.col(column).isNotNull())
+    cells = rows.groupBy(key, column).agg((F.count(value) if count else F.sum(amount)).alias("_cell"))
 
-    def cell(v: object) -> Column:
-        picked = F.when(F.col(column) == F.lit(v), F.col(value))
-        return F.count(picked) if count else F.coalesce(exact_sum(picked, scale), F.lit(0.0))
+    def placed(v: object) -> Column:
+        cell = F.sum(F.when(F.col(column) == F.lit(v), F.col("_cell")))
+        return F.coalesce(cell, F.lit(0)) if count else F.coalesce(cell.cast("double"), F.lit(0.0))
 
-    rows = df.where(F.col(key).isNotNull() & F.col(column).isNotNull())
-    return rows.groupBy(key).agg(*[cell(v).alias(name(v)) for v in values], *extra)
+    extra = [F.sum("_cell").cast("double").alias(total)] if total else []
+    extra += [F.count(F.lit(1)).alias(active)] if active else []
+    return cells.groupBy(key).agg(*[placed(v).alias(name(v)) for v in values], *extra)
 
 
 def share_pivot(df: DataFrame, key: str, column: str, value: str, values: Sequence | None = None,
@@ -47,16 +56,10 @@ def share_pivot(df: DataFrame, key: str, column: str, value: str, values: Sequen
     """Sums per pivot value and their shares of the key's total."""
     values = pivot_values(df, column) if values is None else values
     names = [f"{prefix}{value_name(column, v)}" for v in values]
-    wide = sum_pivot(df, key, column, value, values, lambda v: f"{prefix}{value_name(column, v)}",
-                     [exact_sum(F.col(value), EXACT_SCALE.get(value)).alias("_total")])
+    wide = sum_pivot(df, key, column, value, values, lambda v: f"{prefix}{value_name(column, v)}", total="_total")
     return wide.withColumns({f"{n}_ratio": ratio(F.col(n), F.col("_total")) for n in names}).drop("_total")
 
 
-def active_units(column: str, name: str) -> Column:
-    """How many different periods a key is active in, for use beside pivot cells."""
-    return F.count_distinct(column).alias(name)
-
-
 def category_matrix(df: DataFrame, key: str, category: str, value: str) -> DataFrame:
     """Card × category sums and counts, kept long: one row per pair that occurs."""
     rows = df.where(F.col(key).isNotNull() & F.col(category).isNotNull())

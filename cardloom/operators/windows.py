@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 from cardloom.functions.clean import ratio
 from cardloom.functions.dates import day_seconds, floor_days
 from cardloom.operators.aggregate import fill_with_mean, multi_agg
-from cardloom.operators.ordering import previous_in_group, running_totals
+from cardloom.operators.ordering import NEVER_HOT, hot_keys, previous_in_group, running_totals
 
 Group = Sequence[str]
 GAP_COLUMNS = ("purchase_time_diff_days", "purchase_time_diff_seconds")
@@ -37,6 +37,8 @@ def change_summary(df: DataFrame, key: str, groups: Mapping[str, Group], order:
     Every grouping must contain the key, so that after the first window the later ones find their rows in the
     same partition already and only sort.
     """
+    if hot_keys(df, [key], hot_rows) is None:
+        hot_rows = NEVER_HOT  # nor is any group inside a key
     spec = []
     for label, group in groups.items():
         df = previous_in_group(df, group, order, {"_p": value}, hot_rows)

@@ -25,6 +25,16 @@ def read_table(spark: SparkSession, path: str, schema: StructType | str | None =
     return table.select(*columns) if columns else table
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Deal out a stored table that has fewer pieces than the session has cores.
+
+    A single small file would otherwise keep one core busy through every join after it. A large table has many
+    pieces and passes unchanged. Meant for a plain scan, whose piece count is known without running anything.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def parse_dates(df: DataFrame, columns: Sequence[str], pattern: str | None = None) -> DataFrame:
     """Turn text columns into zone-free timestamps."""
     arguments = (F.lit(pattern),) if pattern else ()

@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from cardloom.sources.tables import spread
+
 TXN_ORDER = ["purchase_date", "o_orderkey", "l_linenumber", "l_partkey", "merchant_id", "purchase_amount"]
 EVENT_ORDER = ["purchase_date", "event_id"]
 
@@ -18,8 +20,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order lines as card transactions; sentinels and missing codes are planted by the mapping."""
-    lineitem = table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_extendedprice", "l_returnflag", "l_linestatus")
+    lineitem = spread(table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_extendedprice", "l_returnflag", "l_linestatus"))
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
     part = table(spark, sf_dir, "part").select("p_partkey", "p_type", "p_size")
     supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
@@ -49,7 +51,7 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Event rows as transactions with a time of day; the only view where hours and seconds vary."""
-    return table(spark, sf_dir, "events").select(
+    return spread(table(spark, sf_dir, "events")).select(
         F.col("user_id").alias("card_id"),
         F.get_json_object("props", "$.k").alias("merchant_id"),
         F.col("event_type").alias("merchant_category_id"),
@@ -94,5 +96,5 @@ def monthly_sums(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def labelled_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = table(spark, sf_dir, "documents").select("doc_id", "text", "n_chars", "lang")
+    documents = spread(table(spark, sf_dir, "documents").select("doc_id", "text", "n_chars", "lang"))
     return documents.join(table(spark, sf_dir, "labels"), "doc_id")
