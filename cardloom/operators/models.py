@@ -114,12 +114,17 @@ def boosted_importance(df: DataFrame, features: Sequence[str], label: str, key:
 
 
 def token_vectors(counts: DataFrame, chosen: DataFrame, key: str, name: str = "tokens") -> DataFrame:
-    """One count array per key over the chosen tokens, as a vector for the assembler."""
-    listed = [(r["block"], r["token"]) for r in chosen.select("block", "token").collect()]  # k rows
-    cells = [F.coalesce(F.sum(F.when((F.col("block") == b) & (F.col("token") == t), F.col("n"))), F.lit(0))
-             .cast("double").alias(f"t{i}") for i, (b, t) in enumerate(listed)]
-    wide = counts.join(chosen.select("block", "token"), ["block", "token"]).groupBy(key).agg(*cells)
-    return VectorAssembler(inputCols=[f"t{i}" for i in range(len(listed))], outputCol=name).transform(wide).select(key, name)
+    """One count vector per key over the chosen tokens, ready for the assembler.
+
+    A key holds at most one cell per chosen token, so its cells fit one map.
+    """
+    listed = [(r["block"], r["token"], i) for i, r in enumerate(chosen.select("block", "token").collect())]  # k rows
+    index = counts.sparkSession.createDataFrame(listed, "block string, token string, _i int")
+    cells = counts.join(index, ["block", "token"]).groupBy(key).agg(
+        F.map_from_entries(F.collect_list(F.struct("_i", F.col("n").cast("double")))).alias("_m"))
+    places = F.sequence(F.lit(0), F.lit(len(listed) - 1))
+    dense = F.transform(places, lambda i: F.coalesce(F.try_element_at(F.col("_m"), i), F.lit(0.0)))
+    return cells.select(key, array_to_vector(dense).alias(name))
 
 
 def save_models(models: Sequence, path: str) -> None:
