@@ -6,9 +6,9 @@ from functools import partial
 
 from pyspark.sql import functions as F
 
-from cardloom.catalog.base import (CARDS, CLEAN, CLEAN_BASE, EVENTS, HIST, MERCHANTS, NEW, TXN, counted, floor_days_sql,
+from cardloom.catalog.base import (CARDS, CLEAN, CLEAN_BASE, EVENTS, HIST, MERCHANTS, NEW, TXN, counted, digits_sql, floor_days_sql,
                                    money, money_mean, query, register, with_views)
-from cardloom.catalog.common import base_clean, staged_clean
+from cardloom.catalog.common import base_clean, digits, staged_clean
 from cardloom.catalog.rows import HOLIDAY_SQL, INTERACTIONS_SQL, holiday_calendar
 from cardloom.functions import clean, dates
 from cardloom.operators import aggregate, combine, encode, joins, metrics, pivots, ratios
@@ -156,33 +156,33 @@ def group_statistic_on_rows(spark, d):
 
 @query("D15", with_views(TXN, f"""inner_means AS (
 SELECT card_id, merchant_id, {money_mean(where=HIST)} AS h, {money_mean(where=NEW)} AS n FROM txn GROUP BY 1, 2)
-SELECT card_id, max(h) AS mean_hist_max, min(h) AS mean_hist_min, round(stddev_samp(h), 4) AS mean_hist_std,
-  round(median(h), 4) AS mean_hist_median, max(n) AS mean_new_max, min(n) AS mean_new_min,
-  round(stddev_samp(n), 4) AS mean_new_std, round(median(n), 4) AS mean_new_median FROM inner_means GROUP BY card_id"""))
+SELECT card_id, max(h) AS mean_hist_max, min(h) AS mean_hist_min, {digits_sql('stddev_samp(h)')} AS mean_hist_std,
+  {digits_sql('median(h)')} AS mean_hist_median, max(n) AS mean_new_max, min(n) AS mean_new_min,
+  {digits_sql('stddev_samp(n)')} AS mean_new_std, {digits_sql('median(n)')} AS mean_new_median FROM inner_means GROUP BY card_id"""))
 def two_level_statistics(spark, d):
     table = aggregate.two_level(views.transactions(spark, d), "card_id", ["merchant_id"], "purchase_amount", "mean",
                                 ["max", "min", "std", "median"], "mean", {"_hist": history(), "_new": recent()})
-    return table.withColumns({f"mean_{p}_{s}": F.round(f"mean_{p}_{s}", 4) for p in ("hist", "new") for s in ("std", "median")})
+    return table.withColumns({f"mean_{p}_{s}": digits(F.col(f"mean_{p}_{s}")) for p in ("hist", "new") for s in ("std", "median")})
 
 
-@query("D16", with_views(TXN, """rel AS (
+@query("D16", with_views(TXN, f"""rel AS (
 SELECT card_id, purchase_amount / max(purchase_amount) OVER (PARTITION BY card_id, merchant_category_id) AS r FROM txn)
-SELECT card_id, max(r) AS r_max, round(stddev_samp(r), 6) AS r_std, round(median(r), 6) AS r_median FROM rel GROUP BY card_id"""))
+SELECT card_id, max(r) AS r_max, {digits_sql('stddev_samp(r)')} AS r_std, {digits_sql('median(r)')} AS r_median FROM rel GROUP BY card_id"""))
 def spend_relative_to_group(spark, d):
     table = aggregate.relative_to_group(views.transactions(spark, d), "card_id", ["merchant_category_id"],
                                         "purchase_amount", "max", ["max", "std", "median"], "r")
-    return table.withColumns({c: F.round(c, 6) for c in ("r_std", "r_median")})
+    return table.withColumns({c: digits(F.col(c)) for c in ("r_std", "r_median")})
 
 
 @query("D17", with_views(TXN, f"""means AS (
 SELECT card_id, state_id, {money_mean()} AS m FROM txn WHERE {HIST} GROUP BY 1, 2)
-SELECT card_id, max(m) AS card_state_mean_max, round(median(m), 4) AS card_state_mean_median
+SELECT card_id, max(m) AS card_state_mean_max, {digits_sql('median(m)')} AS card_state_mean_median
 FROM txn LEFT JOIN means USING (card_id, state_id) WHERE {NEW} GROUP BY card_id"""))
 def category_mean_on_rows(spark, d):
     txn = views.transactions(spark, d)
     table = aggregate.group_mean_summary(txn.where(recent()), "card_id", ["state_id"], "purchase_amount",
                                          ["max", "median"], "card_state_mean", source=txn.where(history()))
-    return table.withColumn("card_state_mean_median", F.round("card_state_mean_median", 4))
+    return table.withColumn("card_state_mean_median", digits(F.col("card_state_mean_median")))
 
 
 @query("D18", with_views(TXN, """visits AS (SELECT card_id, merchant_id, count(purchase_amount) AS n FROM txn GROUP BY 1, 2)
@@ -366,12 +366,12 @@ def sum_ratios(spark, d):
 
 @query("D33", with_views(TXN, f"""inner_means AS (
 SELECT card_id, merchant_category_id, {money_mean(where=HIST)} AS h, {money_mean(where=NEW)} AS n FROM txn GROUP BY 1, 2)
-SELECT card_id, """ + ", ".join(f"round(coalesce({s}(n) / nullif({s}(h), 0), 0), 6) AS new_hist_mean_{s}_ratio" for s in ("max", "min", "median"))
+SELECT card_id, """ + ", ".join(f"{digits_sql(f'coalesce({s}(n) / nullif({s}(h), 0), 0)')} AS new_hist_mean_{s}_ratio" for s in ("max", "min", "median"))
     + " FROM inner_means GROUP BY card_id HAVING max(h) IS NOT NULL"))
 def two_level_ratios(spark, d):
     table = ratios.two_level_ratios(views.transactions(spark, d), "card_id", ["merchant_category_id"], "purchase_amount",
                                     ["max", "min", "median"], "mean")
-    return table.select("card_id", *[F.round(c, 6).alias(c) for c in table.columns[1:]])
+    return table.select("card_id", *[digits(F.col(c)).alias(c) for c in table.columns[1:]])
 
 
 LAGS = [0, -1, -2, -3, -4, -13]

@@ -108,5 +108,14 @@ def money_mean(column: str = "purchase_amount", where: str | None = None) -> str
     return f"{money(column, where)} / nullif({counted(column, where)}, 0)"
 
 
+# Moves short decimals off the rounding ties that the two engines break differently.
+NUDGE = "1.0000000314159"
+
+
+def digits_sql(expression: str) -> str:
+    """Eight significant digits of a double."""
+    return f"CAST(printf('%.7e', CAST({expression} AS DOUBLE) * CAST({NUDGE} AS DOUBLE)) AS DOUBLE)"
+
+
 def floor_days_sql(later: str, earlier: str) -> str:
     return f"CAST(floor((epoch_us({later}) - epoch_us({earlier})) / 86400000000.0) AS INTEGER)"

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from cardloom.catalog.base import CARDS, CLEAN_BASE, HIST, NEW, TXN, floor_days_sql, money, money_mean, query, with_views
-from cardloom.catalog.common import AMOUNT_CAP
+from cardloom.catalog.base import CARDS, CLEAN_BASE, HIST, NEW, TXN, digits_sql, floor_days_sql, money, money_mean, query, with_views
+from cardloom.catalog.common import AMOUNT_CAP, digits
 from cardloom.catalog.rows import FIXTURE_EVENTS, event_sql, holiday_calendar
 from cardloom.plans import features, outliers
 from cardloom.sources import tables, views
@@ -15,19 +15,6 @@ AS_OF_SQL = f"'{AS_OF}'::TIMESTAMP"
 SETTING = features.Setting(AS_OF, BASE_DATE, views.TXN_ORDER, FIXTURE_EVENTS, AMOUNT_CAP, -1)
 
 
-# Moves short decimals off the rounding ties that the two engines break differently.
-NUDGE = "1.0000000314159"
-
-
-def digits(column: Column) -> Column:
-    """Eight significant digits: sums of doubles differ in the last bits with the order of the rows."""
-    return F.when(column.isNotNull(), F.format_string("%.7e", column * F.lit(float(NUDGE))).cast("double"))
-
-
-def digits_sql(expression: str) -> str:
-    return f"CAST(printf('%.7e', CAST({expression} AS DOUBLE) * CAST({NUDGE} AS DOUBLE)) AS DOUBLE)"
-
-
 def comparable(df: DataFrame) -> DataFrame:
     """Doubles to eight digits; skewness, which may cancel to nearly nothing, to six decimals."""
     def shown(name: str) -> Column:
