@@ -10,7 +10,7 @@ rows, reach the driver. The finished list is one Spark conditional expression.
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -141,7 +141,20 @@ def learn(statistics: DataFrame, labels: DataFrame, key: str = "doc_id", label:
         if poor == 0 or poor < least_precision * (poor + good):
             break
         rules.append(rule)
-    return rules
+    return centred(known, rules)
+
+
+def centred(known: DataFrame, rules: list[Rule]) -> list[Rule]:
+    """The same rules with every cut in the middle between the labelled values on its two sides."""
+    literals = sorted({x for rule in rules for x in rule}, key=lambda x: (x.feature, x.bin, x.above))
+    if not literals:
+        return rules
+    row = known.agg(*[made.alias(f"{name}{i}") for i, x in enumerate(literals) for name, made in (
+        ("low", F.max(F.when(F.col(x.feature) <= x.cut, F.col(x.feature)))),
+        ("high", F.min(F.when(F.col(x.feature) > x.cut, F.col(x.feature)))))]).first()
+    moved = {x: replace(x, cut=(row[f"low{i}"] + row[f"high{i}"]) / 2) for i, x in enumerate(literals)
+             if row[f"high{i}"] is not None}
+    return [tuple(moved.get(x, x) for x in rule) for rule in rules]
 
 
 def quantiles(known: DataFrame, bins: int) -> dict[str, list[float]]:
