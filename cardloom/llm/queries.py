@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from cardloom.llm import bpe, linededup, rules, simhash
+from cardloom.llm import bpe, langid, linededup, rules, simhash
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,6 +18,10 @@ def op2_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.predictions(table(spark, sf_dir, "documents"))
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.digests(table(spark, sf_dir, "documents"))
 
@@ -31,6 +35,6 @@ def op8_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_bpe_round_trip, op4_line_dedup, op7_quality_rules, op8_simhash_components)}
+    f.__name__: f for f in (op2_bpe_round_trip, op3_language_id, op4_line_dedup, op7_quality_rules, op8_simhash_components)}
 
 SQL: dict[str, str] = {"op4_line_dedup": linededup.DIGEST_SQL}
