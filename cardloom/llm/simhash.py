@@ -55,14 +55,16 @@ def fingerprint(text: bytes | None, shingle: int) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = 3, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``key`` and ``fp`` (signed long) of every row."""
-    found = docs.select(key, text)
-    schema = pa.schema([*arrow_fields(found, [key]), ("fp", pa.int64())])
+    """``key``, ``version`` (a hash of the text, which tells apart rows that share a key) and ``fp`` of every row."""
+    found = docs.select(key, F.xxhash64(text).alias("version"), text)
+    kept = [key, "version"]
+    schema = pa.schema([*arrow_fields(found, kept), ("fp", pa.int64())])
 
     def rows(batch: pa.RecordBatch):
-        yield from zip(batch.column(0).to_pylist(), map(partial(fingerprint, shingle=shingle), texts_as_bytes(batch.column(1))))
+        yield from zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(),
+                       map(partial(fingerprint, shingle=shingle), texts_as_bytes(batch.column(2))))
 
-    return found.mapInArrow(row_map(rows, schema), f"{ddl(found, [key])}, fp long")
+    return found.mapInArrow(row_map(rows, schema), f"{ddl(found, kept)}, fp long")
 
 
 def segment_counts(fp: Column, width: int) -> Column:
@@ -156,9 +158,29 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, distance: int = 2, key: s
     nobody's smallest key unless a component has no other. Repeated rows stay. Extra columns are left out.
     """
     marked = stage(fingerprints(docs, shingle, key, text), "fingerprints")
+    named = groups(marked, distance, key).select("fp", "component_id")
+    return marked.join(named, "fp").select(key, F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def groups(marked: DataFrame, distance: int, key: str) -> DataFrame:
+    """``fp``, ``root`` (a fingerprint that names its component) and ``component_id`` of every fingerprint."""
     own = stage(marked.groupBy("fp").agg(F.min(key).alias("least")), "distinct")
     tree = components(links(own.select("fp"), distance))
     rooted = own.join(tree, F.col("fp") == F.col("node"), "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     names = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = stage(rooted.join(names, "root").select("fp", "component_id"), "components")
-    return marked.join(named, "fp").select(key, F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+    return stage(rooted.join(names, "root").select("fp", "root", "component_id"), "components")
+
+
+def keep_one(docs: DataFrame, shingle: int = 3, distance: int = 2, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row of each group of near duplicates, with all its columns: the row with the group's smallest key.
+
+    Of rows that share key and text one stays, of rows that share only the key the one whose text hashes lowest. A row
+    with a null key stays only where its group has no other key.
+    """
+    marked = stage(fingerprints(docs, shingle, key, text), "fingerprints")
+    order = F.min(F.struct(F.col(key).isNull().alias("none"), F.col(key).alias("k"), F.col("version").alias("v")))
+    chosen = (marked.join(groups(marked, distance, key), "fp").groupBy("root").agg(order.alias("best"))
+              .select("best.k", "best.v").distinct())
+    packed = docs.select(F.struct("*").alias("row"), F.col(key).alias("key"), F.xxhash64(text).alias("version"))
+    met = packed.join(stage(chosen, "chosen"), F.col("key").eqNullSafe(F.col("k")) & (F.col("version") == F.col("v")))
+    return met.groupBy("k", "v").agg(F.any_value("row").alias("row")).select("row.*")
