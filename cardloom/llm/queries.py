@@ -5,9 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cardloom.llm import bpe, langid, linededup, packing, rules, simhash
+from cardloom.llm import bpe, crosspolytope, langid, linededup, packing, rules, simhash
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -34,12 +34,16 @@ def op8_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, distance=2)
 
 
+def op9_cross_polytope_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return crosspolytope.search(table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0)
+
+
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op2_bpe_round_trip, op3_language_id, op4_line_dedup, op7_quality_rules, op8_simhash_components,
-    op10_best_fit_packing)}
+    op9_cross_polytope_search, op10_best_fit_packing)}
 
 SQL: dict[str, str] = {"op4_line_dedup": linededup.DIGEST_SQL}
