@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cardloom.llm import bpe, crosspolytope, langid, linededup, packing, rules, simhash
+from cardloom.llm import bpe, chat, crosspolytope, langid, linededup, packing, rules, simhash
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,6 +26,11 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.digests(table(spark, sf_dir, "documents"))
 
 
+def op6_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = chat.with_control_strings(table(spark, sf_dir, "conversations"))
+    return chat.read_back(chat.windows(turns))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -43,7 +48,7 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_bpe_round_trip, op3_language_id, op4_line_dedup, op7_quality_rules, op8_simhash_components,
+    f.__name__: f for f in (op2_bpe_round_trip, op3_language_id, op4_line_dedup, op6_chat_windows, op7_quality_rules, op8_simhash_components,
     op9_cross_polytope_search, op10_best_fit_packing)}
 
-SQL: dict[str, str] = {"op4_line_dedup": linededup.DIGEST_SQL}
+SQL: dict[str, str] = {"op4_line_dedup": linededup.DIGEST_SQL, "op6_chat_windows": chat.DIGEST_SQL}
