@@ -7,13 +7,17 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cardloom.llm import bpe, chat, crosspolytope, langid, linededup, packing, rules, simhash
+from cardloom.llm import bpe, chat, crosspolytope, importance, langid, linededup, packing, recount, rules, simhash
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op2_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -26,6 +30,10 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.digests(table(spark, sf_dir, "documents"))
 
 
+def op5_edited_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return recount.recount(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
 def op6_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = chat.with_control_strings(table(spark, sf_dir, "conversations"))
     return chat.read_back(chat.windows(turns))
@@ -47,8 +55,8 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_bpe_round_trip, op3_language_id, op4_line_dedup, op6_chat_windows, op7_quality_rules, op8_simhash_components,
-    op9_cross_polytope_search, op10_best_fit_packing)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
+    op1_importance_resampling, op2_bpe_round_trip, op3_language_id, op4_line_dedup, op5_edited_token_counts, op6_chat_windows,
+    op7_quality_rules, op8_simhash_components, op9_cross_polytope_search, op10_best_fit_packing)}
 
 SQL: dict[str, str] = {"op4_line_dedup": linededup.DIGEST_SQL, "op6_chat_windows": chat.DIGEST_SQL}
