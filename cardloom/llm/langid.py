@@ -6,45 +6,53 @@ exactly zero, and its probabilities are calibrated with one temperature.
 
 Document frequencies come from all documents that may teach; the regression sees a sample of at most ``per_class``
 documents of each language on average, chosen by hash, because its steps are sequential. Prediction is one pass over the
-scan without a shuffle: a text's logits are sums over its words, so words are looked up in a bounded memo.
+scan without a shuffle: a text's logits are means of its n-grams' weights, block by block, however long it is.
 """
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import Column, DataFrame, functions as F
 
-from cardloom.llm.batches import Memo, arrow_fields, ddl, row_map, to_batch
+from cardloom.llm.batches import arrow_fields, ddl, row_map, to_batch
 
-BUCKETS, SIZES = 1 << 16, (1, 2, 3)
-BLOCK, ROOM = 1 << 15, 200_000  # words of a text handled at once; words remembered
-LETTERS = regex.compile(r"\p{L}+")
+BUCKETS, BLOCK = 1 << 16, 1 << 18  # n-gram buckets; code points of a text handled at once
 UNKNOWN = "und"
+MIX = tuple(map(np.uint32, (2654435761, 2246822519, 3266489917)))  # odd multipliers, one for each place of an n-gram
+SPACE = np.uint32(32)
 
 
-def grams(word: str) -> np.ndarray:
-    """Buckets of all n-grams of the letter runs of a word, each run between two spaces."""
-    found = []
-    for run in LETTERS.findall(word.lower()):
-        padded = f" {run} "
-        found += [padded[i:i + n] for n in SIZES for i in range(n == 1, len(padded) - n + 1 - (n == 1))]
-    return np.fromiter((zlib.crc32(g.encode()) % BUCKETS for g in found), np.int64, len(found))
+@lru_cache(maxsize=1)
+def letters() -> np.ndarray:
+    """Whether each code point is a letter."""
+    return np.fromiter((chr(i).isalpha() for i in range(0x110000)), bool, 0x110000)
 
 
-def term_counts(text: str | None, memo: Memo) -> np.ndarray:
+def grams(text: str | None) -> Iterator[np.ndarray]:
+    """Buckets of all n-grams of one to three characters inside the words of a text, block by block.
+
+    A word is a run of letters between two spaces; n-grams may begin or end with a space but never span one."""
+    codes = np.frombuffer((text or "").lower().encode("utf-32-le"), np.uint32)
+    padded = np.full(len(codes) + 3, SPACE)
+    padded[1:-2] = np.where(letters()[codes], codes, SPACE)
+    for at in range(0, len(codes) + 1, BLOCK):
+        part = padded[at:at + BLOCK + 2]
+        one, two, three = part[:-2], part[1:-1], part[2:]
+        first = one * MIX[0]
+        pair = (first + two) * MIX[1]
+        triple = (pair + three) * MIX[2]
+        word, begins = two != SPACE, one != SPACE
+        yield np.concatenate([first[begins] >> 16, pair[word | begins] >> 16, triple[word] >> 16])
+
+
+def term_counts(text: str | None) -> np.ndarray:
     """How often the text has each bucket."""
-    words = (text or "").split()
-    total = np.zeros(BUCKETS, np.int64)
-    for at in range(0, len(words), BLOCK):
-        parts = [memo[w] for w in words[at:at + BLOCK]]
-        total += np.bincount(np.concatenate(parts), minlength=BUCKETS)
-    return total
+    return sum((np.bincount(g, minlength=BUCKETS) for g in grams(text)), np.zeros(BUCKETS, np.int64))
 
 
 @dataclass
@@ -54,31 +62,15 @@ class Model:
     weights: np.ndarray  # buckets x classes
     bias: np.ndarray
     temperature: float
-    places: Memo = field(init=False, repr=False)
-    table: np.ndarray = field(init=False, repr=False)
-
-    def prepare(self) -> Model:
-        """Set up the memo of words, in the task that predicts."""
-        self.table = np.zeros((ROOM, len(self.classes) + 1))
-        self.places = Memo(self._place, limit=ROOM)
-        return self
-
-    def _place(self, word: str) -> int:
-        buckets, at = grams(word), len(self.places)
-        self.table[at, :-1], self.table[at, -1] = self.weights[buckets].sum(axis=0), len(buckets)
-        return at
 
     def predict(self, text: str | None) -> tuple[str, float]:
-        words, places = (text or "").split(), self.places
-        total = np.zeros(len(self.classes) + 1)
-        for at in range(0, len(words), BLOCK):
-            part = words[at:at + BLOCK]
-            if len(places) + len(part) > ROOM:
-                places.clear()
-            total += self.table[[places[w] for w in part]].sum(axis=0)
-        if not total[-1] or not self.classes:
+        total, n = np.zeros(len(self.classes)), 0
+        for found in grams(text):
+            total += self.weights[found].sum(axis=0, dtype=np.float64)
+            n += len(found)
+        if not n or not self.classes:
             return UNKNOWN, 0.0
-        shares = softmax((total[:-1] / total[-1] + self.bias) / self.temperature)
+        shares = softmax((total / n + self.bias) / self.temperature)
         best = int(shares.argmax())
         return self.classes[best], float(shares[best])
 
@@ -130,14 +122,12 @@ def document_frequencies(texts: DataFrame) -> DataFrame:
     schema = pa.schema([("bucket", pa.int32()), ("n", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo, total = Memo(lambda w: np.unique(grams(w)), ROOM), np.zeros(BUCKETS, np.int64)
-        seen = np.zeros(BUCKETS, bool)
+        total, seen = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, bool)
         for batch in batches:
             for t in batch.column(0):
-                words = list(set((t.as_py() or "").split()))
                 seen[:] = False
-                for at in range(0, len(words), BLOCK):
-                    seen[np.concatenate([memo[w] for w in words[at:at + BLOCK]])] = True
+                for found in grams(t.as_py()):
+                    seen[found] = True
                 total += seen
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(total[used])], schema=schema)
@@ -150,9 +140,8 @@ def sampled_counts(sample: DataFrame) -> DataFrame:
     schema = pa.schema([("mark", pa.int64()), ("y", pa.string()), ("idx", pa.binary()), ("counts", pa.binary())])
 
     def rows(batch: pa.RecordBatch):
-        memo = Memo(grams, ROOM)
         for mark, y, t in zip(*[c.to_pylist() for c in batch.columns]):
-            counts = term_counts(t, memo)
+            counts = term_counts(t)
             used = np.flatnonzero(counts)
             yield mark, y, used.astype(np.int32).tobytes(), counts[used].astype(np.int32).tobytes()
 
@@ -198,9 +187,8 @@ def identify(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "te
     schema = pa.schema([*arrow_fields(found, [key]), ("lang_pred", pa.string()), ("score", pa.float64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ready = model.prepare()
         for batch in batches:
-            yield to_batch([(k, *ready.predict(t.as_py())) for k, t in zip(batch.column(0).to_pylist(), batch.column(1))], schema)
+            yield to_batch([(k, *model.predict(t.as_py())) for k, t in zip(batch.column(0).to_pylist(), batch.column(1))], schema)
 
     return found.mapInArrow(run, f"{ddl(found, [key])}, lang_pred string, score double")
 
@@ -217,9 +205,8 @@ def keep_identified(docs: DataFrame, least_score: float = 0.5, key: str = "doc_i
     model, at = train(docs, key, text, label), docs.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ready = model.prepare()
         for batch in batches:
-            said = [ready.predict(t.as_py()) for t in batch.column(at)]
+            said = [model.predict(t.as_py()) for t in batch.column(at)]
             yield batch.filter(pa.array([lang != UNKNOWN and score >= least_score for lang, score in said], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
