@@ -101,7 +101,8 @@ def resample(docs: DataFrame, labels: DataFrame, share: float | None = None, tar
     """
     good = (F.col("quality") == 1) & (F.coalesce("toxic", F.lit(0)) == 0)
     targets = good_keys(labels, key, good, target_docs)
-    marked = docs.join(F.broadcast(targets), F.col(key) == F.col("k"), "left").select(text, F.col("k").isNotNull().alias("target"))
+    texts = docs.select(F.col(key).alias("own"), F.col(text).alias("t"))
+    marked = texts.join(F.broadcast(targets), F.col("own") == F.col("k"), "left").select("t", F.col("k").isNotNull().alias("target"))
     ratios = log_ratios(bucket_counts(marked))
     if share is None:
         share = labels.agg(F.avg((F.col("quality") == 1).cast("double"))).first()[0]
