@@ -165,24 +165,39 @@ def two_level_statistics(spark, d):
     return table.withColumns({f"mean_{p}_{s}": digits(F.col(f"mean_{p}_{s}")) for p in ("hist", "new") for s in ("std", "median")})
 
 
-@query("D16", with_views(TXN, f"""rel AS (
-SELECT card_id, purchase_amount / max(purchase_amount) OVER (PARTITION BY card_id, merchant_category_id) AS r FROM txn)
-SELECT card_id, max(r) AS r_max, {digits_sql('stddev_samp(r)')} AS r_std, {digits_sql('median(r)')} AS r_median FROM rel GROUP BY card_id"""))
+GROUP_REFERENCES = {"max": "max(purchase_amount) OVER own", "mean": "CAST(sum(CAST(purchase_amount AS DECIMAL(18,2))) OVER own AS DOUBLE) / count(purchase_amount) OVER own"}
+
+
+@query("D16", with_views(TXN, "rel AS (SELECT card_id, " + ", ".join(f"purchase_amount / ({e}) AS {n}" for n, e in GROUP_REFERENCES.items())
+                         + " FROM txn WINDOW own AS (PARTITION BY card_id, merchant_category_id)) SELECT card_id, " + ", ".join(
+    f"{digits_sql(f'max({n})')} AS {n}_max, {digits_sql(f'stddev_samp({n})')} AS {n}_std, {digits_sql(f'median({n})')} AS {n}_median" for n in GROUP_REFERENCES)
+    + " FROM rel GROUP BY card_id"))
 def spend_relative_to_group(spark, d):
-    table = aggregate.relative_to_group(views.transactions(spark, d), "card_id", ["merchant_category_id"],
-                                        "purchase_amount", "max", ["max", "std", "median"], "r")
-    return table.withColumns({c: digits(F.col(c)) for c in ("r_std", "r_median")})
+    txn = tables.stage(views.transactions(spark, d), "relative")
+    parts = [aggregate.relative_to_group(txn, "card_id", ["merchant_category_id"], "purchase_amount", n, ["max", "std", "median"], n)
+             for n in GROUP_REFERENCES]
+    table = parts[0].join(parts[1], "card_id")
+    return table.select("card_id", *[digits(F.col(c)).alias(c) for c in table.columns if c != "card_id"])
+
 
+MEAN_COLUMNS = ["category_2", "state_id", "subsector_id"]
 
-@query("D17", with_views(TXN, f"""means AS (
-SELECT card_id, state_id, {money_mean()} AS m FROM txn WHERE {HIST} GROUP BY 1, 2)
-SELECT card_id, max(m) AS card_state_mean_max, {digits_sql('median(m)')} AS card_state_mean_median
-FROM txn LEFT JOIN means USING (card_id, state_id) WHERE {NEW} GROUP BY card_id"""))
+
+# As the reference does, the history means serve both slices.
+@query("D17", with_views(TXN, *[f"""m_{c} AS (
+SELECT card_id, {c}, {money_mean()} AS m FROM txn WHERE {HIST} AND {c} IS NOT NULL GROUP BY 1, 2)""" for c in MEAN_COLUMNS], "SELECT card_id, " + ", ".join(
+    f"{digits_sql(f'max(m_{c}.m) FILTER (WHERE {w})')} AS {c}_mean_{p}_max, {digits_sql(f'median(m_{c}.m) FILTER (WHERE {w})')} AS {c}_mean_{p}_median"
+    for c in MEAN_COLUMNS for p, w in (("hist", HIST), ("new", NEW))) + " FROM txn " + " ".join(
+    f"LEFT JOIN m_{c} USING (card_id, {c})" for c in MEAN_COLUMNS) + " GROUP BY card_id"))
 def category_mean_on_rows(spark, d):
-    txn = views.transactions(spark, d)
-    table = aggregate.group_mean_summary(txn.where(recent()), "card_id", ["state_id"], "purchase_amount",
-                                         ["max", "median"], "card_state_mean", source=txn.where(history()))
-    return table.withColumn("card_state_mean_median", digits(F.col("card_state_mean_median")))
+    txn = tables.stage(views.transactions(spark, d), "means")
+    table = txn.select("card_id").distinct()
+    for c in MEAN_COLUMNS:
+        for part, where in (("hist", history()), ("new", recent())):
+            made = aggregate.group_mean_summary(txn.where(where), "card_id", [c], "purchase_amount", ["max", "median"],
+                                                f"{c}_mean_{part}", source=txn.where(history() & F.col(c).isNotNull()))
+            table = table.join(made, "card_id", "left")
+    return table.select("card_id", *[digits(F.col(c)).alias(c) for c in table.columns if c != "card_id"])
 
 
 @query("D18", with_views(TXN, """visits AS (SELECT card_id, merchant_id, count(purchase_amount) AS n FROM txn GROUP BY 1, 2)
@@ -207,18 +222,28 @@ def holiday_spend_peak(spark, d):
 # --- pivots -------------------------------------------------------------------------------------------------------
 
 GAP_SQL = "CAST(floor(date_diff('day', DATE '2001-02-28', CAST(purchase_date AS DATE)) / 30.0) AS INTEGER)"
-GAPS = list(range(-12, 6))
+
+
+def every_gap_sql(cell: str, source: str, where: str = "TRUE") -> str:
+    """One row for each card and each month gap that occurs anywhere, as the wide table's cells."""
+    return f"""cells AS (SELECT card_id, {GAP_SQL} AS month_gap, {cell} AS cell FROM {source} WHERE {where} GROUP BY 1, 2)
+SELECT card_id, month_gap, coalesce(cell, 0) AS cell FROM (SELECT DISTINCT card_id FROM cells)
+CROSS JOIN (SELECT DISTINCT month_gap FROM cells) LEFT JOIN cells USING (card_id, month_gap)"""
+
+
+def every_gap(wide):
+    """The wide table as rows: its columns are all gaps found in the data, so no fixed list can cut any."""
+    long = wide.unpivot(["card_id"], [F.col(f"`{c}`") for c in wide.columns[1:]], "month_gap", "cell")
+    return long.withColumn("month_gap", F.col("month_gap").cast("int"))
 
 
 def gap_rows(spark, d):
     return staged_clean(spark, d).withColumn("month_gap", dates.month_gap(F.col("purchase_date"), "2001-02-28"))
 
 
-@query("D20", with_views(TXN, "SELECT card_id, " + ", ".join(
-    f"coalesce({money(where=f'{GAP_SQL} = {g}')}, 0) AS \"month{g}_purchase\"" for g in GAPS) + f" FROM txn WHERE {HIST} GROUP BY card_id"))
+@query("D20", with_views(TXN, every_gap_sql(money(), "txn", HIST)))
 def monthly_spend_pivot(spark, d):
-    return pivots.sum_pivot(gap_rows(spark, d).where(history()), "card_id", "month_gap", "purchase_amount", GAPS,
-                            lambda g: f"month{g}_purchase")
+    return every_gap(pivots.sum_pivot(gap_rows(spark, d).where(history()), "card_id", "month_gap", "purchase_amount", name=str))
 
 
 @query("D21", with_views(TXN, "SELECT card_id, count(DISTINCT weekofyear(purchase_date)) AS purchase_counts, " + ", ".join(
@@ -230,11 +255,9 @@ def weekly_spend_pivot(spark, d):
                             lambda w: f"week{w}_purchase", active="purchase_counts")
 
 
-@query("D22", with_views(TXN, CLEAN, "SELECT card_id, " + ", ".join(
-    f"coalesce(CAST(sum(installments) FILTER (WHERE {GAP_SQL} = {g}) AS DOUBLE), 0) AS \"month{g}_installments\"" for g in GAPS)
-    + " FROM tx GROUP BY card_id"))
+@query("D22", with_views(TXN, CLEAN, every_gap_sql("CAST(sum(installments) AS DOUBLE)", "tx")))
 def monthly_installment_pivot(spark, d):
-    return pivots.sum_pivot(gap_rows(spark, d), "card_id", "month_gap", "installments", GAPS, lambda g: f"month{g}_installments")
+    return every_gap(pivots.sum_pivot(gap_rows(spark, d), "card_id", "month_gap", "installments", name=str))
 
 
 @query("D23", with_views(TXN, CLEAN, "SELECT card_id, " + ", ".join(
@@ -364,14 +387,19 @@ def sum_ratios(spark, d):
     return ratios.sum_ratios(staged_clean(spark, d), "card_id", ["installments", "authorized_flag"])
 
 
-@query("D33", with_views(TXN, f"""inner_means AS (
-SELECT card_id, merchant_category_id, {money_mean(where=HIST)} AS h, {money_mean(where=NEW)} AS n FROM txn GROUP BY 1, 2)
-SELECT card_id, """ + ", ".join(f"{digits_sql(f'coalesce({s}(n) / nullif({s}(h), 0), 0)')} AS new_hist_mean_{s}_ratio" for s in ("max", "min", "median"))
-    + " FROM inner_means GROUP BY card_id HAVING max(h) IS NOT NULL"))
+INNER_KEYS = ["merchant_category_id", "merchant_id"]
+
+
+@query("D33", with_views(TXN, *[f"""i_{k} AS (
+SELECT card_id, {k}, {money_mean(where=HIST)} AS h, {money_mean(where=NEW)} AS n FROM txn GROUP BY 1, 2),
+r_{k} AS (SELECT card_id, """ + ", ".join(f"{digits_sql(f'coalesce({s}(n) / nullif({s}(h), 0), 0)')} AS new_hist_{k}_mean_{s}_ratio" for s in ("max", "min", "median"))
+    + f" FROM i_{k} GROUP BY card_id HAVING max(h) IS NOT NULL)" for k in INNER_KEYS], "SELECT * FROM "
+    + " JOIN ".join(f"r_{k}" for k in INNER_KEYS) + " USING (card_id)"))
 def two_level_ratios(spark, d):
-    table = ratios.two_level_ratios(views.transactions(spark, d), "card_id", ["merchant_category_id"], "purchase_amount",
-                                    ["max", "min", "median"], "mean")
-    return table.select("card_id", *[digits(F.col(c)).alias(c) for c in table.columns[1:]])
+    txn = tables.stage(views.transactions(spark, d), "inner")
+    parts = [ratios.two_level_ratios(txn, "card_id", [k], "purchase_amount", ["max", "min", "median"], f"{k}_mean") for k in INNER_KEYS]
+    table = parts[0].join(parts[1], "card_id")
+    return table.select("card_id", *[digits(F.col(c)).alias(c) for c in table.columns if c != "card_id"])
 
 
 LAGS = [0, -1, -2, -3, -4, -13]
@@ -424,10 +452,10 @@ def per_day_rates(spark, d):
 
 @query("D49", with_views(TXN, CLEAN, "SELECT card_id, " + ", ".join(
     f"count(*) FILTER (WHERE {HIST} AND month_lag >= {lag} AND category_3 = {v})::DOUBLE AS \"category_3_{v}_sum_{lag}\""
-    for lag in (-1, -13) for v in (0, 1, 2)) + " FROM tx GROUP BY card_id"))
+    for lag in MEAN_LAGS for v in (0, 1, 2)) + " FROM tx GROUP BY card_id"))
 def indicator_sums_per_slice(spark, d):
     rows = clean.indicators(staged_clean(spark, d), "category_3", [0, 1, 2])
-    return multi_agg(rows, ["card_id"], [(f"category_3_{v}", ["sum"]) for v in (0, 1, 2)], slices=lag_slices(history(), (-1, -13)))
+    return multi_agg(rows, ["card_id"], [(f"category_3_{v}", ["sum"]) for v in (0, 1, 2)], slices=lag_slices(history(), MEAN_LAGS))
 
 
 def day_diff(a, b):

@@ -15,13 +15,20 @@ BOOSTING = {"maxIter": 5, "maxDepth": 3, "seed": 7}
 
 # --- sequences and text -----------------------------------------------------------------------------------------
 
-TEXT_COLUMNS = ["merchant_category_id", "installments", "category_2"]
+TEXT_COLUMNS = ["merchant_category_id", "installments", "category_1", "category_2", "category_3", "city_id", "state_id", "subsector_id",
+                "merchant_id", "authorized_flag", "month_lag"]
 NAN = "coalesce(CAST({0} AS VARCHAR), 'nan')"
 
 
-@query("I0", with_views(TXN, "SELECT card_id, 0 AS chunk, " + ", ".join(
+def placed_sql(source: str, where: str = "TRUE") -> str:
+    """Rows with the number of their chunk, by the rule of ``sequence_chunks``."""
+    return (f"placed AS (SELECT *, (row_number() OVER (PARTITION BY card_id ORDER BY {TXN_ORDER_SQL}) - 1) // {sequences.CHUNK} AS chunk "
+            f"FROM {source} WHERE {where})")
+
+
+@query("I0", with_views(TXN, placed_sql("txn", HIST), "SELECT card_id, chunk, " + ", ".join(
     f"string_agg({NAN.format(c)}, ' ' ORDER BY {TXN_ORDER_SQL}) AS {c}_text" for c in TEXT_COLUMNS)
-    + f" FROM txn WHERE {HIST} GROUP BY card_id"))
+    + " FROM placed GROUP BY card_id, chunk"))
 def text_per_card(spark, d):
     rows = views.transactions(spark, d).where(history())
     return sequences.text_columns(rows, "card_id", TEXT_COLUMNS, views.TXN_ORDER)
@@ -35,12 +42,12 @@ def text_in_bounded_chunks(spark, d):
     return sequences.text_columns(views.events(spark, d), "card_id", ["merchant_category_id"], views.EVENT_ORDER, size=16)
 
 
-@query("I3", with_views(TXN, f"""
-SELECT card_id, array_to_string(list(CAST(merchant_id AS VARCHAR) ORDER BY {TXN_ORDER_SQL}), ',') AS merchants,
-  count(*) AS length FROM txn GROUP BY card_id"""))
+@query("I3", with_views(TXN, placed_sql("txn"), f"""
+SELECT card_id, chunk, array_to_string(list(CAST(merchant_id AS VARCHAR) ORDER BY {TXN_ORDER_SQL}), ',') AS merchants,
+  count(*) AS length FROM placed GROUP BY card_id, chunk"""))
 def merchant_sequence(spark, d):
     chunks = sequences.sequence_chunks(views.transactions(spark, d), "card_id", ["merchant_id"], views.TXN_ORDER)
-    return chunks.select("card_id", F.array_join("merchant_id", ",").alias("merchants"),
+    return chunks.select("card_id", "chunk", F.array_join("merchant_id", ",").alias("merchants"),
                          F.size("merchant_id").cast("bigint").alias("length"))
 
 
@@ -326,9 +333,9 @@ def classification_with_tokens(spark, d):
     rows = views.transactions(spark, d).where(history())
     counts = tables.stage(text.sequence_token_counts(rows, "card_id", ["merchant_category_id", "city_id"]), "tokens")
     table = model_table(spark, d)
-    chosen = text.select_top(text.chi_square(counts, table.where("is_test = 0"), "card_id", "outlier"), 10)
+    chosen = tables.stage(text.select_top(text.chi_square(counts, table.where("is_test = 0"), "card_id", "outlier"), 10), "chosen")
     vectors = models.token_vectors(counts, chosen, "card_id")
-    joined = table.join(vectors, "card_id")
+    joined = models.with_vectors(table, vectors, "card_id", "tokens", chosen.count())
     result = models.kfold_boosting(joined, MODEL_FEATURES, "outlier", "fold", 3, "classification", vectors=["tokens"], **BOOSTING)
     return result.oof.select("card_id", "outlier", "fold", "prediction")
 

@@ -6,11 +6,13 @@ from functools import partial
 
 from pyspark.sql import functions as F
 
-from cardloom.catalog.base import EVENTS, HIST, TXN, TXN_ORDER_SQL, floor_days_sql, query, register, with_views
+from cardloom.catalog.base import EVENTS, HIST, NEW, TXN, TXN_ORDER_SQL, digits_sql, floor_days_sql, query, register, with_views
+from cardloom.catalog.common import digits
 from cardloom.functions import dates
 from cardloom.operators import windows
-from cardloom.operators.ratios import history, lag_slices
+from cardloom.operators.ratios import history, lag_slices, recent
 from cardloom.operators.aggregate import multi_agg
+from cardloom.plans.features import HIST_LAGS, NEW_LAGS
 from cardloom.sources import views
 
 GROUPS = {
@@ -47,21 +49,25 @@ SELECT card_id, max(r) AS shift_ratio_max FROM (
   WHERE {HIST} AND {' AND '.join(f'{k} IS NOT NULL' for k in _keys)}) GROUP BY card_id"""))
 
 
+SLICES = {lag: f"{HIST} AND month_lag >= {lag}" for lag in HIST_LAGS} | {lag: f"{NEW} AND month_lag >= {lag}" for lag in NEW_LAGS}
+
+
 @query("E6", with_views(TXN, f"""diffs AS (
-SELECT card_id, month_lag, coalesce(purchase_amount - {lagged(['card_id'])}, 0) AS v FROM txn WHERE {HIST})
+SELECT card_id, month_lag, coalesce(purchase_amount - lag(purchase_amount) OVER (PARTITION BY card_id, {NEW} ORDER BY {TXN_ORDER_SQL}), 0) AS v FROM txn)
 SELECT card_id, """ + ", ".join(
-    f"round(max(v) FILTER (WHERE month_lag >= {lag}), 4) AS \"v_max_{lag}\", round(min(v) FILTER (WHERE month_lag >= {lag}), 4) AS \"v_min_{lag}\", "
-    f"round(median(v) FILTER (WHERE month_lag >= {lag}), 4) AS \"v_median_{lag}\", "
-    f"round(stddev_samp(v) FILTER (WHERE month_lag >= {lag}), 4) AS \"v_std_{lag}\"" for lag in (-3, -13)) + " FROM diffs GROUP BY card_id"))
+    [f"round({made}(v) FILTER (WHERE {where}), 4) + 0.0 AS \"v_{stat}_{lag}\"" for lag, where in SLICES.items() for stat, made in (
+        ("max", "max"), ("min", "min"), ("median", "median"), ("std", "stddev_samp"))]
+    + [f"{digits_sql(f'avg(v) FILTER (WHERE {where})')} AS \"v_mean_{lag}\"" for lag, where in SLICES.items()]) + " FROM diffs GROUP BY card_id"))
 def amount_difference_per_slice(spark, d):
-    txn = views.transactions(spark, d).where(history())
-    rows = windows.difference(txn, ["card_id"], views.TXN_ORDER, "purchase_amount", "v")
-    table = multi_agg(rows, ["card_id"], [("v", ["max", "min", "median", "std"])], slices=lag_slices(history(), (-3, -13)))
-    return table.select("card_id", *[F.round(c, 4).alias(c) for c in table.columns[1:]])
+    txn = views.transactions(spark, d).withColumn("_new", recent())
+    rows = windows.difference(txn, ["card_id", "_new"], views.TXN_ORDER, "purchase_amount", "v")
+    table = multi_agg(rows, ["card_id"], [("v", ["max", "min", "mean", "median", "std"])],
+                      slices=lag_slices(history(), HIST_LAGS) | lag_slices(recent(), NEW_LAGS))
+    return table.select("card_id", *[(digits(F.col(c)) if "_mean_" in c else F.round(c, 4) + 0.0).alias(c) for c in table.columns if c != "card_id"])
 
 
 FAMILIES = {"merchant": ["card_id", "merchant_id"], "category": ["card_id", "merchant_category_id"],
-            "subsector": ["card_id", "subsector_id"]}
+            "c2": ["card_id", "category_2"], "subsector": ["card_id", "subsector_id"]}
 
 
 @query("E7", with_views(TXN, "diffs AS (SELECT card_id, " + ", ".join(

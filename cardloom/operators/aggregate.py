@@ -9,6 +9,7 @@ from functools import partial, reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from cardloom.operators.ordering import hot_keys, hot_medians, split_hot
+from cardloom.sources.tables import stage
 
 Spec = Sequence[tuple[str, Sequence[str]]]
 
@@ -200,12 +201,13 @@ def group_transform(df: DataFrame, keys: Sequence[str], value: str, stats: Mappi
                     source: DataFrame | None = None) -> DataFrame:
     """Give every row the statistics of its group; ``stats`` maps new name to statistic.
 
-    An aggregate joined back, not a window: it combines before the shuffle and a hot group stays spread out.
+    An aggregate joined back, not a window: it combines before the shuffle and a hot group stays spread out. The
+    aggregate is stored first, so that Spark joins it by its measured size: few groups are broadcast.
     ``source`` takes the statistics from another table, such as the history slice.
     """
     table = multi_agg(source if source is not None else df, keys, [(value, list(stats.values()))])
     renamed = table.withColumnsRenamed({f"{value}_{s}": n for n, s in stats.items()})
-    return attach(df, renamed, keys)
+    return attach(df, stage(renamed, "group_statistics"), keys)
 
 
 def visit_counts(df: DataFrame, value: str = "purchase_amount") -> DataFrame:
@@ -213,7 +215,7 @@ def visit_counts(df: DataFrame, value: str = "purchase_amount") -> DataFrame:
 
     The card count is the sum of the pair counts, so both come from one pass over the rows.
     """
-    pairs = df.groupBy("card_id", "merchant_id").agg(F.count(value).alias("card_merchant_counts_totals"))
+    pairs = stage(df.groupBy("card_id", "merchant_id").agg(F.count(value).alias("card_merchant_counts_totals")), "visits")
     per_card = pairs.groupBy("card_id").agg(F.sum("card_merchant_counts_totals").alias("card_visit_counts"))
     return df.join(pairs, ["card_id", "merchant_id"], "left").join(per_card, "card_id", "left")
 

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from cardloom.operators.ordering import position_in_group
 from cardloom.operators.pivots import pivot_values, value_name
 from cardloom.session import settle
+from cardloom.sources.tables import stage
 
 # Smoothing term and scale of the label rate.
 SMOOTHING = 0.01
@@ -27,8 +28,8 @@ def label_dictionary(df: DataFrame, columns: Sequence[str], hot_rows: int | None
                                  F.coalesce(F.col(c).cast("string"), F.lit("nan")).alias("value"))
                         for c in columns])
     values = settle(df.select(F.explode(entries).alias("e")).select("e.*").distinct())
-    return position_in_group(values, ["column"], ["value"], "_rank", hot_rows).select(
-        "column", "value", (F.col("_rank") - 1).cast("int").alias("code"))
+    ranked = position_in_group(values, ["column"], ["value"], "_rank", hot_rows)
+    return stage(ranked.select("column", "value", (F.col("_rank") - 1).cast("int").alias("code")), "labels")
 
 
 def label_encode(df: DataFrame, columns: Sequence[str], hot_rows: int | None = None) -> DataFrame:
@@ -115,6 +116,6 @@ def attach_out_of_fold(df: DataFrame, items: Sequence[str], label: str, fold: st
 def mean_encode(df: DataFrame, columns: Sequence[str], label: str, suffix: str = "") -> DataFrame:
     """Replace each value by the mean label of all rows that share it."""
     for c in columns:
-        means = df.where(F.col(c).isNotNull()).groupBy(c).agg(F.avg(label).alias("_m"))
+        means = stage(df.where(F.col(c).isNotNull()).groupBy(c).agg(F.avg(label).alias("_m")), "means")
         df = df.join(means, c, "left").withColumn(f"{c}{suffix}", F.col("_m")).drop("_m")
     return df

@@ -22,10 +22,10 @@ def membership(cards: DataFrame, rows: DataFrame, key: str, flags: Mapping[str,
 
 
 def dimension(facts: DataFrame, table: DataFrame, key: str, columns: Sequence[str], dedupe: bool = False) -> DataFrame:
-    """Left join of chosen dimension columns. Repeated keys fan out unless ``dedupe`` merges equal ones."""
+    """Left join of chosen dimension columns. Repeated keys fan out unless ``dedupe`` keeps their smallest row."""
     chosen = table.select(key, *columns)
     if dedupe:
-        chosen = chosen.groupBy(key).agg(*[F.min(c).alias(c) for c in columns])
+        chosen = chosen.groupBy(key).agg(F.min(F.struct(*columns)).alias("_row")).select(key, "_row.*")
     return facts.join(chosen, key, "left")
 
 

@@ -14,28 +14,25 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from cardloom.session import settle
+from cardloom.sources.tables import stage
 
 HOT_ROWS = 1_000_000
 NEVER_HOT = sys.maxsize  # for callers that know no group is long: skips the detection
-MAX_HOT_KEYS = 1000
 _PIECE, _POS = "_piece", "_pos"
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int | None = None) -> DataFrame | None:
     """Keys whose group is too long for one task, or ``None`` when there are none.
 
-    At most ``MAX_HOT_KEYS`` keys can qualify, because each must hold more than that fraction of all rows;
-    the result may therefore be broadcast.
+    Every key above the limit qualifies, however many there are. They are stored once, so Spark knows their size and
+    broadcasts them only when they are few.
     """
     hot_rows = HOT_ROWS if hot_rows is None else hot_rows
     if hot_rows == NEVER_HOT:
         return None
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    largest, total = counts.agg(F.max("_n"), F.sum("_n")).first()
-    if largest is None or largest <= hot_rows:
-        return None
-    limit = max(hot_rows, total // MAX_HOT_KEYS)
-    return counts.where(F.col("_n") > limit).select(*keys)
+    hot = stage(counts.where(F.col("_n") > hot_rows).select(*keys), "hot_keys")
+    return None if hot.isEmpty() else hot
 
 
 def same_keys(keys: Sequence[str], left: str, right: str) -> Column:
@@ -49,7 +46,7 @@ def same_keys(keys: Sequence[str], left: str, right: str) -> Column:
 def split_hot(df: DataFrame, keys: Sequence[str], hot: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Rows of ordinary keys, rows of hot keys."""
     condition = same_keys(keys, "l", "r")
-    left, right = df.alias("l"), F.broadcast(hot.alias("r"))
+    left, right = df.alias("l"), hot.alias("r")
     return left.join(right, condition, "left_anti"), left.join(right, condition, "left_semi")
 
 
@@ -141,7 +138,7 @@ def position_in_group(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     cold, heavy = split_hot(df, keys, hot)
     indexed = global_index(heavy, [*keys, *order], "_g")
     starts = indexed.groupBy(*keys).agg(F.min("_g").alias("_start"))  # one row per hot key
-    placed = (indexed.alias("l").join(F.broadcast(starts.alias("r")), same_keys(keys, "l", "r"))
+    placed = (indexed.alias("l").join(starts.alias("r"), same_keys(keys, "l", "r"))
               .select("l.*", F.col("r._start").alias("_start"))
               .withColumn(name, F.col("_g") - F.col("_start") + 1).drop("_g", "_start"))
     return cold.withColumn(name, F.row_number().over(window).cast("bigint")).unionByName(placed)
@@ -161,7 +158,7 @@ def hot_medians(df: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> D
     ranked = running_totals(freq, [*group, "_v"], {"_cum": "_n"})
     totals = ranked.groupBy(*group).agg(F.sum("_n").alias("_total"),
                                         F.min(F.col("_cum") - F.col("_n")).alias("_base"))
-    placed = (ranked.alias("l").join(F.broadcast(totals.alias("r")), same_keys(group, "l", "r"))
+    placed = (ranked.alias("l").join(totals.alias("r"), same_keys(group, "l", "r"))
               .select("l.*", "r._total", "r._base"))
     start, stop = F.col("_cum") - F.col("_n") - F.col("_base"), F.col("_cum") - F.col("_base")
     low, high = F.floor((F.col("_total") - 1) / 2), F.floor(F.col("_total") / 2)

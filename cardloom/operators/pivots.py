@@ -9,15 +9,11 @@ from pyspark.sql import Column, DataFrame, functions as F
 from cardloom.functions.clean import ratio
 from cardloom.operators.aggregate import EXACT_SCALE, exact_sum
 
-MAX_PIVOT_VALUES = 5000
 
-
-def pivot_values(df: DataFrame, column: str, limit: int = MAX_PIVOT_VALUES) -> list:
-    """The sorted distinct values of a pivot column, refused beyond ``limit``: they become columns."""
-    rows = df.where(F.col(column).isNotNull()).select(column).distinct().limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"{column} has more than {limit} values; keep the table long")
-    return sorted(r[0] for r in rows)
+def pivot_values(df: DataFrame, column: str) -> list:
+    """The sorted distinct values of a pivot column. Each becomes a column, so a wide table suits few values only;
+    ``category_matrix`` keeps any number of them long."""
+    return sorted(r[0] for r in df.where(F.col(column).isNotNull()).select(column).distinct().collect())
 
 
 def value_name(column: str, value: object) -> str:

@@ -10,6 +10,7 @@ from cardloom.functions.clean import ratio
 from cardloom.functions.dates import day_seconds, floor_days
 from cardloom.operators.aggregate import fill_with_mean, multi_agg
 from cardloom.operators.ordering import NEVER_HOT, hot_keys, previous_in_group, running_totals
+from cardloom.sources.tables import stage
 
 Group = Sequence[str]
 GAP_COLUMNS = ("purchase_time_diff_days", "purchase_time_diff_seconds")
@@ -74,7 +75,7 @@ def cumulative_share(df: DataFrame, value: str, name_column: str) -> DataFrame:
 
 def outlier_flags(df: DataFrame, key: str, value: str, width: float = 2.04) -> DataFrame:
     """1 for values beyond mean ± width deviations of their group; the limits are joined, not windowed."""
-    limits = multi_agg(df, [key], [(value, ["mean", "std"])], prefix="_")
+    limits = stage(multi_agg(df, [key], [(value, ["mean", "std"])], prefix="_"), "limits")
     rows = df.join(limits, key, "left")
     mean, reach = F.col(f"_{value}_mean"), F.col(f"_{value}_std") * width
     return (rows.withColumn("upper_outlier", F.coalesce((F.col(value) > mean + reach).cast("int"), F.lit(0)))
@@ -83,8 +84,12 @@ def outlier_flags(df: DataFrame, key: str, value: str, width: float = 2.04) -> D
 
 
 def cap_outliers(df: DataFrame, key: str, value: str, width: float = 2.04) -> DataFrame:
-    """Replace upper (lower) outliers by the largest (smallest) value that is not one, per group."""
-    flagged = outlier_flags(df, key, value, width)
+    """Replace upper (lower) outliers by the largest (smallest) value that is not one, per group.
+
+    The flagged rows are stored: aggregated straight from the join they would have to share its partitioning by key, and
+    the rows of one long key could not be split.
+    """
+    flagged = stage(outlier_flags(df, key, value, width), "flagged")
     ordinary = F.when((F.col("upper_outlier") == 0) & (F.col("lower_outlier") == 0), F.col(value))
     limits = flagged.groupBy(key).agg(F.max(ordinary).alias("_hi"), F.min(ordinary).alias("_lo"))
     return (flagged.join(limits, key, "left")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -36,13 +37,18 @@ def outlier_rows(txn: DataFrame, setting: Setting) -> DataFrame:
 def with_group_means(rows: DataFrame, columns: Sequence[str], value: str = "purchase_amount") -> DataFrame:
     """Mean amount of each column's own value within the row's period, on each row.
 
-    ``rows`` must be a stored table: every mean is taken from it, not from the growing join. Batches of statistics
-    that do not use the means drop the joins.
+    ``rows`` must be a stored table: every mean is taken from it, not from the growing join. The means are stored
+    together, so each join knows their measured size and few-valued columns do not shuffle the rows. Batches of
+    statistics that do not use the means drop the joins.
     """
     wide = rows.withColumn("_period", history())
+    means = stage(reduce(DataFrame.unionAll, [
+        multi_agg(wide, ["_period", c], [(value, ["mean"])]).select(
+            "_period", F.lit(c).alias("_column"), F.col(c).cast("string").alias("_value"), F.col(f"{value}_mean").alias("_mean"))
+        for c in columns]), "group_means")
     for c in columns:
-        means = multi_agg(rows.withColumn("_period", history()), ["_period", c], [(value, ["mean"])])
-        wide = wide.join(means.withColumnRenamed(f"{value}_mean", f"{c}_amount_mean"), ["_period", c], "left")
+        own = means.where(F.col("_column") == c).select("_period", "_value", F.col("_mean").alias(f"{c}_amount_mean"))
+        wide = wide.withColumn("_value", F.col(c).cast("string")).join(own, ["_period", "_value"], "left").drop("_value")
     return wide.drop("_period")
 
 

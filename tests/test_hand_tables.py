@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cardloom.functions import clean, dates
-from cardloom.operators import aggregate, encode, folds, metrics, pivots, text, windows
+from cardloom.operators import aggregate, encode, folds, joins, metrics, pivots, text, windows
 
 
 def rows_of(df):
@@ -100,9 +100,17 @@ def test_two_level_sum_ignores_slices_without_rows(spark):
     assert rows_of(table) == [(1, -5.0, 3.0)]
 
 
-def test_pivot_values_are_refused_beyond_the_limit(spark):
-    with pytest.raises(ValueError):
-        pivots.pivot_values(spark.range(20), "id", limit=10)
+def test_a_pivot_without_a_list_keeps_every_row(spark):
+    rows = spark.createDataFrame([(i % 3, i - 50, float(i)) for i in range(100)] + [(1, None, 5.0)], "k int, gap int, v double")
+    wide = pivots.sum_pivot(rows, "k", "gap", "v", name=str)
+    assert len(wide.columns) == 101
+    assert sum(sum(r[1:]) for r in wide.collect()) == sum(range(100))
+
+
+def test_a_deduplicated_dimension_keeps_a_row_that_exists(spark):
+    table = spark.createDataFrame([(1, "a", 9), (1, "b", 2), (2, "c", 3)], "k int, x string, y int")
+    joined = joins.dimension(spark.createDataFrame([(1,), (2,), (3,)], "k int"), table, "k", ["x", "y"], dedupe=True)
+    assert rows_of(joined) == [(1, "a", 9), (2, "c", 3), (3, None, None)]
 
 
 def test_tokens_split_at_points_and_keep_accents(spark):

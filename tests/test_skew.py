@@ -26,6 +26,14 @@ def test_hot_keys_are_found_and_few(skewed):
     assert ordering.hot_keys(skewed, ["card_id"]) is None
 
 
+def test_many_keys_of_medium_length_are_all_split(spark):
+    rows = spark.range(60_000).selectExpr("id % 3000 AS k", "id AS at", "cast(id * 7 % 11 as double) AS v")  # 20 rows each
+    hot = ordering.hot_keys(rows, ["k"], 10)
+    assert hot.count() == 3000
+    plain, split = (ordering.previous_in_group(rows, ["k"], ["at"], {"p": "v"}, hot_rows=h) for h in (None, 10))
+    assert as_set(split, "at", "p") == as_set(plain, "at", "p")
+
+
 def test_previous_row(skewed):
     order = ["purchase_date", "event_id"]
     columns = ("event_id", "p", "t")
