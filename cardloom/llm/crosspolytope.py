@@ -96,11 +96,11 @@ def buckets(found: DataFrame, rotations: Rotations, probes: int, query: bool) ->
     return found.mapInArrow(row_map(rows, schema), "tab int, axis int, id long, v binary")
 
 
-def dealt(rows: DataFrame, counts: DataFrame, size: int, own: str, other: str) -> DataFrame:
-    """Deal each bucket's rows into blocks of about ``size``, and repeat them for each block of the other side."""
-    blocks = {s: F.ceil(F.col(f"n_{s}") / size) for s in (own, other)}
-    placed = rows.join(counts, ["tab", "axis"]).withColumn(own, F.pmod(F.xxhash64("id", F.lit(own)), blocks[own]).cast("int"))
-    return placed.withColumn(other, F.explode(F.sequence(F.lit(0), blocks[other].cast("int") - 1))).select("tab", "axis", "d", "q", "id", "v")
+def dealt(rows: DataFrame, blocks: DataFrame, own: str, other: str) -> DataFrame:
+    """Deal each bucket's rows into its blocks, and repeat them for each block of the other side."""
+    placed = rows.join(blocks, ["tab", "axis"]).withColumn(own, F.pmod(F.xxhash64("id", F.lit(own)), F.col(f"n_{own}")).cast("int"))
+    repeated = placed.withColumn(other, F.explode(F.sequence(F.lit(0), F.col(f"n_{other}") - 1)))
+    return repeated.select("tab", "axis", "d", "q", "id", "v")
 
 
 def best_of_block(k: int, dimension: int):
@@ -134,11 +134,13 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, tables: int = 14,
     rotations = Rotations(dimension, largest * (1 + 1e-12), tables)
     stored = stage(buckets(good, rotations, 1, False), "stored")
     asked = stage(buckets(good.where(is_query), rotations, probes, True), "asked")
-    counts = stage(stored.groupBy("tab", "axis").agg(F.count(F.lit(1)).alias("n_d")).join(
-        asked.groupBy("tab", "axis").agg(F.count(F.lit(1)).alias("n_q")), ["tab", "axis"]), "counts")
+
+    def n_blocks(size: int) -> Column:
+        return F.ceil(F.count(F.lit(1)) / size).cast("int")
+    blocks = stage(stored.groupBy("tab", "axis").agg(n_blocks(block).alias("n_d")).join(
+        asked.groupBy("tab", "axis").agg(n_blocks(block // 8).alias("n_q")), ["tab", "axis"]), "blocks")
     group = ["tab", "axis", "d", "q"]
-    found = (dealt(asked, counts, block // 8, "q", "d").groupBy(*group)
-             .cogroup(dealt(stored, counts, block, "d", "q").groupBy(*group))
+    found = (dealt(asked, blocks, "q", "d").groupBy(*group).cogroup(dealt(stored, blocks, "d", "q").groupBy(*group))
              .applyInArrow(best_of_block(k, dimension), "query_id long, vec_id long, score double"))
     once = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
