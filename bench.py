@@ -22,6 +22,7 @@ HEADLINE = [
     "category_profile_with_missing", "two_level_statistics", "change_summary_per_grouping", "weekly_spend_pivot",
     "distinct_count_ratios", "label_codes", "out_of_fold_rates", "purchase_time_gaps", "text_per_card", "token_counts",
     "chi_square_top_tokens", "svd_row_energy", "correlation_matrix", "roc_auc",
+    "staged_card_features", "large_card_features", "outlier_feature_table", "outlier_rate_table", "nmf_count_scores",
 ]
 
 

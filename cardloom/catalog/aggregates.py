@@ -586,20 +586,29 @@ def visit_counts_on_rows(spark, d):
     return rows.select("o_orderkey", "l_linenumber", "card_merchant_counts_totals", "card_visit_counts")
 
 
-CODES = ["C2_state", "subsector_city", "auth_C3"]
+# The thirteen columns whose label codes are described.
+CODES = [*clean.interaction_keys(), "merchant_id", "merchant_category_id", "subsector_id", "city_id", "state_id", "category_2", "category_3", "installments"]
+PERIODS = {"_hist": HIST, "_new": NEW}
 
 
-@query("D50", with_views(TXN, INTERACTIONS_SQL, "coded AS (SELECT o_orderkey, l_linenumber, " + ", ".join(
-    f'dense_rank() OVER (ORDER BY "{c}") - 1 AS "{c}"' for c in CODES) + " FROM keyed)",
-    "SELECT o_orderkey, " + ", ".join(
-    f'avg("{c}") AS "{c}_mean", max("{c}") AS "{c}_max", median("{c}") AS "{c}_median", CAST(sum("{c}") AS DOUBLE) AS "{c}_sum", '
-    f'round(stddev_samp("{c}"), 6) AS "{c}_std", count("{c}") AS "{c}_count"' for c in CODES) + " FROM coded GROUP BY o_orderkey"))
+def code_statistics_sql(c: str, p: str, where: str) -> str:
+    f = f"FILTER (WHERE {where})"
+    return (f'{digits_sql(f"""avg("{c}") {f}""")} AS "{c}_mean{p}", max("{c}") {f} AS "{c}_max{p}", median("{c}") {f} AS "{c}_median{p}", '
+            f'CAST(coalesce(sum("{c}") {f}, 0) AS DOUBLE) AS "{c}_sum{p}", {digits_sql(f"""stddev_samp("{c}") {f}""")} AS "{c}_std{p}", '
+            f'count("{c}") {f} AS "{c}_count{p}"')
+
+
+@query("D50", with_views(TXN, INTERACTIONS_SQL.replace("SELECT o_orderkey, l_linenumber", "SELECT *"), "coded AS (SELECT card_id, month_lag, " + ", ".join(
+    f"""dense_rank() OVER (ORDER BY coalesce(CAST("{c}" AS VARCHAR), 'nan')) - 1 AS "{c}\"""" for c in CODES) + " FROM keyed)",
+    "SELECT card_id, " + ", ".join(code_statistics_sql(c, p, w) for c in CODES for p, w in PERIODS.items()) + " FROM coded GROUP BY card_id"))
 def encoded_category_statistics(spark, d):
-    keys = {n: c for n, c in clean.interaction_keys().items() if n in CODES}
-    rows = views.transactions(spark, d).select("o_orderkey", *[c.alias(n) for n, c in keys.items()])
-    table = multi_agg(encode.label_encode(rows, CODES), ["o_orderkey"],
-                      [(c, ["mean", "max", "median", "sum", "std", "count"]) for c in CODES])
-    return table.withColumns({f"{c}_std": F.round(f"{c}_std", 6) for c in CODES})
+    txn = views.transactions(spark, d)
+    rows = tables.stage(txn.select("card_id", "month_lag", *[c.alias(n) for n, c in clean.interaction_keys().items()],
+                                   *[c for c in CODES if c in txn.columns]), "codes")
+    table = multi_agg(encode.label_encode(rows, CODES), ["card_id"],
+                      [(c, ["mean", "max", "median", "sum", "std", "count"]) for c in CODES], slices={"_hist": history(), "_new": recent()})
+    return table.select("card_id", *[digits(F.col(f"`{c}`")).alias(c) if "_mean_" in c or "_std_" in c else F.col(f"`{c}`")
+                                     for c in table.columns if c != "card_id"])
 
 
 SEASON = {"month": "month(purchase_date)", "hour": "hour(purchase_date)", "weekofyear": "weekofyear(purchase_date)",
