@@ -587,7 +587,8 @@ def visit_counts_on_rows(spark, d):
 
 
 # The thirteen columns whose label codes are described.
-CODES = [*clean.interaction_keys(), "merchant_id", "merchant_category_id", "subsector_id", "city_id", "state_id", "category_2", "category_3", "installments"]
+CODES = ["city_C1", "C2_state", "C2_state_subsector", "subsector_city", "auth_C3", "merchant_id", "merchant_category_id", "subsector_id",
+         "city_id", "state_id", "category_2", "category_3", "installments"]
 PERIODS = {"_hist": HIST, "_new": NEW}
 
 
