@@ -61,7 +61,8 @@ def keep_bitmaps(docs: DataFrame, min_chars: int = 40, min_docs: int = 5, key: s
     key count as one document, smaller than any other; rows that share a key are one document, too.
     """
     lines = stage(line_hashes(docs, min_chars, key, text), "lines")
-    dropped = (lines.join(repeated_lines(lines, min_docs), ["h1", "h2"]).where(~F.col("doc").eqNullSafe(F.col("keeper")))
+    repeated = stage(repeated_lines(lines, min_docs), "repeated")  # stored, so that the join may split a very common line
+    dropped = (lines.join(repeated, ["h1", "h2"]).where(~F.col("doc").eqNullSafe(F.col("keeper")))
                .select("doc", "version", "pos").repartition("doc", "version"))
     bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("pos") % 64)
     words = dropped.groupBy("doc", "version", F.floor(F.col("pos") / 64).cast("int").alias("word")).agg(
