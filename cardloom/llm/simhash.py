@@ -181,6 +181,13 @@ def keep_one(docs: DataFrame, shingle: int = 3, distance: int = 2, key: str = "d
     order = F.min(F.struct(F.col(key).isNull().alias("none"), F.col(key).alias("k"), F.col("version").alias("v")))
     chosen = (marked.join(groups(marked, distance, key), "fp").groupBy("root").agg(order.alias("best"))
               .select("best.k", "best.v").distinct())
-    packed = docs.select(F.struct("*").alias("row"), F.col(key).alias("key"), F.xxhash64(text).alias("version"))
-    met = packed.join(stage(chosen, "chosen"), F.col("key").eqNullSafe(F.col("k")) & (F.col("version") == F.col("v")))
-    return met.groupBy("k", "v").agg(F.any_value("row").alias("row")).select("row.*")
+    # Repeats of a row go first, combined before the one shuffle of the texts, and the choice meets them where they lie.
+    chosen = stage(chosen.select(*_identity(F.col("k"), F.col("v"))), "chosen")
+    packed = docs.select(F.struct("*").alias("row"), *_identity(F.col(key), F.xxhash64(text)))
+    once = packed.groupBy("a", "b").agg(F.any_value("row").alias("row"))
+    return once.join(chosen, ["a", "b"], "left_semi").select("row.*")
+
+
+def _identity(key: Column, version: Column) -> list[Column]:
+    """128 bits that stand for a key, null or not, and a text."""
+    return [F.xxhash64(key, version).alias("a"), F.xxhash64(key, version, F.lit(1)).alias("b")]
