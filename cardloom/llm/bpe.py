@@ -23,6 +23,7 @@ from cardloom.llm.batches import Memo, arrow_fields, ddl, row_map
 
 SCHEMA = pa.schema([("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())])
 SHIFT, AT = 20, 32  # bits of an id inside a pair, and of a position inside a queue entry
+MEMO_CHARS = 64  # longer stretches hardly come back
 CONTROLS = "\x1c\x1d\x1e\x1f"
 SPACE = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
 FAST = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\t-\r a-z0-9]+")  # the vocabulary's own cut, on lower-case ASCII
@@ -61,6 +62,7 @@ class WordBpe:
         self.words = regex.compile(cut)
         self.specials = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")")
         self.coded, self.chunked = Memo(self._coded, limit=400_000), Memo(self._chunk, limit=200_000)
+        self.counted = Memo(self._count, limit=400_000)
 
     def merge(self, word: bytes) -> list[int]:
         """Ids of one pre-token."""
@@ -117,6 +119,10 @@ class WordBpe:
         ids, strings, counts = zip(*[self.coded[word] for word in words])
         return " ".join(ids), " ".join(strings), sum(counts)
 
+    def _count(self, chunk: str) -> int:
+        """How many ids a stretch without white space has."""
+        return sum(len(self.merge(word.encode("utf-8"))) for word in self.pretokens(chunk))
+
     @staticmethod
     def chunks(plain: str) -> list[str]:
         """Cut at white space, which no pre-token holds. ``str.split`` also cuts at four control characters."""
@@ -157,6 +163,13 @@ class WordBpe:
         return (sum(counts), hashlib.sha256(" ".join(ids).encode()).hexdigest(),
                 hashlib.sha256(" ".join(strings).encode()).hexdigest())
 
+    def count(self, text: str | None) -> int:
+        """Number of ids, none of which is kept. Only short stretches enter the memo."""
+        memo, n = self.counted, 0
+        for special, part in self.parts(text or ""):
+            n += 1 if special is not None else sum(memo[c] if len(c) <= MEMO_CHARS else self._count(c) for c in self.chunks(part))
+        return n
+
 
 @lru_cache(maxsize=2)
 def model(path: str) -> WordBpe:
@@ -193,3 +206,15 @@ def encode_digests(docs: DataFrame, path: str, key: str = "doc_id", text: str =
     found = docs.select(key, text)
     schema = pa.schema([*arrow_fields(found, [key]), *SCHEMA])
     return found.mapInArrow(row_map(rows, schema), f"{ddl(found, [key])}, n_tokens long, ids_sha256 string, decoded_sha256 string")
+
+
+def token_counts(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``key`` and ``n_tokens`` of every row, as ``encode`` would count them; no ids are built up."""
+    def rows(batch: pa.RecordBatch):
+        bpe = model(path)
+        for k, t in zip(batch.column(0).to_pylist(), batch.column(1)):
+            yield k, bpe.count(t.as_py())
+
+    found = docs.select(key, text)
+    schema = pa.schema([*arrow_fields(found, [key]), ("n_tokens", pa.int64())])
+    return found.mapInArrow(row_map(rows, schema), f"{ddl(found, [key])}, n_tokens long")

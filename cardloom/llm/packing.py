@@ -22,6 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from cardloom.llm import bpe
 from cardloom.llm.batches import arrow_fields, ddl
 from cardloom.operators.ordering import global_index
 from cardloom.sources.tables import stage
@@ -133,3 +134,11 @@ def pack(docs: DataFrame, length: Column | None = None, capacities: tuple[int, .
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(bin_id), pa.array(made.offset[at]), pa.array(size)], schema=schema)
 
     return placed.mapInArrow(run, f"{ddl(cut, cut.columns)}, bin_id long, bin_offset long, capacity long")
+
+
+def pack_tokens(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """As ``pack``, with the tokens of the tokenizer file ``path`` and one end mark as the length of a text.
+
+    ``start`` and ``n_tokens`` count tokens; the end mark comes after a text's last one. One pass counts them, no ids are kept.
+    """
+    return pack(bpe.token_counts(docs, path, key, text), F.col("n_tokens") + 1, key=key)

@@ -6,6 +6,7 @@ return the columns of ``documents``.
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cardloom.llm import langid, linededup, packing, rules, simhash
@@ -35,8 +36,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Where each piece of each document lies in which training sequence."""
-    return packing.pack(docs)
+    """Where each piece of each document, measured in tokens, lies in which training sequence."""
+    return packing.pack_tokens(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
 STAGES = [

@@ -5,6 +5,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+import tokenizers
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -149,6 +150,20 @@ def test_packing_fills_bins_and_mixes_sizes(spark):
     assert packing.pack(docs.limit(5), F.lit(None).cast("long")).collect() == []
 
 
+def test_no_bin_of_the_query_or_the_pipeline_holds_more_tokens_than_its_size(spark, sf, hard, tmp_path):
+    path = queries.public_tokenizers.path("word_bpe_49k.json")
+    reader = tokenizers.Tokenizer.from_file(path)
+    blankless = [(700, "光" * 3000 + "x7Qz" * 2000, *[None] * 8)]
+    docs = hard.unionByName(spark.createDataFrame(blankless, hard.schema))
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    lengths = Counter()
+    for r in docs.collect():
+        lengths[r.doc_id] += len(reader.encode(r.text or "", add_special_tokens=False).ids) + 1
+    assert lengths[700] > 2 * max(packing.CAPACITIES)
+    check_packing(queries.QUERIES["op10_best_fit_packing"](spark, str(tmp_path)).collect(), lengths, packing.CAPACITIES)
+    check_packing(corpus_pipeline.STAGES[-1][1](spark, docs, sf).collect(), lengths, packing.CAPACITIES)
+
+
 # --- pipeline -----------------------------------------------------------------------------------------------------
 
 def test_each_stage_works_on_what_its_predecessor_kept(spark, sf):
