@@ -1,14 +1,16 @@
 """Approximate nearest neighbours by cross-polytope hashing.
 
-Vectors are scaled onto the unit sphere with one more coordinate, which turns the largest inner product into the smallest
-angle. Each table rotates them with three rounds of random signs and a fast Hadamard transform and assigns them to the
+Stored vectors fall into bands of similar norm. Each band is scaled by its own largest norm onto the unit sphere with one
+more coordinate, which turns the largest inner product into the smallest angle. A band with fewer vectors than a table has
+buckets is not hashed: all queries meet all of it. Each table rotates them with three rounds of random signs and a fast Hadamard transform and assigns them to the
 nearest signed axis. A stored vector enters one bucket of each table; a query probes the axes with its largest
 coordinates in each table.
 
 Stored vectors and queries of a bucket are dealt into blocks of bounded size, and every block of stored vectors meets
 every block of queries of its bucket, so a bucket that holds a third of all vectors is spread over many tasks and nothing
 in it is skipped. A task scores exactly, in double precision on the original vectors, and sends on each query's best k;
-those of all blocks are merged by query.
+those of all blocks are merged by query. Queries that end with fewer rows than there are candidates for meet all stored
+vectors in the same kind of blocks.
 """
 
 from __future__ import annotations
@@ -23,6 +25,8 @@ from cardloom.llm.batches import row_map
 from cardloom.sources.tables import stage
 
 ROUNDS = 3
+STEP = 2 ** 0.5  # largest over smallest norm of a band
+WHOLE = -1  # table and band of the vectors that are not hashed
 
 
 def usable(vectors: DataFrame, key: str, vector: str) -> DataFrame:
@@ -33,6 +37,12 @@ def usable(vectors: DataFrame, key: str, vector: str) -> DataFrame:
             .where(finite & F.exists("v", lambda x: x != 0)))
 
 
+def norm(v: Column) -> Column:
+    """Euclidean norm; divided by the largest component first, so that squares neither overflow nor vanish."""
+    top = F.array_max(F.transform(v, F.abs))
+    return top * F.sqrt(F.aggregate(v, F.lit(0.0), lambda a, x: a + (x / top) * (x / top)))
+
+
 def hadamard(x: np.ndarray) -> np.ndarray:
     """Fast Walsh-Hadamard transform of the rows, whose length is a power of two."""
     n, width, h = *x.shape, 1
@@ -44,26 +54,29 @@ def hadamard(x: np.ndarray) -> np.ndarray:
 
 
 class Rotations:
-    """The tables' pseudo-rotations for vectors of ``dimension`` and norm at most ``largest``."""
+    """The tables' pseudo-rotations for vectors of ``dimension``."""
 
-    def __init__(self, dimension: int, largest: float, tables: int, seed: int = 42) -> None:
-        self.dimension, self.largest = dimension, largest
+    def __init__(self, dimension: int, tables: int, seed: int = 42) -> None:
+        self.dimension = dimension
         self.width = 1 << dimension.bit_length()  # room for the further coordinate
         signs = np.random.default_rng(seed).integers(0, 2, (tables, ROUNDS, self.width))
         self.signs = 2.0 * signs - 1
 
-    def sphere(self, vectors: np.ndarray, query: bool) -> np.ndarray:
-        """Unit vectors: queries scaled to norm one, stored ones by the largest norm with the rest in one more place."""
+    def sphere(self, vectors: np.ndarray, largest: np.ndarray | None) -> np.ndarray:
+        """Unit vectors: stored ones by the ``largest`` norm of their bands, with the rest in one more place; queries,
+        which have none, scaled to norm one."""
         out = np.zeros((len(vectors), self.width))
-        norms = np.linalg.norm(vectors, axis=1)
-        out[:, :self.dimension] = vectors / (norms[:, None] if query else self.largest)
-        if not query:
-            out[:, self.dimension] = np.sqrt(np.maximum(0, 1 - (norms / self.largest) ** 2))
+        if largest is None:
+            vectors = vectors / np.abs(vectors).max(axis=1)[:, None]
+            out[:, :self.dimension] = vectors / np.linalg.norm(vectors, axis=1)[:, None]
+        else:
+            out[:, :self.dimension] = vectors / largest[:, None]
+            out[:, self.dimension] = np.sqrt(np.maximum(0, 1 - (out[:, :self.dimension] ** 2).sum(axis=1)))
         return out
 
-    def axes(self, vectors: np.ndarray, probes: int, query: bool) -> Iterator[np.ndarray]:
+    def axes(self, vectors: np.ndarray, probes: int, largest: np.ndarray | None = None) -> Iterator[np.ndarray]:
         """For each table the ``probes`` nearest signed axes of each row, nearest first."""
-        unit = self.sphere(vectors, query)
+        unit = self.sphere(vectors, largest)
         for signs in self.signs:
             x = unit
             for s in signs:
@@ -80,27 +93,79 @@ def padded(arrays: list[list[float]], dimension: int) -> np.ndarray:
     return out
 
 
-def buckets(found: DataFrame, rotations: Rotations, probes: int, query: bool) -> DataFrame:
-    """(``tab``, ``axis``, ``id``, ``v``) with the vector as bytes of doubles."""
+def banded(good: DataFrame, least: int) -> tuple[DataFrame, bool]:
+    """``good`` with its ``band`` and the ``largest`` norm in it, and whether a band is ``WHOLE``: the bands of fewer
+    than ``least`` vectors, as one. A band is a stretch of norms, so there are some thousands of them at most."""
+    normed = good.withColumn("norm", norm(F.col("v")))
+    top = normed.agg(F.max("norm")).first()[0] or 1.0
+    placed = normed.withColumn("band", F.floor((F.log(F.lit(top)) - F.log("norm")) / float(np.log(STEP)) + 1e-9).cast("int"))
+    bands = placed.groupBy("band").agg(F.count(F.lit(1)).alias("n"), F.max("norm").alias("largest")).collect()
+    big = [r for r in bands if r["n"] >= least]
+    edges = good.sparkSession.createDataFrame([(r["band"], r["largest"]) for r in big], "band int, largest double")
+    out = placed.join(F.broadcast(edges), "band", "left").select(
+        "id", "v", F.when(F.col("largest").isNull(), WHOLE).otherwise(F.col("band")).alias("band"), "largest")
+    return out, len(big) < len(bands)
+
+
+def packed(found: DataFrame, dimension: int) -> DataFrame:
+    """(``id``, ``v``) with the vector as bytes of doubles."""
+    schema = pa.schema([("id", pa.int64()), ("v", pa.binary())])
+
+    def rows(batch: pa.RecordBatch):
+        if batch.num_rows:
+            yield from zip(batch.column(0).to_pylist(), [v.tobytes() for v in padded(batch.column(1).to_pylist(), dimension)])
+
+    return found.select("id", "v").mapInArrow(row_map(rows, schema), "id long, v binary")
+
+
+def stored_buckets(found: DataFrame, rotations: Rotations) -> DataFrame:
+    """(``band``, ``tab``, ``axis``, ``id``, ``v``): one bucket of each table, or the one of ``WHOLE``."""
+    schema = pa.schema([("band", pa.int32()), ("tab", pa.int32()), ("axis", pa.int32()), ("id", pa.int64()), ("v", pa.binary())])
+
+    def rows(batch: pa.RecordBatch):
+        if batch.num_rows:
+            ids, vectors, bands, largest = [c.to_pylist() for c in batch.columns]
+            vectors = padded(vectors, rotations.dimension)
+            coded = [v.tobytes() for v in vectors]
+            for i, band in enumerate(bands):
+                if band == WHOLE:
+                    yield WHOLE, WHOLE, 0, ids[i], coded[i]
+            hashed = [i for i, band in enumerate(bands) if band != WHOLE]
+            if hashed:
+                limits = np.array([largest[i] for i in hashed]) * (1 + 1e-12)
+                for tab, axes in enumerate(rotations.axes(vectors[hashed], 1, limits)):
+                    for i, (axis,) in zip(hashed, axes.tolist()):
+                        yield bands[i], tab, axis, ids[i], coded[i]
+
+    return found.select("id", "v", "band", "largest").mapInArrow(row_map(rows, schema), "band int, tab int, axis int, id long, v binary")
+
+
+def asked_buckets(found: DataFrame, rotations: Rotations, probes: int, whole: bool) -> DataFrame:
+    """(``tab``, ``axis``, ``id``, ``v``): the probed buckets, which are the same in all bands, and the one of ``WHOLE``."""
     schema = pa.schema([("tab", pa.int32()), ("axis", pa.int32()), ("id", pa.int64()), ("v", pa.binary())])
 
     def rows(batch: pa.RecordBatch):
         if batch.num_rows:
             ids, vectors = batch.column(0).to_pylist(), padded(batch.column(1).to_pylist(), rotations.dimension)
-            packed = [v.tobytes() for v in vectors]
-            for tab, axes in enumerate(rotations.axes(vectors, probes, query)):
+            coded = [v.tobytes() for v in vectors]
+            if whole:
+                for i, v in zip(ids, coded):
+                    yield WHOLE, 0, i, v
+            for tab, axes in enumerate(rotations.axes(vectors, probes)):
                 for i, row in enumerate(axes.tolist()):
                     for axis in row:
-                        yield tab, axis, ids[i], packed[i]
+                        yield tab, axis, ids[i], coded[i]
 
-    return found.mapInArrow(row_map(rows, schema), "tab int, axis int, id long, v binary")
+    return found.select("id", "v").mapInArrow(row_map(rows, schema), "tab int, axis int, id long, v binary")
 
 
-def dealt(rows: DataFrame, blocks: DataFrame, own: str, other: str) -> DataFrame:
+GROUP = ["band", "tab", "axis", "d", "q"]
+
+
+def dealt(placed: DataFrame, own: str, other: str) -> DataFrame:
     """Deal each bucket's rows into its blocks, and repeat them for each block of the other side."""
-    placed = rows.join(blocks, ["tab", "axis"]).withColumn(own, F.pmod(F.xxhash64("id", F.lit(own)), F.col(f"n_{own}")).cast("int"))
-    repeated = placed.withColumn(other, F.explode(F.sequence(F.lit(0), F.col(f"n_{other}") - 1)))
-    return repeated.select("tab", "axis", "d", "q", "id", "v")
+    mine = placed.withColumn(own, F.pmod(F.xxhash64("id", F.lit(own)), F.col(f"n_{own}")).cast("int"))
+    return mine.withColumn(other, F.explode(F.sequence(F.lit(0), F.col(f"n_{other}") - 1))).select(*GROUP, "id", "v")
 
 
 def best_of_block(k: int, dimension: int):
@@ -120,28 +185,49 @@ def best_of_block(k: int, dimension: int):
     return score
 
 
+def met(asked: DataFrame, stored: DataFrame, k: int, dimension: int) -> DataFrame:
+    """(``query_id``, ``vec_id``, ``score``) of the best of each pair of blocks."""
+    return (dealt(asked, "q", "d").groupBy(*GROUP).cogroup(dealt(stored, "d", "q").groupBy(*GROUP))
+            .applyInArrow(best_of_block(k, dimension), "query_id long, vec_id long, score double"))
+
+
+def ranked(found: DataFrame, k: int) -> DataFrame:
+    once = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    return once.select("query_id", F.row_number().over(order).alias("rank"), "vec_id", "score").where(F.col("rank") <= k)
+
+
 def search(vectors: DataFrame, is_query: Column, k: int = 20, tables: int = 14, probes: int = 16, block: int = 2048,
            key: str = "vec_id", vector: str = "embedding") -> DataFrame:
     """``query_id``, ``rank`` (from 1), ``vec_id`` and ``score`` of the ``k`` found nearest of each query row.
 
     ``is_query`` is a condition on ``id``; the candidates are all rows but the query's own key. Ties go to the smaller
-    key; of repeated keys the largest score counts once. Rows with a null key, and vectors that are null, zero or hold
+    key; of repeated keys the largest score counts once. A query gets ``k`` rows, or all candidates if they are fewer.
+    Tables of fewer vectors than a hash table has buckets are searched exactly. Rows with a null key, and vectors that are null, zero or hold
     null or non-finite components take no part; shorter vectors count as ending in zeros. Other columns are left out.
     """
     good = stage(usable(vectors, key, vector), "vectors")
-    shape = good.agg(F.max(F.size("v")), F.max(F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)))).first()
-    dimension, largest = shape[0] or 1, shape[1] or 1.0
-    rotations = Rotations(dimension, largest * (1 + 1e-12), tables)
-    stored = stage(buckets(good, rotations, 1, False), "stored")
-    asked = stage(buckets(good.where(is_query), rotations, probes, True), "asked")
+    shape = good.agg(F.max(F.size("v")), F.count(F.lit(1))).first()
+    dimension = shape[0] or 1
+    rotations = Rotations(dimension, tables)
+    in_bands, whole = banded(good, 2 * rotations.width)
+    stored = stage(stored_buckets(in_bands, rotations), "stored")
+    asked = stage(asked_buckets(good.where(is_query), rotations, probes, whole), "asked")
 
     def n_blocks(size: int) -> Column:
         return F.ceil(F.count(F.lit(1)) / size).cast("int")
-    blocks = stage(stored.groupBy("tab", "axis").agg(n_blocks(block).alias("n_d")).join(
-        asked.groupBy("tab", "axis").agg(n_blocks(block // 8).alias("n_q")), ["tab", "axis"]), "blocks")
-    group = ["tab", "axis", "d", "q"]
-    found = (dealt(asked, blocks, "q", "d").groupBy(*group).cogroup(dealt(stored, blocks, "d", "q").groupBy(*group))
-             .applyInArrow(best_of_block(k, dimension), "query_id long, vec_id long, score double"))
-    once = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return once.select("query_id", F.row_number().over(order).alias("rank"), "vec_id", "score").where(F.col("rank") <= k)
+    blocks = stage(stored.groupBy("band", "tab", "axis").agg(n_blocks(block).alias("n_d")).join(
+        asked.groupBy("tab", "axis").agg(n_blocks(max(1, block // 8)).alias("n_q")), ["tab", "axis"]), "blocks")
+    found = met(asked.join(blocks, ["tab", "axis"]), stored.join(blocks, ["band", "tab", "axis"]), k, dimension)
+    best = stage(ranked(found, k), "best")
+
+    least = min(k, good.select("id").distinct().count() - 1)
+    enough = best.groupBy("query_id").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least)
+    poor = stage(good.where(is_query).join(enough, F.col("id") == F.col("query_id"), "left_anti"), "poor")
+    n_poor = poor.count() if least > 0 else 0
+    if not n_poor:
+        return best
+    counts = {"band": 0, "tab": 0, "axis": 0, "n_d": -(-shape[1] // block), "n_q": -(-n_poor // max(1, block // 8))}
+    one = {c: F.lit(n) for c, n in counts.items()}
+    rest = met(packed(poor, dimension).withColumns(one), packed(good, dimension).withColumns(one), k, dimension)
+    return ranked(best.select("query_id", "vec_id", "score").unionByName(rest), k)

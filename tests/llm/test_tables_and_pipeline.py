@@ -112,6 +112,53 @@ def test_probing_everything_is_exact_for_odd_vectors_ties_and_crowded_buckets(sp
     assert crosspolytope.search(table.where("false"), F.col("id") % 20 == 0).collect() == []
 
 
+def searched(spark, rows, **options):
+    table = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in rows], "vec_id long, embedding array<double>").repartition(3)
+    got = defaultdict(list)
+    for r in crosspolytope.search(table, F.col("id") % 20 == 0, **options).orderBy("query_id", "rank").collect():
+        got[r.query_id].append((r.vec_id, round(r.score, 9)))
+    return dict(got)
+
+
+def best_by_key(rows, k=20):
+    """Brute force; of repeated keys the largest score counts once."""
+    wanted = {}
+    for q in {i for i, _ in rows if i % 20 == 0}:
+        scores = {}
+        for own in (v for i, v in rows if i == q):
+            for i, v in rows:
+                if i != q:
+                    scores[i] = max(scores.get(i, -np.inf), float((v * own).sum()))
+        wanted[q] = [(i, round(s, 9)) for s, i in sorted((-s, i) for i, s in scores.items())[:k]]
+        wanted[q] = [(i, -s) for i, s in wanted[q]]
+    return wanted
+
+
+@pytest.mark.parametrize("n", [15, 40])
+def test_a_small_table_gives_all_its_nearest(spark, n):
+    rows = list(enumerate(np.random.default_rng(n).normal(size=(n, 64))))
+    assert searched(spark, rows) == best_by_key(rows)
+
+
+@pytest.mark.parametrize("norms", ["one long", "lognormal"])
+def test_recall_with_unequal_norms(spark, norms):
+    rng = np.random.default_rng(3)
+    vectors = rng.normal(size=(600, 64))
+    vectors /= np.linalg.norm(vectors, axis=1)[:, None]
+    vectors *= np.where(np.arange(600) == 7, 50, 1)[:, None] if norms == "one long" else rng.lognormal(size=600)[:, None]
+    rows = list(enumerate(vectors))
+    got, wanted = searched(spark, rows), best_by_key(rows)
+    assert set(got) == set(wanted) and all(len(x) == 20 for x in got.values())
+    hits = sum(len({i for i, _ in got[q]} & {i for i, _ in wanted[q]}) for q in wanted)
+    assert hits >= (0.87 if norms == "one long" else 0.95) * 20 * len(wanted), hits / 20 / len(wanted)
+
+
+def test_queries_that_find_too_little_meet_all_vectors(spark):
+    rows = list(enumerate(np.random.default_rng(4).normal(size=(300, 64))))
+    rows = [(i, v / np.linalg.norm(v)) for i, v in rows]
+    assert all(len(x) == 200 for x in searched(spark, rows, k=200, tables=1, probes=1).values())
+
+
 # --- packing ------------------------------------------------------------------------------------------------------
 
 def check_packing(rows, lengths, capacities):
