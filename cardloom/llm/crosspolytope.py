@@ -30,11 +30,11 @@ WHOLE = -1  # table and band of the vectors that are not hashed
 
 
 def usable(vectors: DataFrame, key: str, vector: str) -> DataFrame:
-    """(``id``, ``v``): vectors of doubles without null or non-finite components and not all zero, with a key."""
+    """(``id``, ``v``): vectors of doubles without null or non-finite components and not all zero, with a key; each once."""
     v = F.col(vector).cast("array<double>")
     finite = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     return (vectors.select(F.col(key).cast("long").alias("id"), v.alias("v")).where(F.col("id").isNotNull() & F.col("v").isNotNull())
-            .where(finite & F.exists("v", lambda x: x != 0)))
+            .where(finite & F.exists("v", lambda x: x != 0)).dropDuplicates(["id", "v"]))
 
 
 def norm(v: Column) -> Column:
@@ -163,20 +163,26 @@ GROUP = ["band", "tab", "axis", "d", "q"]
 
 
 def dealt(placed: DataFrame, own: str, other: str) -> DataFrame:
-    """Deal each bucket's rows into its blocks, and repeat them for each block of the other side."""
-    mine = placed.withColumn(own, F.pmod(F.xxhash64("id", F.lit(own)), F.col(f"n_{own}")).cast("int"))
+    """Deal each bucket's rows into its blocks, and repeat them for each block of the other side.
+
+    Rows of one key are dealt by their vectors too: one key may hold a large part of all rows."""
+    mine = placed.withColumn(own, F.pmod(F.xxhash64("id", "v", F.lit(own)), F.col(f"n_{own}")).cast("int"))
     return mine.withColumn(other, F.explode(F.sequence(F.lit(0), F.col(f"n_{other}") - 1))).select(*GROUP, "id", "v")
 
 
 def best_of_block(k: int, dimension: int):
-    """Exact scores of a block's queries against its stored vectors; the best ``k`` of each query."""
+    """Exact scores of a block's queries against its stored vectors; the best ``k`` other keys of each query."""
     def score(queries: pa.Table, stored: pa.Table) -> pa.Table:
         def matrix(t: pa.Table) -> np.ndarray:
             return np.frombuffer(b"".join(t["v"].to_pylist()), np.float64).reshape(-1, dimension)
         qs, vs = matrix(queries), matrix(stored)
-        ids, out = stored["id"].to_numpy(), []
-        for q, qid in zip(qs, queries["id"].to_pylist()):
+        order = np.argsort(stored["id"].to_numpy(), kind="stable")
+        ids, first = np.unique(stored["id"].to_numpy()[order], return_index=True)
+        vs, out = vs[order], []
+        for q, qid in zip(qs, queries["id"].to_pylist()) if len(ids) else ():
             products = (vs * q).sum(axis=1)  # the same sum for the same pair, wherever it stands
+            if len(ids) < len(products):
+                products = np.maximum.reduceat(products, first)
             best = np.lexsort((ids, -products))[:k + 1]
             out += [(qid, int(ids[i]), float(products[i])) for i in best if ids[i] != qid][:k]
         columns = zip(*out) if out else ([], [], [])

@@ -159,6 +159,15 @@ def test_queries_that_find_too_little_meet_all_vectors(spark):
     assert all(len(x) == 200 for x in searched(spark, rows, k=200, tables=1, probes=1).values())
 
 
+def test_a_key_repeated_many_times_takes_one_place(spark):
+    rng = np.random.default_rng(6)
+    centre = rng.normal(size=16)
+    rows = [(i, centre + 0.1 * rng.normal(size=16)) for i in range(1, 61)]
+    rows += [(0, centre * 1.5)] * 100 + [(500, centre * (1 + j / 100)) for j in range(100)] + [(501, centre)] * 100
+    rows = [(i, v / 10) for i, v in rows]
+    assert searched(spark, rows) == best_by_key(rows)
+
+
 # --- packing ------------------------------------------------------------------------------------------------------
 
 def check_packing(rows, lengths, capacities):
