@@ -201,12 +201,19 @@ def predictions(docs: DataFrame) -> DataFrame:
 
 def keep_identified(docs: DataFrame, least_score: float = 0.5, key: str = "doc_id", text: str = "text",
                     label: str = "lang") -> DataFrame:
-    """The rows, with all their columns, whose language is known with at least ``least_score``."""
+    """The rows, with all their columns, whose language is known with at least ``least_score``.
+
+    If no row could teach (none has a label, or all that have one are held out), no language is known, and all rows
+    whose text has letters stay."""
     model, at = train(docs, key, text, label), docs.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            said = [model.predict(t.as_py()) for t in batch.column(at)]
-            yield batch.filter(pa.array([lang != UNKNOWN and score >= least_score for lang, score in said], pa.bool_()))
+            if model.classes:
+                said = [model.predict(t.as_py()) for t in batch.column(at)]
+                kept = [lang != UNKNOWN and score >= least_score for lang, score in said]
+            else:
+                kept = [any(len(found) for found in grams(t.as_py())) for t in batch.column(at)]
+            yield batch.filter(pa.array(kept, pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

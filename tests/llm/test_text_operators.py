@@ -9,6 +9,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from cardloom.llm import bpe, importance, langid, linededup, recount, rules, simhash
@@ -100,6 +101,11 @@ def test_language_of_odd_rows(hard, hard_rows):
     assert kept.columns == hard.columns and kept.count() == len([r for r in hard_rows if any(c.isalpha() for c in r[1] or "")])
 
 
+def test_without_any_label_the_texts_with_letters_stay(hard, hard_rows):
+    kept = langid.keep_identified(hard.withColumn("lang", F.lit(None).cast("string")))
+    assert Counter(r.text for r in kept.collect()) == Counter(r[1] for r in hard_rows if any(map(str.isalpha, r[1] or "")))
+
+
 def test_blocks_of_a_long_text_give_the_same_ngrams(monkeypatch):
     text = "Straße und ÉCOLE, " * 50
     whole = langid.term_counts(text)
