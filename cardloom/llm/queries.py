@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cardloom.llm import bpe, chat, crosspolytope, importance, langid, linededup, packing, recount, rules, simhash
+from cardloom.llm import bpe, chat, crosspolytope, importance, langid, linededup, packing, prefixtrie, recount, rules, simhash, turnrepair, urlfilter
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -55,8 +55,23 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op11_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    damaged = turnrepair.damage(table(spark, sf_dir, "conversations"))
+    return turnrepair.digests(turnrepair.repair(damaged, here="here"))
+
+
+def op12_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urlfilter.judge(table(spark, sf_dir, "pages"), spark.createDataFrame(urlfilter.ENTRIES, urlfilter.RULES))
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefixtrie.prefix_nodes(*prefixtrie.rebuilt(prefixtrie.coded_turns(table(spark, sf_dir, "conversations"))))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_importance_resampling, op2_bpe_round_trip, op3_language_id, op4_line_dedup, op5_edited_token_counts, op6_chat_windows,
-    op7_quality_rules, op8_simhash_components, op9_cross_polytope_search, op10_best_fit_packing)}
+    op7_quality_rules, op8_simhash_components, op9_cross_polytope_search, op10_best_fit_packing, op11_turn_repair, op12_url_filter,
+    op13_prefix_trie)}
 
-SQL: dict[str, str] = {"op4_line_dedup": linededup.DIGEST_SQL, "op6_chat_windows": chat.DIGEST_SQL}
+SQL: dict[str, str] = {"op4_line_dedup": linededup.DIGEST_SQL, "op6_chat_windows": chat.DIGEST_SQL, "op12_url_filter": urlfilter.VERDICT_SQL,
+                       "op13_prefix_trie": prefixtrie.NODES_SQL}
