@@ -15,6 +15,7 @@ from cardloom.operators import aggregate, combine, encode, joins, metrics, pivot
 from cardloom.operators.aggregate import multi_agg
 from cardloom.operators.folds import kfold
 from cardloom.operators.ratios import history, lag_slices, recent
+from cardloom.plans import outliers
 from cardloom.sources import tables, views
 
 AS_OF = "2001-09-01"
@@ -321,46 +322,76 @@ def card_city_count_matrix_wide(spark, d):
 
 # --- rates --------------------------------------------------------------------------------------------------------
 
-ITEMS = ["feature_1", "feature_2", "feature_3"]
+ITEMS = outliers.RATE_ITEMS
+MONTH_AGES = [("new_month_diff_mean", "mean"), ("hist_month_diff_mean", "mean"), ("hist_month_diff_max", "max"), ("hist_month_diff_min", "min")]
 
 
-def rate_sql(keys, source="cards WHERE is_test = 0"):
+def rate_cards(spark, d):
+    """Cards with the month ages that rates are learned for, beside the card's own codes."""
+    rows = views.transactions(spark, d).withColumn("month_diff", dates.month_age(F.col("purchase_date"), AS_OF, F.col("month_lag")))
+    ages = rows.groupBy("card_id").agg(*[
+        {"mean": F.avg, "max": F.max, "min": F.min}[stat](F.when(history() if name.startswith("hist") else recent(), F.col("month_diff"))).alias(name)
+        for name, stat in MONTH_AGES])
+    return tables.stage(views.cards(spark, d).join(ages, "card_id", "left"), "rate_cards")
+
+
+RATE_CARDS = (f"""ages AS (SELECT card_id, {', '.join(
+    f"{ {'mean': 'avg'}.get(stat, stat) }(age) FILTER (WHERE {HIST if name.startswith('hist') else NEW}) AS {name}" for name, stat in MONTH_AGES)}
+FROM (SELECT *, CAST(floor({floor_days_sql(AS_OF_SQL, 'purchase_date')} / 30.0) AS INTEGER) + month_lag AS age FROM txn) GROUP BY card_id),
+rated AS (SELECT * FROM cards LEFT JOIN ages USING (card_id))""")
+
+
+def rate_sql(keys, source="rated WHERE is_test = 0"):
     k = ", ".join(keys)
     return (f"(SELECT {k}, (sum(outlier) + 0.01) * 1000 / (count(outlier) + 0.01) AS {encode.rate_name(keys)} "
             f"FROM {source} GROUP BY {k}) USING ({k})")
 
 
-@query("D27", with_views(CARDS, "SELECT card_id, " + ", ".join(f"round({i}_ctr, 6) AS {i}_ctr" for i in ITEMS)
-                         + " FROM cards " + " ".join(f"LEFT JOIN {rate_sql([i])}" for i in ITEMS)))
-def smoothed_rates(spark, d):
-    cards = views.cards(spark, d)
-    rated = encode.attach_rates(cards, cards.where("is_test = 0"), ITEMS, "outlier", pairs=False)
-    return rated.select("card_id", *[F.round(f"{i}_ctr", 6).alias(f"{i}_ctr") for i in ITEMS])
+def rates_sql(sets):
+    """Rates of the training cards on every card."""
+    return with_views(TXN, CARDS, RATE_CARDS, "SELECT card_id, " + ", ".join(
+        f"round({encode.rate_name(k)}, 6) AS {encode.rate_name(k)}" for k in sets) + " FROM rated " + " ".join(f"LEFT JOIN {rate_sql(k)}" for k in sets))
+
 
+def rounded_rates(rated, sets, *keys):
+    return rated.select(*keys, *[F.round(encode.rate_name(k), 6).alias(encode.rate_name(k)) for k in sets])
 
-PAIRS = [k for k in encode.key_sets(ITEMS) if len(k) == 2]
 
+SINGLE, PAIRS = encode.key_sets(ITEMS, pairs=False), [k for k in encode.key_sets(ITEMS) if len(k) == 2]
 
-@query("D28", with_views(CARDS, "SELECT card_id, " + ", ".join(
-    f"round({encode.rate_name(p)}, 6) AS {encode.rate_name(p)}" for p in PAIRS)
-    + " FROM cards " + " ".join(f"LEFT JOIN {rate_sql(p)}" for p in PAIRS)))
+
+@query("D27", rates_sql(SINGLE))
+def smoothed_rates(spark, d):
+    cards = rate_cards(spark, d)
+    return rounded_rates(encode.attach_rates(cards, cards.where("is_test = 0"), ITEMS, "outlier", "card_id", pairs=False), SINGLE, "card_id")
+
+
+@query("D28", rates_sql(PAIRS))
 def smoothed_pair_rates(spark, d):
-    cards = views.cards(spark, d)
-    rated = encode.attach_rates(cards, cards.where("is_test = 0"), ITEMS, "outlier")
-    return rated.select("card_id", *[F.round(encode.rate_name(p), 6).alias(encode.rate_name(p)) for p in PAIRS])
+    cards = rate_cards(spark, d)
+    return rounded_rates(encode.attach_rates(cards, cards.where("is_test = 0"), ITEMS, "outlier", "card_id"), PAIRS, "card_id")
+
+
+def outside_sql(keys):
+    """Rate of each (key, fold) from the rows of the key in other folds."""
+    k = ", ".join(keys)
+    return (f"(SELECT {k}, fold, CASE WHEN sum(n) OVER w > n THEN round((sum(c) OVER w - c + 0.01) * 1000 / (sum(n) OVER w - n + 0.01), 6) END "
+            f"AS {encode.rate_name(keys)} FROM (SELECT {k}, fold, sum(outlier) AS c, count(outlier) AS n FROM folded GROUP BY {k}, fold) "
+            f"WINDOW w AS (PARTITION BY {k})) USING ({k}, fold)")
+
+
+def out_of_fold_sql(folded, sets):
+    return with_views(TXN, CARDS, RATE_CARDS, folded, "SELECT card_id, fold, " + ", ".join(encode.rate_name(k) for k in sets)
+                      + " FROM folded " + " ".join(f"LEFT JOIN {outside_sql(k)}" for k in sets))
 
 
-FOLDED = """folded AS (SELECT *, CAST(('0x' || substr(md5(card_id || ':326'), 1, 8))::BIGINT % 5 AS INTEGER) AS fold FROM cards)"""
+FOLDED = "folded AS (SELECT *, CAST(('0x' || substr(md5(card_id || ':326'), 1, 8))::BIGINT % 5 AS INTEGER) AS fold FROM rated)"
 
 
-@query("D29", with_views(CARDS, FOLDED, "SELECT card_id, fold, " + ", ".join(
-    f"""(SELECT round((sum(o.outlier) + 0.01) * 1000 / (nullif(count(o.outlier), 0) + 0.01), 6) FROM folded o
-  WHERE o.fold <> f.fold AND {' AND '.join(f'o.{k} = f.{k}' for k in keys)}) AS {encode.rate_name(keys)}"""
-    for keys in encode.key_sets(ITEMS)) + " FROM folded f"))
+@query("D29", out_of_fold_sql(FOLDED, encode.key_sets(ITEMS)))
 def out_of_fold_rates(spark, d):
-    rated = encode.attach_out_of_fold(kfold(views.cards(spark, d), "card_id", 5, 326), ITEMS, "outlier", "fold")
-    return rated.select("card_id", "fold", *[F.round(encode.rate_name(k), 6).alias(encode.rate_name(k))
-                                             for k in encode.key_sets(ITEMS)])
+    rated = encode.attach_out_of_fold(kfold(rate_cards(spark, d), "card_id", 5, 326), ITEMS, "outlier", "fold", "card_id")
+    return rounded_rates(rated, encode.key_sets(ITEMS), "card_id", "fold")
 
 
 # --- new period against history --------------------------------------------------------------------------------

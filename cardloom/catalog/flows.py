@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from cardloom.catalog.base import CARDS, CLEAN_BASE, HIST, NEW, TXN, digits_sql, floor_days_sql, money, money_mean, query, with_views
+from cardloom.catalog.aggregates import RATE_CARDS, rounded_rates
 from cardloom.catalog.common import AMOUNT_CAP, digits
 from cardloom.catalog.rows import FIXTURE_EVENTS, event_sql, holiday_calendar
+from cardloom.operators import encode
 from cardloom.plans import features, outliers
 from cardloom.sources import tables, views
 
@@ -111,8 +113,21 @@ def outlier_feature_table(spark, d):
     return outliers.outlier_features(views.cards(spark, d), views.transactions(spark, d), SETTING)
 
 
-@query("D27 D28 D29 I17")
+RATE_SETS = encode.key_sets(outliers.RATE_ITEMS)
+STRATIFIED = """folded AS (SELECT *, CASE WHEN is_test = 0 THEN CAST((row_number() OVER (PARTITION BY is_test, outlier
+  ORDER BY ('0x' || substr(md5(card_id || ':4590'), 1, 8))::BIGINT, card_id) - 1) % 5 AS INTEGER) ELSE -1 END AS part FROM rated)"""
+
+
+def learned_sql(keys):
+    """Rates of training cards for each (key, fold) from other folds, and under part -1 from all of them."""
+    k, name = ", ".join(keys), encode.rate_name(keys)
+    return (f"(SELECT {k}, part, CASE WHEN sum(n) OVER w > n THEN round((sum(c) OVER w - c + 0.01) * 1000 / (sum(n) OVER w - n + 0.01), 6) END AS {name} "
+            f"FROM (SELECT {k}, part, sum(outlier) AS c, count(outlier) AS n FROM folded WHERE part >= 0 GROUP BY {k}, part) WINDOW w AS (PARTITION BY {k}) "
+            f"UNION ALL SELECT {k}, -1, round((sum(outlier) + 0.01) * 1000 / (count(outlier) + 0.01), 6) FROM folded WHERE part >= 0 GROUP BY {k}) USING ({k}, part)")
+
+
+@query("D27 D28 D29 I17", with_views(TXN, CARDS, RATE_CARDS, STRATIFIED, "SELECT card_id, is_test, nullif(part, -1) AS fold, " + ", ".join(
+    encode.rate_name(k) for k in RATE_SETS) + " FROM folded " + " ".join(f"LEFT JOIN {learned_sql(k)}" for k in RATE_SETS)))
 def outlier_rate_table(spark, d):
     table = tables.stage(outliers.outlier_features(views.cards(spark, d), views.transactions(spark, d), SETTING), "outliers")
-    rated = outliers.rate_encoded(table, 5)
-    return rated.select("card_id", "is_test", "fold", *[c for c in rated.columns if c.endswith("_ctr")])
+    return rounded_rates(outliers.rate_encoded(table, 5), RATE_SETS, "card_id", "is_test", "fold")

@@ -265,7 +265,7 @@ def label_codes(spark, d):
 
 @query("B21", with_views(CARDS, "SELECT card_id, feature_1 AS code_1, outlier FROM cards"))
 def drop_and_rename(spark, d):
-    rated = encode.attach_rates(views.cards(spark, d), views.cards(spark, d), ["feature_1", "feature_2"], "outlier")
+    rated = encode.attach_rates(views.cards(spark, d), views.cards(spark, d), ["feature_1", "feature_2"], "outlier", "card_id")
     rated = rated.drop(*[c for c in rated.columns if "_ctr" in c])
     return rated.withColumnsRenamed({"feature_1": "code_1"}).select("card_id", "code_1", "outlier")
 

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -68,49 +67,66 @@ def key_sets(items: Sequence[str], pairs: bool = True) -> list[list[str]]:
     return [[i] for i in items] + ([list(p) for p in combinations(items, 2)] if pairs else [])
 
 
-def label_cells(df: DataFrame, items: Sequence[str], label: str) -> DataFrame:
-    """Label sum and count per combination of all items, read from the rows once.
+def _text(df: DataFrame, column: str) -> Column:
+    """A key's value as text; both zeros of a floating-point column are one value, as in a join."""
+    kind = df.schema[column].dataType.typeName()
+    return (F.col(column) + F.lit(0.0) if kind in ("double", "float") else F.col(column)).cast("string")
 
-    Every key set aggregates these cells again instead of the rows.
-    """
-    return settle(df.groupBy(*items).agg(F.sum(label).alias("_c"), F.count(label).alias("_n")))
 
+def _keyed(df: DataFrame, items: Sequence[str], pairs: bool, *keep: Column) -> DataFrame:
+    """``keep`` with (``_set``, ``_a``, ``_b``): one row for every key set of ``df`` whose items are all known."""
+    entries = []
+    for i, keys in enumerate(key_sets(items, pairs)):
+        first, second = _text(df, keys[0]), _text(df, keys[1]) if len(keys) > 1 else F.lit("")
+        entries.append(F.when(first.isNotNull() & second.isNotNull(), F.struct(
+            F.lit(i).alias("_set"), first.alias("_a"), second.alias("_b"))))
+    return df.select(*keep, F.explode(F.array_compact(F.array(*entries))).alias("_e")).select(
+        *[c for c in df.select(*keep).columns], "_e.*")
 
-def _known(cells: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return cells.where(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys]))
 
+def rate_lookup(source: DataFrame, items: Sequence[str], label: str, fold: str | None = None, pairs: bool = True) -> DataFrame:
+    """All smoothed rates in one long table: (``_set``, ``_a``, ``_b``) with ``_total``, the rate over all rows, and
+    ``_outside``, a map from each fold the key occurs in to the rate of its rows outside that fold.
 
-def rate_table(cells: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Smoothed label rate of each key value."""
-    return _known(cells, keys).groupBy(*keys).agg(smoothed(F.sum("_c"), F.sum("_n")).alias(rate_name(keys)))
+    The rows are read once. They combine by key before they are shuffled, whatever the number of key sets. A key whose
+    rows all lie in one fold has no rate there.
+    """
+    folded = F.col(fold).cast("int") if fold else F.lit(None).cast("int")
+    rows = _keyed(source, items, pairs, folded.alias("_fold"), F.col(label).alias("_label"))
+    parts = rows.groupBy("_set", "_a", "_b", "_fold").agg(F.sum("_label").alias("_c"), F.count("_label").alias("_n"))
+    keys = parts.groupBy("_set", "_a", "_b").agg(F.sum("_c").alias("_tc"), F.sum("_n").alias("_tn"),
+                                                 F.collect_list(F.struct("_fold", "_c", "_n")).alias("_parts"))
 
+    def outside(part: Column) -> Column:
+        count = F.col("_tn") - part["_n"]
+        rate = F.when(count > 0, smoothed(F.col("_tc") - F.coalesce(part["_c"], F.lit(0)), count))
+        return F.struct(part["_fold"], rate)
 
-def attach_rates(df: DataFrame, source: DataFrame, items: Sequence[str], label: str, pairs: bool = True) -> DataFrame:
-    """Label rates of single keys and key pairs, learned on ``source`` and joined to ``df``."""
-    cells = label_cells(source, items, label)
-    for keys in key_sets(items, pairs):
-        df = df.join(rate_table(cells, keys), keys, "left")
-    return df
+    known = F.filter("_parts", lambda p: p["_fold"].isNotNull())
+    return keys.select("_set", "_a", "_b", smoothed(F.col("_tc"), F.col("_tn")).alias("_total"),
+                       F.map_from_entries(F.transform(known, outside)).alias("_outside"))
 
 
-def out_of_fold_table(cells: DataFrame, keys: Sequence[str], fold: str) -> DataFrame:
-    """Rate per (key, fold) learned outside that fold: key totals minus the fold's own part.
+def attach_rates(df: DataFrame, source: DataFrame, items: Sequence[str], label: str, key: str, pairs: bool = True,
+                 fold: str | None = None) -> DataFrame:
+    """Label rates of single keys and key pairs, learned on ``source`` and joined to ``df``; ``key`` names a row of ``df``.
 
-    A key that occurs in one fold only has no outside rows there and stays missing.
+    Given ``fold``, rows with a fold get the rates learned outside it, rows without one the rates of all of ``source``.
+    All key sets go through one join, as long rows of the items alone, and one aggregation by ``key`` sets them side by side.
     """
-    part = _known(cells, keys).groupBy(*keys, fold).agg(F.sum("_c").alias("_c"), F.sum("_n").alias("_n"))
-    total = part.groupBy(*keys).agg(F.sum("_c").alias("_tc"), F.sum("_n").alias("_tn"))
-    clicks, count = F.col("_tc") - F.coalesce("_c", F.lit(0)), F.col("_tn") - F.col("_n")
-    return part.join(total, list(keys)).select(
-        *keys, fold, F.when(count > 0, smoothed(clicks, count)).alias(rate_name(keys)))
+    lookup = stage(rate_lookup(source, items, label, fold, pairs), "rates")
+    own = F.col(fold).cast("int") if fold else F.lit(None).cast("int")
+    asked = _keyed(df, items, pairs, F.col(key), own.alias("_fold"))
+    rate = F.when(F.map_contains_key("_outside", F.coalesce("_fold", F.lit(-1))), F.try_element_at("_outside", F.coalesce("_fold", F.lit(-1)))).otherwise(F.col("_total"))
+    met = asked.join(lookup, ["_set", "_a", "_b"]).select(key, "_set", rate.alias("_rate"))
+    wide = met.groupBy(key).agg(*[F.max(F.when(F.col("_set") == i, F.col("_rate"))).alias(rate_name(keys))
+                                  for i, keys in enumerate(key_sets(items, pairs))])
+    return df.join(wide, key, "left")
 
 
-def attach_out_of_fold(df: DataFrame, items: Sequence[str], label: str, fold: str, pairs: bool = True) -> DataFrame:
+def attach_out_of_fold(df: DataFrame, items: Sequence[str], label: str, fold: str, key: str, pairs: bool = True) -> DataFrame:
     """Rates of every key set, each row's own fold left out."""
-    cells = label_cells(df, [*items, fold], label)
-    for keys in key_sets(items, pairs):
-        df = df.join(out_of_fold_table(cells, keys, fold), [*keys, fold], "left")
-    return df
+    return attach_rates(df, df, items, label, key, pairs, fold)
 
 
 def mean_encode(df: DataFrame, columns: Sequence[str], label: str, suffix: str = "") -> DataFrame:

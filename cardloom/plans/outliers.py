@@ -73,11 +73,10 @@ def outlier_features(cards: DataFrame, txn: DataFrame, setting: Setting) -> Data
 
 
 def rate_encoded(table: DataFrame, k: int = 5, seed: int = 4590) -> DataFrame:
-    """Out-of-fold rates for training cards, full training rates for test cards."""
-    train = folds.stratified_kfold(table.where("is_test = 0"), "card_id", "outlier", k, seed)
-    test = table.where("is_test = 1")
-    return encode.attach_out_of_fold(train, RATE_ITEMS, "outlier", "fold").unionByName(
-        encode.attach_rates(test, train, RATE_ITEMS, "outlier"), allowMissingColumns=True)
+    """Out-of-fold rates for training cards, full training rates for test cards, which have no fold."""
+    train = folds.stratified_kfold(table.where("is_test = 0").select("card_id", "outlier"), "card_id", "outlier", k, seed)
+    table = stage(table.join(train.select("card_id", "fold"), "card_id", "left"), "folded")
+    return encode.attach_rates(table, table.where("is_test = 0"), RATE_ITEMS, "outlier", "card_id", fold="fold")
 
 
 @dataclass

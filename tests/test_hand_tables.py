@@ -83,12 +83,22 @@ def test_label_codes_read_missing_as_text(spark):
 
 
 def test_out_of_fold_rate_of_an_unseen_key_is_missing(spark):
-    rows = spark.createDataFrame([("x", 1, 0), ("x", 0, 1), ("y", 1, 0)], "k string, y int, fold int")
-    got = {(r["k"], r["fold"]): r["k_ctr"] for r in encode.attach_out_of_fold(rows, ["k"], "y", "fold").collect()}
+    rows = spark.createDataFrame([(1, "x", 1, 0), (2, "x", 0, 1), (3, "y", 1, 0)], "id int, k string, y int, fold int")
+    got = {(r["k"], r["fold"]): r["k_ctr"] for r in encode.attach_out_of_fold(rows, ["k"], "y", "fold", "id").collect()}
     assert got[("y", 0)] is None
     assert got[("x", 0)] == pytest.approx(1000 * 0.01 / 1.01) and got[("x", 1)] == pytest.approx(1000)
 
 
+def test_rates_read_both_zeros_and_keys_that_look_alike(spark):
+    rows = spark.createDataFrame([(1, 0.0, "1", 1), (2, -0.0, "1", 0), (3, None, "1", 1), (4, 1.0, None, 0), (5, 5.0, "a", None)],
+                                 "id int, v double, w string, y int")
+    got = {r["id"]: r for r in encode.attach_rates(rows, rows, ["v", "w"], "y", "id").collect()}
+    assert got[1]["v_ctr"] == got[2]["v_ctr"] == pytest.approx(1010 / 2.01) and got[3]["v_ctr"] is None
+    assert got[1]["v_w_ctr"] == got[2]["v_w_ctr"] == pytest.approx(1010 / 2.01) and got[3]["v_w_ctr"] is None
+    assert got[3]["w_ctr"] == pytest.approx(2010 / 3.01) and got[4]["w_ctr"] is None and got[4]["v_ctr"] == pytest.approx(10 / 1.01)
+    assert got[5]["v_ctr"] == pytest.approx(1000) or got[5]["v_ctr"] is None
+
+
 def test_one_hot_with_a_missing_level(spark):
     rows = spark.createDataFrame([("a",), (None,)], "v string")
     assert rows_of(encode.one_hot(rows, null_level=True)) == [(0, 1), (1, 0)]
