@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from cardloom.catalog.base import CARDS, CLEAN, EVENTS, HIST, TXN, TXN_ORDER_SQL, query, with_views
+from cardloom.catalog.base import CARDS, CLEAN, EVENTS, HIST, TXN, TXN_ORDER_SQL, query, register, with_views
 from cardloom.catalog.common import staged_clean
 from cardloom.operators import aggregate, factor, folds, metrics, models, pivots, select, sequences, text, windows
 from cardloom.operators.ratios import history
@@ -118,35 +118,100 @@ def feature_tuple_embedding(spark, d):
 
 # --- factorisation ----------------------------------------------------------------------------------------------------
 
-def city_matrix(spark, d):
-    return tables.stage(pivots.category_matrix(views.transactions(spark, d), "card_id", "city_id", "purchase_amount"), "cells")
+MATRICES = ("city_id", "merchant_category_id")
 
 
-CITY_CELLS = "cells AS (SELECT card_id, city_id AS category, count(purchase_amount) AS n FROM txn GROUP BY 1, 2)"
+def count_and_sum_matrix(spark, d, category):
+    return tables.stage(pivots.category_matrix(views.transactions(spark, d), "card_id", category, "purchase_amount"), "cells")
 
 
-@query("I7", with_views(TXN, CITY_CELLS, """
+def cells_sql(category):
+    return f"cells AS (SELECT card_id, {category} AS category, count(purchase_amount) AS n FROM txn GROUP BY 1, 2)"
+
+
+@query("I7", with_views(TXN, cells_sql("city_id"), """
 SELECT a AS category_a, b AS category_b, CAST(sum(x * y) AS DOUBLE) AS product FROM
   (SELECT l.category AS a, r.category AS b, l.n AS x, r.n AS y FROM cells l JOIN cells r USING (card_id)) GROUP BY a, b"""))
 def category_gram_matrix(spark, d):
-    return factor.gram(city_matrix(spark, d), "card_id", "category", "n")
+    return factor.gram(count_and_sum_matrix(spark, d, "city_id"), "card_id", "category", "n")
+
 
+def energy(category):
+    """Squared length of each card's scores when all singular vectors are taken: that of its own counts."""
+    def run(spark, d):
+        scores = factor.svd(count_and_sum_matrix(spark, d, category), "card_id", "category", "n", components=1_000_000).scores
+        total = sum((F.col(c) * F.col(c) for c in scores.columns[2:]), F.col(scores.columns[1]) * F.col(scores.columns[1]))
+        return scores.select("card_id", F.round(total, 4).alias("energy"))
+    return run
 
-@query("I7", with_views(TXN, CITY_CELLS, "SELECT card_id, CAST(sum(n * n) AS DOUBLE) AS energy FROM cells GROUP BY card_id"))
-def svd_row_energy(spark, d):
-    scores = factor.svd_scores(city_matrix(spark, d), "card_id", "category", "n", components=25)
-    energy = sum((F.col(c) * F.col(c) for c in scores.columns[2:]), F.col(scores.columns[1]) * F.col(scores.columns[1]))
-    return scores.select("card_id", F.round(energy, 4).alias("energy"))
+
+ENERGY_SQL = "SELECT card_id, CAST(sum(n * n) AS DOUBLE) AS energy FROM cells GROUP BY card_id"
+register("svd_row_energy", "I7", energy("city_id"), with_views(TXN, cells_sql("city_id"), ENERGY_SQL))
+register("svd_row_energy_merchant_category", "I7", energy("merchant_category_id"), with_views(TXN, cells_sql("merchant_category_id"), ENERGY_SQL))
 
 
 @query("I7")
 def svd_sum_scores(spark, d):
-    return factor.svd_scores(city_matrix(spark, d), "card_id", "category", "amount", components=10, prefix="svd_city")
+    return factor.svd(count_and_sum_matrix(spark, d, "city_id"), "card_id", "category", "amount", prefix="svd_city").scores
+
+
+@query("I7")
+def svd_sum_scores_merchant_category(spark, d):
+    return factor.svd(count_and_sum_matrix(spark, d, "merchant_category_id"), "card_id", "category", "amount", prefix="svd_category").scores
 
 
 @query("I6")
 def nmf_count_scores(spark, d):
-    return factor.nmf(city_matrix(spark, d), "card_id", "category", "n", components=10, iterations=8, prefix="nmf_city")[0]
+    return factor.nmf(count_and_sum_matrix(spark, d, "city_id"), "card_id", "category", "n", prefix="nmf_city").scores
+
+
+@query("I6")
+def nmf_count_scores_merchant_category(spark, d):
+    return factor.nmf(count_and_sum_matrix(spark, d, "merchant_category_id"), "card_id", "category", "n", prefix="nmf_category").scores
+
+
+def guess_sql(column, seed, components):
+    return ", ".join(f"('0x' || substr(md5(CAST({column} AS VARCHAR) || ':{seed + i}'), 1, 8))::BIGINT / 4294967296.0 * s + 1e-9 AS f{i}" for i in range(components))
+
+
+def sweep_sql(name, source, components):
+    """One factor improved, a component at a time, from columns f, gains g and the other factor's products p."""
+    parts, now = [], [f"f{i}" for i in range(components)]
+    for i in range(components):
+        others = " + ".join(f"{now[k]} * p{min(i, k)}_{max(i, k)}" for k in range(components))
+        parts.append(f"{name}_{i} AS MATERIALIZED (SELECT *, greatest(f{i} + (g{i} - ({others})) / greatest(p{i}_{i}, 1e-9), 1e-9) AS s{i} FROM {source})")
+        now[i], source = f"s{i}", f"{name}_{i}"
+    return parts
+
+
+def nmf_sql(category, rounds, components, seed=42):
+    """The rounds of the non-negative factorisation, one sweep each, spelled out: factors n, and f, which run ahead."""
+    r = range(components)
+    same = ", ".join(f"f{i} AS n{i}" for i in r)
+    parts = [TXN, cells_sql(category),
+             f"scale AS (SELECT sqrt(sum(n) / (count(DISTINCT card_id) * count(DISTINCT category)) / {components}) AS s FROM cells)",
+             f"w0 AS (SELECT *, {same} FROM (SELECT card_id AS k, {guess_sql('card_id', seed, components)} FROM (SELECT DISTINCT card_id FROM cells), scale))",
+             f"h0 AS (SELECT *, {same} FROM (SELECT category AS k, {guess_sql('category', seed + components, components)} FROM (SELECT DISTINCT category FROM cells), scale))"]
+    for n in range(1, rounds + 1):
+        ahead = factor.AHEAD * factor.FASTER ** (n - 1)
+        for own, side, other, by in ((f"w{n}", f"w{n - 1}", f"h{n - 1}", ("card_id", "category")), (f"h{n}", f"h{n - 1}", f"w{n}", ("category", "card_id"))):
+            parts += [f"p_{own} AS MATERIALIZED (SELECT " + ", ".join(f"sum(f{i} * f{j}) AS p{i}_{j}" for i in r for j in r if i <= j) + f" FROM {other})",
+                      f"g_{own} AS MATERIALIZED (SELECT {by[0]} AS k, " + ", ".join(f"sum(n * f{i}) AS g{i}" for i in r) + f" FROM cells JOIN {other} ON k = {by[1]} GROUP BY 1)",
+                      *sweep_sql(f"s_{own}", f"(SELECT * FROM {side} JOIN g_{own} USING (k), p_{own})", components),
+                      f"{own} AS MATERIALIZED (SELECT k, " + ", ".join(f"s{i} AS n{i}, greatest(s{i} + CAST({ahead} AS DOUBLE) * (s{i} - n{i}), 1e-9) AS f{i}" for i in r)
+                      + f" FROM s_{own}_{components - 1})"]
+    return with_views(*parts, "SELECT k AS card_id, " + ", ".join(f"round(n{i}, 5) AS nmf_{i}" for i in r) + f" FROM w{rounds}")
+
+
+def first_rounds(category, components=10):
+    def run(spark, d):
+        scores = factor.nmf(count_and_sum_matrix(spark, d, category), "card_id", "category", "n", components=components, rounds=2, sweeps=1).scores
+        return scores.select("card_id", *[F.round(c, 5).alias(c) for c in scores.columns[1:]])
+    return run
+
+
+for _category in MATRICES:
+    register(f"nmf_first_rounds_{_category}", "I6", first_rounds(_category), nmf_sql(_category, 2, 10))
 
 
 # --- correlation and selection ------------------------------------------------------------------------------------------

@@ -1,117 +1,308 @@
-"""Matrix factorisation of the long card × category table."""
+"""Factorisation of the long key × category table.
+
+Both factors are DataFrames: one row of numbers for each key, one for each category. The matrix stays as it is stored, a row
+for each cell that occurs; its products with a factor are joins and grouped sums, which combine before they are shuffled. The
+driver sees only matrices as wide as a factor, never one as long as the keys or the categories.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 from functools import partial
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.functions import array_to_vector
-from pyspark.mllib.linalg.distributed import RowMatrix
-from pyspark.mllib.util import MLUtils
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from cardloom.operators.folds import HASH_RANGE, key_hash
-from cardloom.operators.pivots import pivot_values
-from cardloom.session import settle
+from cardloom.operators.ordering import global_index
+from cardloom.session import remove_path, stage_path
+from cardloom.sources.tables import stage
 
+FLOOR = 1e-9  # the least loading of a non-negative factor
+Frames = Iterator[pd.DataFrame]
 
-def dense_rows(cells: DataFrame, key: str, category: str, value: str, categories: list) -> DataFrame:
-    """One dense array per key in category order; a key has at most as many cells as there are categories."""
-    entries = F.map_from_entries(F.collect_list(F.struct(F.col(category), F.col(value).cast("double"))))
-    grouped = cells.groupBy(key).agg(entries.alias("_m"))
-    literal = F.array(*[F.lit(c) for c in categories])
-    filled = F.transform(literal, lambda c: F.coalesce(F.try_element_at(F.col("_m"), c), F.lit(0.0)))
-    return grouped.select(key, filled.alias("_row"))
 
+@dataclass
+class Factors:
+    scores: DataFrame  # the key, then a column for each component
+    loadings: DataFrame  # ``category`` and the same columns
+    sizes: list[float]  # residual norm after each round, or singular values
 
-def row_matrix(rows: DataFrame, array: str) -> RowMatrix:
-    vectors = rows.select(array_to_vector(F.col(array)).alias("v"))
-    return RowMatrix(MLUtils.convertVectorColumnsFromML(vectors, "v"))
 
+# --- products -----------------------------------------------------------------------------------------------------------
 
-def svd_scores(cells: DataFrame, key: str, category: str, value: str, components: int = 10,
-               prefix: str = "svd") -> DataFrame:
-    """Scores of the first right singular vectors per key; the sign of each component is free."""
-    categories = pivot_values(cells, category)
-    components = min(components, len(categories))
-    rows = dense_rows(cells, key, category, value, categories)
-    v = row_matrix(rows, "_row").computeSVD(components).V.toArray()
-    names = [f"{prefix}_{i}" for i in range(v.shape[1])]
-    loadings = cells.sparkSession.createDataFrame(
-        [(c, *map(float, v[j])) for j, c in enumerate(categories)],
-        schema=f"_cat {cells.schema[category].dataType.simpleString()}, " + ", ".join(f"`{n}` double" for n in names))
-    joined = cells.join(loadings, F.col(category) == F.col("_cat"))
-    return joined.groupBy(key).agg(*[F.sum(F.col(value).cast("double") * F.col(n)).alias(n) for n in names])
+def matrix(cells: DataFrame, key: str, category: str, value: str) -> DataFrame:
+    """(``k``, ``c``, ``x``), held by key: the products of all rounds find the cells of a key in one place."""
+    rows = cells.where(F.col(key).isNotNull() & F.col(category).isNotNull()).select(
+        F.col(key).alias("k"), F.col(category).alias("c"), F.coalesce(F.col(value).cast("double"), F.lit(0.0)).alias("x"))
+    return rows.repartition(int(cells.sparkSession.conf.get("spark.sql.shuffle.partitions")), "k").persist()
 
 
-def gram(cells: DataFrame, key: str, category: str, value: str) -> DataFrame:
-    """Category × category inner products, from one pass that adds up small per-task matrices."""
-    categories = pivot_values(cells, category)
-    matrix = row_matrix(dense_rows(cells, key, category, value, categories), "_row").computeGramianMatrix().toArray()
-    kind = cells.schema[category].dataType.simpleString()
-    return cells.sparkSession.createDataFrame(
-        [(a, b, float(matrix[i, j])) for i, a in enumerate(categories) for j, b in enumerate(categories)],
-        schema=f"category_a {kind}, category_b {kind}, product double")
-
-
-def nmf(cells: DataFrame, key: str, category: str, value: str, components: int = 10, iterations: int = 30,
-        seed: int = 42, prefix: str = "nmf") -> tuple[DataFrame, np.ndarray, list[float]]:
-    """Non-negative factors by multiplicative updates: card scores, component × category matrix, residuals.
-
-    The card side stays a DataFrame of one row per key with its own cells (at most one per category); only the
-    components × categories matrix visits the driver. Each round updates the rows in place, batch by batch, and
-    adds up small per-task products. Rows are checkpointed every round, since each round builds on the last.
+def product(a: DataFrame, factor: DataFrame, side: str, other: str, width: int) -> DataFrame:
+    """(``other``, array ``g``): the matrix times a factor by category (``side`` ``c``), its transpose times one by key."""
+    met = a.join(factor.select(side, "f"), side)
+    return met.groupBy(other).agg(F.array(*[F.sum(F.col("x") * F.get("f", F.lit(i))) for i in range(width)]).alias("g"))
+
+
+def small_product(table: DataFrame, left: str, right: str) -> np.ndarray:
+    """leftᵀ right of two array columns. Tasks add up their own rows, so little is shuffled, whatever the table's length."""
+    cells = table.select(F.col(left).alias("l"), F.col(right).alias("r")).mapInPandas(_crossed, "i int, j int, v double")
+    found = cells.groupBy("i", "j").agg(F.sum("v").alias("v")).toPandas()
+    made = np.zeros((found["i"].max() + 1, found["j"].max() + 1))
+    made[found["i"], found["j"]] = found["v"]
+    return made
+
+
+def _rows(column: pd.Series) -> np.ndarray:
+    return np.stack(column.to_list())
+
+
+def _crossed(batches: Frames) -> Frames:
+    total = None
+    for batch in batches:
+        made = _rows(batch["l"]).T @ _rows(batch["r"])
+        total = made if total is None else total + made
+    if total is not None:
+        i, j = np.indices(total.shape, dtype="int32")
+        yield pd.DataFrame({"i": i.ravel(), "j": j.ravel(), "v": total.ravel()})
+
+
+def _mapped(batches: Frames, make: Callable[[pd.DataFrame], np.ndarray], name: str, keep: list[str]) -> Frames:
+    for batch in batches:
+        if len(batch):
+            yield batch[keep].assign(**{name: list(make(batch))})
+
+
+def with_rows(table: DataFrame, make: Callable[[pd.DataFrame], np.ndarray], name: str, *keep: str) -> DataFrame:
+    """``keep`` and an array column that ``make`` gives for batches of rows."""
+    kept = [f"`{c}` {table.schema[c].dataType.simpleString()}" for c in keep]
+    return table.mapInPandas(partial(_mapped, make=make, name=name, keep=list(keep)), ", ".join([*kept, f"`{name}` array<double>"]))
+
+
+def _named(table: DataFrame, column: str, name: str, array: str, prefix: str, width: int) -> DataFrame:
+    return table.select(F.col(column).alias(name), *[F.get(array, F.lit(i)).alias(f"{prefix}_{i}") for i in range(width)])
+
+
+# --- non-negative factors -----------------------------------------------------------------------------------------------
+
+def first_guess(column: str, seed: int, components: int, scale: float) -> Column:
+    """Uniform numbers from a hash, so that a retried task, and SQL, draw the same."""
+    return F.array(*[key_hash(column, seed + i) / F.lit(float(HASH_RANGE)) * F.lit(scale) + F.lit(FLOOR) for i in range(components)])
+
+
+def _improved(batch: pd.DataFrame, gram: np.ndarray, sweeps: int, ahead: float) -> np.ndarray:
+    """Rows of one factor, each component in turn at its best given the others and the other factor, and beside them rows
+    that go ``ahead`` of this step by a share of it."""
+    old, f, g = _rows(batch["n"]), _rows(batch["f"]), _rows(batch["g"])
+    for _ in range(sweeps):
+        for i in range(len(gram)):
+            f[:, i] = np.maximum(f[:, i] + (g[:, i] - f @ gram[:, i]) / max(gram[i, i], FLOOR), FLOOR)
+    return np.hstack([f, np.maximum(f + ahead * (f - old), FLOOR)])
+
+
+AHEAD, FASTER, SLOWER = 0.5, 1.05, 1.5
+
+
+def nmf(cells: DataFrame, key: str, category: str, value: str, components: int = 10, rounds: int = 200, tolerance: float = 1e-4,
+        sweeps: int = 4, seed: int = 42, prefix: str = "nmf") -> Factors:
+    """Non-negative factors by alternating least squares, a component at a time, with extrapolated steps.
+
+    A round improves the keys' factor, then the categories', each from rows that run ahead of its last step (``f`` beside the
+    factor ``n``). A round that makes the residual larger is taken back and goes on from the factors themselves, running less
+    far ahead; so of both factors two generations are kept, and older ones are removed. Rounds end when the residual norm falls
+    by less than ``tolerance`` of its first value, or after ``rounds``. Keys and categories without a name are left out;
+    missing values count as zero.
     """
-    categories = pivot_values(cells, category)
-    codes = F.create_map(*[F.lit(x) for j, c in enumerate(categories) for x in (c, j)])
-    m, amount = len(categories), F.col(value).cast("double")
-    mass, cards, square = cells.agg(F.sum(amount), F.count_distinct(key), F.sum(amount * amount)).first()
-    start = float(np.sqrt(mass / (cards * m) / components))
-    h = np.random.default_rng(seed).random((components, m)) * start + 1e-9
-    draws = [key_hash(key, seed + i) / F.lit(float(HASH_RANGE)) * start + 1e-9 for i in range(components)]
-    listed = F.collect_list(F.struct(F.element_at(codes, F.col(category)).alias("j"), amount.alias("x")))
-    rows = settle(cells.groupBy(key).agg(listed.alias("_l")).select(
-        key, F.col("_l.j").alias("j"), F.col("_l.x").alias("x"), F.array(*draws).alias("w")))
-    residuals = []
-    for _ in range(iterations):
-        rows = settle(rows.mapInPandas(partial(_update_cards, h=h), rows.schema))
-        sums = rows.select("j", "x", "w").mapInPandas(partial(_task_products, components=components, m=m),
-                                                      "i int, j int, v double")
-        both = np.zeros((components, m + components))
-        for i, j, v in sums.groupBy("i", "j").agg(F.sum("v")).collect():  # components × (m + components) cells
-            both[i, j] = v
-        wa, ww = both[:, :m], both[:, m:]
-        residuals.append(float(np.sqrt(max(square - 2 * np.sum(wa * h) + np.sum(ww * (h @ h.T)), 0.0))))
-        h = h * wa / np.maximum(ww @ h, 1e-12)
-    scores = rows.select(key, *[F.get("w", F.lit(i)).alias(f"{prefix}_{i}") for i in range(components)])
-    return scores, h, residuals
-
-
-def _flat(batch: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Row starts, category codes, amounts and card factors of one Arrow batch."""
-    sizes = batch["j"].map(len).to_numpy()
-    return (np.concatenate([[0], np.cumsum(sizes)[:-1]]), np.concatenate(batch["j"].to_list()),
-            np.concatenate(batch["x"].to_list()), np.stack(batch["w"].to_list()))
-
-
-def _update_cards(batches: Iterator[pd.DataFrame], h: np.ndarray) -> Iterator[pd.DataFrame]:
-    """One multiplicative step of the card side: w * (a hᵀ) / (w h hᵀ)."""
+    spark, r = cells.sparkSession, components
+    a = matrix(cells, key, category, value)
+    mass, square, n, m = a.agg(F.sum("x"), F.sum(F.col("x") * F.col("x")), F.count_distinct("k"), F.count_distinct("c")).first()
+    scale = float(np.sqrt((mass or 0.0) / max(n * m, 1) / r))
+    paths: dict[int, list[str]] = {}
+
+    def stored(table: DataFrame, column: str, generation: int) -> DataFrame:
+        path = stage_path(spark, "nmf")
+        paths.setdefault(generation, []).append(path)
+        split = [F.slice("nf", 1 + i * r, r).alias(c) for i, c in enumerate("nf")]
+        return stage(table.select(column, *split, *[c for c in table.columns if c == "g"]), "nmf", path)
+
+    def guessed(column: str, first_seed: int) -> DataFrame:
+        guess = first_guess(column, first_seed, r, scale)
+        return stored(a.select(column).distinct().select(column, F.concat(guess, guess).alias("nf")), column, 0)
+
+    w, h = guessed("k", seed), guessed("c", seed + r)
+    residuals: list[float] = []
+    ahead, good = AHEAD, 0  # ``good`` is the last generation that was not taken back
+    if n:
+        hh = plain_hh = small_product(h, "f", "f")
+    for now in range(1, rounds + 1 if n else 1):
+        step = partial(_improved, sweeps=sweeps, ahead=ahead)
+        new_w = stored(with_rows(w.join(product(a, h, "c", "k", r), "k"), partial(step, gram=hh), "nf", "k"), "k", now)
+        ww = small_product(new_w, "f", "f")
+        new_h = stored(with_rows(h.select("c", "n", "f").join(product(a, new_w, "k", "c", r), "c"), partial(step, gram=ww), "nf", "c", "g"), "c", now)
+        sums = small_product(new_h.withColumns({"nf": F.concat("n", "f"), "nfg": F.concat("n", "f", "g")}), "nf", "nfg")
+        residual = float(np.sqrt(max(square - 2 * np.trace(sums[:r, 2 * r:]) + np.sum(ww * sums[:r, :r]), 0.0)))
+        if residuals and residual > residuals[-1]:
+            ahead /= SLOWER
+            w, h, hh = w.withColumn("f", F.col("n")), h.withColumn("f", F.col("n")), plain_hh
+            gone = now
+        else:
+            ahead, gone, good = min(1.0, ahead * FASTER), good, now
+            w, h, hh, plain_hh = new_w, new_h, sums[r:, r:2 * r], sums[:r, :r]
+            residuals.append(residual)
+        for path in paths.pop(gone):
+            remove_path(spark, path)
+        if gone != now and len(residuals) > 1 and residuals[-2] - residuals[-1] < tolerance * residuals[0]:
+            break
+    a.unpersist()
+    return Factors(_named(w, "k", key, "n", prefix, r), _named(h, "c", "category", "n", prefix, r), residuals)
+
+
+# --- singular vectors ---------------------------------------------------------------------------------------------------
+
+def _triangle(batches: Frames) -> Frames:
+    """R of a QR decomposition of all rows of a task."""
+    r = None
     for batch in batches:
-        starts, j, x, w = _flat(batch)
-        gain = np.add.reduceat(x[:, None] * h.T[j], starts, axis=0)
-        batch["w"] = list(w * gain / np.maximum(w @ (h @ h.T), 1e-12))
-        yield batch
+        if len(batch):
+            rows = _rows(batch["z"])
+            r = np.linalg.qr(rows if r is None else np.vstack([r, rows]), mode="r")
+    if r is not None:
+        yield pd.DataFrame({"z": list(r)})
+
+
+def tall_triangle(table: DataFrame) -> np.ndarray:
+    """R of a QR decomposition of the array column ``z`` of a long table: by tasks, by groups of tasks, then at the end."""
+    parts = table.select("z").mapInPandas(_triangle, "z array<double>")
+    fewer = max(int(np.sqrt(parts.rdd.getNumPartitions())), 1)
+    rows = parts.coalesce(fewer).mapInPandas(_triangle, "z array<double>").toPandas()
+    return np.linalg.qr(_rows(rows["z"]), mode="r")
+
+
+def _without(batch: pd.DataFrame, weights: np.ndarray) -> np.ndarray:
+    return _rows(batch["g"]) - _rows(batch["v"]) @ weights
+
+
+def _extended(batch: pd.DataFrame, weights: np.ndarray, turn: np.ndarray) -> np.ndarray:
+    return np.hstack([_rows(batch["v"]), _without(batch, weights) @ turn])
+
+
+def _turned(batch: pd.DataFrame, turn: np.ndarray, column: str) -> np.ndarray:
+    return _rows(batch[column]) @ turn
+
+
+def _normal(r: np.ndarray, floor: float) -> np.ndarray:
+    """What turns rows with triangle ``r`` into orthonormal columns; directions below ``floor`` are left out."""
+    _, s, vt = np.linalg.svd(r)
+    return vt[s > floor].T / s[s > floor]
 
 
-def _task_products(batches: Iterator[pd.DataFrame], components: int, m: int) -> Iterator[pd.DataFrame]:
-    """wᵀa and wᵀw of one task, side by side, as (i, j, v) cells."""
-    total = np.zeros((components, m + components))
+def svd(cells: DataFrame, key: str, category: str, value: str, components: int = 10, prefix: str = "svd",
+        tolerance: float = 1e-9, rounds: int = 60, widest: int = 320, seed: int = 42) -> Factors:
+    """Scores of the first right singular vectors, by a block Krylov method with random start; signs are free.
+
+    The basis has a row for each category. A round multiplies its newest block by the matrix and its transpose, takes out
+    what the basis already has (twice, for rounding errors), and adds what is left, made orthonormal by a tall-skinny QR. It
+    ends when the wanted vectors have a residual below ``tolerance`` of the largest eigenvalue, when the basis has all
+    directions, or after ``rounds``. A basis of ``widest`` columns starts again from its best vectors. The driver sees widest ×
+    widest numbers at most.
+    """
+    a = matrix(cells, key, category, value)
+    m = a.select("c").distinct().count()
+    components = min(components, m)
+    if m == 0:
+        a.unpersist()
+        return Factors(_named(a.select("k").where("false").withColumn("f", F.array().cast("array<double>")), "k", key, "f", prefix, 0),
+                       _named(a.select("c").where("false").withColumn("f", F.array().cast("array<double>")), "c", "category", "f", prefix, 0), [])
+    block = min(components + 10, m)
+    start = a.select("c").distinct().select("c", F.transform(first_guess("c", seed, block, 1.0), lambda x: x - 0.5).alias("z"))
+    start = stage(start, "krylov")
+    turn = _normal(tall_triangle(start), 1e-12)
+    state = stage(with_rows(start, partial(_turned, turn=turn, column="z"), "v", "c"), "krylov")
+    widths = [turn.shape[1]]
+    projected = np.zeros((0, 0))
+    for _ in range(rounds):
+        p, last = sum(widths), widths[-1]
+        newest = state.select("c", F.slice("v", p - last + 1, last).alias("f"))
+        y = product(a, newest, "c", "k", last).withColumnRenamed("g", "f")
+        met = stage(state.join(product(a, y, "k", "c", last), "c"), "krylov")
+        weights = small_product(met, "v", "g")
+        cleaned = with_rows(met, partial(_without, weights=weights), "g", "c", "v")
+        weights = weights + small_product(cleaned, "v", "g")
+        rest = tall_triangle(with_rows(met, partial(_without, weights=weights), "z"))
+        grown = np.zeros((p, p))
+        grown[:len(projected), :len(projected)] = projected
+        grown[:, p - last:] = weights
+        grown[p - last:, :] = weights.T
+        projected = (grown + grown.T) / 2
+        values, vectors = np.linalg.eigh(projected)
+        values, vectors = values[::-1], vectors[:, ::-1]
+        left = np.linalg.norm(rest @ vectors[p - last:, :components], axis=0).max()
+        turn = _normal(rest, 1e-11 * max(values[0], 1e-300))
+        if left <= tolerance * values[0] or turn.shape[1] == 0 or p >= m:
+            break
+        if p + turn.shape[1] > widest:
+            state = stage(with_rows(state, partial(_turned, turn=vectors[:, :block], column="v"), "v", "c"), "krylov")
+            widths, projected = [min(block, p)], np.zeros((0, 0))
+        else:
+            state = stage(with_rows(met, partial(_extended, weights=weights, turn=turn), "v", "c"), "krylov")
+            widths.append(turn.shape[1])
+    loadings = stage(with_rows(state, partial(_turned, turn=vectors[:, :components], column="v"), "f", "c"), "loadings")
+    scores = stage(product(a, loadings, "c", "k", components), "scores")
+    a.unpersist()
+    return Factors(_named(scores, "k", key, "g", prefix, components), _named(loadings, "c", "category", "f", prefix, components),
+                   [float(x) for x in np.sqrt(np.maximum(values[:components], 0.0))])
+
+
+# --- inner products of categories ---------------------------------------------------------------------------------------
+
+TILE, STRIP = 256, 256  # columns of a tile; rows that meet at a time
+
+
+def _tiles(batches: Frames) -> Frames:
+    """Inner products of the category columns, tile by tile, added up over the rows of a task."""
+    sums: dict[tuple[int, int], np.ndarray] = {}
     for batch in batches:
-        starts, j, x, w = _flat(batch)
-        owner = np.repeat(np.arange(len(batch)), np.diff(np.append(starts, len(j))))
-        np.add.at(total.T, j, x[:, None] * w[owner])
-        total[:, m:] += w.T @ w
-    i, j = np.nonzero(total)
-    yield pd.DataFrame({"i": i.astype("int32"), "j": j.astype("int32"), "v": total[i, j]})
+        for at in range(0, len(batch), STRIP):
+            lists, values = batch["j"].iloc[at:at + STRIP].to_list(), batch["x"].iloc[at:at + STRIP].to_list()
+            owner = np.repeat(np.arange(len(lists)), [len(j) for j in lists])
+            j, x, strips = np.concatenate(lists), np.concatenate(values), {}
+            for t in np.unique(j // TILE).tolist():
+                here, strip = j // TILE == t, np.zeros((len(lists), TILE))
+                strip[owner[here], j[here] % TILE] = x[here]
+                strips[t] = strip
+            for s in strips:
+                for t in strips:
+                    if s <= t:
+                        made = strips[s].T @ strips[t]
+                        sums[s, t] = made if (s, t) not in sums else sums[s, t] + made
+            if len(sums) > 512:  # a quarter of a gigabyte
+                yield _long_tiles(sums)
+                sums = {}
+    if sums:
+        yield _long_tiles(sums)
+
+
+def _long_tiles(sums: dict[tuple[int, int], np.ndarray]) -> pd.DataFrame:
+    parts = []
+    for (s, t), tile in sums.items():
+        i, j = np.nonzero(tile)
+        parts.append(pd.DataFrame({"i": s * TILE + i, "j": t * TILE + j, "v": tile[i, j]}))
+    return pd.concat(parts)
+
+
+def gram(cells: DataFrame, key: str, category: str, value: str) -> DataFrame:
+    """(``category_a``, ``category_b``, ``product``): inner products of all categories that share a key.
+
+    Rows of the matrix go through tasks as they are, sparse; a task adds up tiles of categories × categories, and only
+    their sums are shuffled. The result stays long: no category list and no matrix comes to the driver."""
+    a = matrix(cells, key, category, value)
+    codes = stage(global_index(a.select("c").distinct(), ["c"], "j"), "codes")
+    rows = a.join(codes, "c").groupBy("k").agg(F.collect_list(F.struct("j", "x")).alias("l")).select(F.col("l.j").alias("j"), F.col("l.x").alias("x"))
+    upper = stage(rows.mapInPandas(_tiles, "i long, j long, v double").groupBy("i", "j").agg(F.sum("v").alias("product")), "tiles")
+    a.unpersist()
+    both = upper.unionByName(upper.where((F.floor(F.col("i") / TILE) < F.floor(F.col("j") / TILE))).select(
+        F.col("j").alias("i"), F.col("i").alias("j"), "product"))
+    return (both.join(codes.select(F.col("c").alias("category_a"), F.col("j").alias("i")), "i")
+            .join(codes.select(F.col("c").alias("category_b"), "j"), "j").select("category_a", "category_b", "product"))

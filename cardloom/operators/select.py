@@ -5,10 +5,12 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 import numpy as np
+from pyspark.ml.functions import array_to_vector
+from pyspark.mllib.linalg.distributed import RowMatrix
+from pyspark.mllib.util import MLUtils
 from pyspark.sql import DataFrame, functions as F
 
 from cardloom.operators.encode import one_hot
-from cardloom.operators.factor import row_matrix
 from cardloom.operators.models import boosted_importance
 from cardloom.operators.windows import cumulative_share
 
@@ -57,7 +59,8 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> np.ndarray:
     centred = [F.coalesce(F.col(c).cast("double") - F.lit(facts[f"m{i}"]), F.lit(0.0)) for i, c in enumerate(columns)]
     marks = [F.col(c).isNotNull().cast("double") for c in columns]
     rows = df.select(F.array(*centred, *marks, *[x * x for x in centred]).alias("a"))
-    g = row_matrix(rows, "a").computeGramianMatrix().toArray()
+    vectors = MLUtils.convertVectorColumnsFromML(rows.select(array_to_vector(F.col("a")).alias("v")), "v")
+    g = RowMatrix(vectors).computeGramianMatrix().toArray()
     products, sums, squares, n = g[:m, :m], g[:m, m:2 * m], g[2 * m:, m:2 * m], g[m:2 * m, m:2 * m]
     with np.errstate(invalid="ignore", divide="ignore"):
         cov = products - sums * sums.T / n

@@ -36,3 +36,9 @@ def settle(df: DataFrame) -> DataFrame:
 def stage_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder for one staged table."""
     return f"{shared_dir(spark).rstrip('/')}/stages/{name}-{uuid.uuid4().hex}"
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete one staged table that no later step reads."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

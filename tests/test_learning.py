@@ -28,21 +28,49 @@ def dense(cells, value):
     return cards, a
 
 
-def test_nmf_is_non_negative_and_improves(cells):
-    scores, h, residuals = factor.nmf(cells, "card_id", "category", "n", components=4, iterations=5)
+def test_nmf_is_non_negative_and_converges(cells):
+    found = factor.nmf(cells, "card_id", "category", "n", components=4, tolerance=1e-5)
     cards, a = dense(cells, "n")
-    w = np.array([r[1:] for r in sorted(scores.collect())])
+    w = np.array([r[1:] for r in sorted(found.scores.collect())])
+    h = np.array([r[1:] for r in sorted(found.loadings.collect())]).T
     assert (w >= 0).all() and (h >= 0).all() and w.shape == (len(cards), 4)
-    assert all(later <= earlier + 1e-6 for earlier, later in zip(residuals, residuals[1:]))
-    assert np.linalg.norm(a - w @ h) <= residuals[-1] + 1e-6
-
-
-def test_svd_scores_equal_numpy_up_to_sign(cells):
-    scores = factor.svd_scores(cells, "card_id", "category", "amount", components=3)
-    _, a = dense(cells, "amount")
-    got = np.array([r[1:] for r in sorted(scores.collect())])
+    assert all(later <= earlier + 1e-6 for earlier, later in zip(found.sizes, found.sizes[1:]))
+    assert np.linalg.norm(a - w @ h) == pytest.approx(found.sizes[-1], rel=1e-3) and len(found.sizes) < 200
+    # At the end no loading can be moved alone to reduce the residual by much.
+    slope = (w @ h - a) @ h.T
+    assert np.abs(np.where(w > 1e-8, slope, np.minimum(slope, 0))).max() < 0.05 * np.abs(a @ h.T).max()
+
+
+@pytest.mark.parametrize("category, value, widest", [("city_id", "amount", 320), ("merchant_category_id", "amount", 320), ("merchant_category_id", "n", 36)])
+def test_svd_scores_equal_numpy_up_to_sign(spark, sf, category, value, widest):
+    cells = tables.stage(pivots.category_matrix(views.transactions(spark, sf), "card_id", category, "purchase_amount"), "cells")
+    found = factor.svd(cells, "card_id", "category", value, components=4, widest=widest, rounds=400)
+    cards, a = dense(cells, value)
+    rows = sorted(found.scores.collect())
+    assert [r[0] for r in rows] == cards
     u, s, _ = np.linalg.svd(a, full_matrices=False)
-    assert np.allclose(np.abs(got), np.abs(u[:, :3] * s[:3]), rtol=1e-6)
+    assert np.allclose(found.sizes, s[:4], rtol=1e-9)
+    assert np.allclose(np.abs([r[1:] for r in rows]), np.abs(u[:, :4] * s[:4]), rtol=1e-4, atol=1e-5 * s[0])
+
+
+def test_factors_of_few_cells(spark):
+    empty = spark.createDataFrame([], "k long, c string, x double")
+    assert factor.svd(empty, "k", "c", "x").scores.count() == factor.nmf(empty, "k", "c", "x").scores.count() == factor.gram(empty, "k", "c", "x").count() == 0
+    few = spark.createDataFrame([(1, "a", 3.0), (1, "b", 4.0), (2, "a", 0.0), (2, "b", None), (None, "a", 9.0), (3, None, 9.0)], "k long, c string, x double")
+    scores = {r[0]: abs(r[1]) for r in factor.svd(few, "k", "c", "x", components=1).scores.collect()}
+    assert scores[1] == pytest.approx(5.0) and scores[2] == pytest.approx(0.0)
+    assert {(r[0], r[1]): r[2] for r in factor.gram(few, "k", "c", "x").collect()} == {("a", "a"): 9, ("a", "b"): 12, ("b", "a"): 12, ("b", "b"): 16}
+
+
+def test_a_gram_matrix_of_many_tiles(spark):
+    rng = np.random.default_rng(3)
+    a = rng.integers(0, 3, (40, 700)) * (rng.random((40, 700)) < 0.3)
+    i, j = np.nonzero(a)
+    cells = spark.createDataFrame([(int(x), int(y), int(a[x, y])) for x, y in zip(i, j)], "k int, c int, x int")
+    made = np.zeros((700, 700))
+    for r in factor.gram(cells, "k", "c", "x").collect():
+        made[r[0], r[1]] = r[2]
+    assert (made == a.T @ a).all()
 
 
 def test_correlation_skips_missing_pairs(spark):
