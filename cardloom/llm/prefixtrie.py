@@ -29,7 +29,7 @@ from cardloom.sources.tables import stage
 
 PIECE, POS = "_piece", "_pos"  # of sorted_pieces
 HASHES = 4  # rows of the sketch
-BLOCK = 1 << 16  # counters of a stored block
+BLOCK = 1 << 12  # counters of a stored block
 SMALLEST, LARGEST = 1 << 16, 1 << 26  # counters of a sketch row; the largest sketch is HASHES * LARGEST / 4 = 64 MB
 NODE = ["depth", "d1", "d2"]
 HEAD = 9  # a rebuilt conversation takes fewer turns than this from another
@@ -158,7 +158,16 @@ def sketch(digests: DataFrame, width: int) -> Broadcast:
     return digests.sparkSession.sparkContext.broadcast([tuple(r) for r in merged.collect()])
 
 
-def _estimates(stored: list, width: int, d1: np.ndarray, d2: np.ndarray) -> np.ndarray:
+def opened(blocks: Broadcast, width: int) -> np.ndarray:
+    """The counters of a broadcast sketch."""
+    stored = np.zeros((HASHES, width), np.uint8)
+    for at, packed in blocks.value:
+        stored.reshape(-1, BLOCK)[at] = _unpack(packed)
+    return stored
+
+
+def estimates(stored: np.ndarray, width: int, d1: np.ndarray, d2: np.ndarray) -> np.ndarray:
+    """0, 1 or 2 (two and more) for each digest; never less than its true count."""
     least = np.full(len(d1), 2, np.uint8)
     for row, slots in zip(stored, _slots(d1, d2, width)):
         least = np.minimum(least, row[slots])
@@ -167,13 +176,11 @@ def _estimates(stored: list, width: int, d1: np.ndarray, d2: np.ndarray) -> np.n
 
 def _screen(batches: Iterator[pa.RecordBatch], blocks: Broadcast, width: int) -> Iterator[pa.RecordBatch]:
     """Marks prefixes, and their parents, that are proven singletons."""
-    stored = np.zeros((HASHES, width), np.uint8)
-    for at, packed in blocks.value:
-        stored.reshape(-1, BLOCK)[at] = _unpack(packed)
+    stored = opened(blocks, width)
     for batch in batches:
         depth, d1, d2, q1, q2 = _arrays(batch, "depth", *NODE[1:], "q1", "q2")
-        alone = (_estimates(stored, width, d1, d2) == 1) & (depth > 0)
-        below = (_estimates(stored, width, q1, q2) == 1) & (depth > 1)
+        alone = (estimates(stored, width, d1, d2) == 1) & (depth > 0)
+        below = (estimates(stored, width, q1, q2) == 1) & (depth > 1)
         yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(alone | below), pa.array(below)],
                                          names=[*batch.schema.names, "alone", "below"])
 

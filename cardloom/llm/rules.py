@@ -237,8 +237,11 @@ def quality(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str =
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows that ``quality`` keeps, with all their columns, whatever their names."""
-    statistics = stage(with_statistics(docs.select(F.col(key), F.col(text).alias("_x")), "_x", [key]), "statistics")
-    rules = learn(statistics, labels, key)
+    """The rows that ``quality`` keeps, with all their columns, whatever their names.
+
+    Rows are written once beside their statistics, so these are computed once; rules are learned from the statistics alone.
+    Without labelled rows no rule is learned, and only the base rules reject."""
     packed = docs.select(F.struct("*").alias("_row"), F.col(text).alias("_x"))
-    return judge(with_statistics(packed, "_x", ["_row"]), rules).where("kept").select("_row.*")
+    measured = stage(with_statistics(packed, "_x", ["_row"]), "measured")
+    statistics = measured.select(F.col(f"_row.`{key}`").alias(key), *[c for c in measured.columns if c != "_row"])
+    return judge(measured, learn(statistics, labels, key)).where("kept").select("_row.*")

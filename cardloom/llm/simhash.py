@@ -14,14 +14,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
 from functools import partial
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, functions as F
 
 from cardloom.llm.batches import arrow_fields, ddl, row_map, texts_as_bytes
+from cardloom.llm.prefixtrie import LARGEST, estimates, opened, sketch, sketch_width
 from cardloom.sources.tables import stage
 
 BITS, SEED, BLOCK = 64, 42, 1 << 16
@@ -171,21 +175,44 @@ def groups(marked: DataFrame, distance: int, key: str) -> DataFrame:
     return stage(rooted.join(names, "root").select("fp", "root", "component_id"), "components")
 
 
-def keep_one(docs: DataFrame, shingle: int = 3, distance: int = 2, key: str = "doc_id", text: str = "text") -> DataFrame:
+def keep_one(docs: DataFrame, shingle: int = 3, distance: int = 2, key: str = "doc_id", text: str = "text",
+             largest: int = LARGEST) -> DataFrame:
     """One row of each group of near duplicates, with all its columns: the row with the group's smallest key.
 
     Of rows that share key and text one stays, of rows that share only the key the one whose text hashes lowest. A row
     with a null key stays only where its group has no other key.
+
+    The texts stay where they lie. Count-min sketches of the identities that stay and of those that go, of a size bounded by
+    ``largest``, settle nearly all rows in place: one that no loser can be and that occurs once stays, one that no keeper can
+    be goes. Only repeats of a keeper, and rows on which the sketches are not sure, are shuffled and settled exactly.
     """
     marked = stage(fingerprints(docs, shingle, key, text), "fingerprints")
     order = F.min(F.struct(F.col(key).isNull().alias("none"), F.col(key).alias("k"), F.col("version").alias("v")))
     chosen = (marked.join(groups(marked, distance, key), "fp").groupBy("root").agg(order.alias("best"))
               .select("best.k", "best.v").distinct())
-    # Repeats of a row go first, combined before the one shuffle of the texts, and the choice meets them where they lie.
     chosen = stage(chosen.select(*_identity(F.col("k"), F.col("v"))), "chosen")
+    rows = marked.select(*_identity(F.col(key), F.col("version"))).join(chosen.withColumn("stays", F.lit(True)), ["a", "b"], "left")
+    rows = stage(rows.select(F.col("a").alias("d1"), F.col("b").alias("d2"), F.col("stays").isNotNull().alias("stays")), "fates")
+    width = sketch_width(rows.count(), largest)
+    fate = _fate(sketch(rows.where("stays"), width), sketch(rows.where("not stays"), width), width)
     packed = docs.select(F.struct("*").alias("row"), *_identity(F.col(key), F.xxhash64(text)))
-    once = packed.groupBy("a", "b").agg(F.any_value("row").alias("row"))
-    return once.join(chosen, ["a", "b"], "left_semi").select("row.*")
+    told = packed.select("row", "a", "b", fate("a", "b").alias("fate"))
+    asked = told.where(F.col("fate") == ASK).groupBy("a", "b").agg(F.any_value("row").alias("row")).join(chosen, ["a", "b"], "left_semi")
+    return told.where(F.col("fate") == STAY).select("row.*").unionByName(asked.select("row.*"))
+
+
+GO, STAY, ASK = 0, 1, 2
+
+
+def _fate(keepers: Broadcast, losers: Broadcast, width: int) -> Callable:
+    @F.pandas_udf("int")
+    def fate(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        stay, go = opened(keepers, width), opened(losers, width)
+        for a, b in batches:
+            ids = a.to_numpy(np.int64), b.to_numpy(np.int64)
+            staying, going = estimates(stay, width, *ids), estimates(go, width, *ids)
+            yield pd.Series(np.where(staying == 0, GO, np.where((staying == 1) & (going == 0), STAY, ASK)))
+    return fate
 
 
 def _identity(key: Column, version: Column) -> list[Column]:

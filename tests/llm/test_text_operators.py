@@ -243,6 +243,15 @@ def test_links_keep_every_component(spark, crowd, distance):
     assert {r.node: r.root for r in found} == {x: r for x, r in root.items() if x != r}
 
 
+def test_sketches_of_any_size_keep_the_same_rows(spark):
+    rows = [(i % 2900, f"a{i % 900} text that some rows share {i % 7}", "x") for i in range(3000)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, fate string").repartition(4)
+    kept = simhash.keep_one(table, largest=1024).collect()
+    same(kept, simhash.keep_one(table).collect())
+    fingers = {r.doc_id: r.component_id for r in simhash.near_duplicates(table).collect()}
+    assert len({r.doc_id for r in kept}) == len(kept) == len(set(fingers.values()))
+
+
 def test_one_row_of_each_group_stays(hard):
     kept = simhash.keep_one(hard)
     rows, named = kept.collect(), simhash.near_duplicates(hard).collect()
