@@ -4,7 +4,7 @@
 2. A prefix's digest is the exclusive or of its turns' codes, each mixed with its depth. So it is a running aggregate that a
    range-partitioned sort computes in pieces, however long a conversation is, and a parent's digest follows from its child's.
 3. A count-min sketch of all digests, two bits a counter, is built by the tasks and merged. A digest that it estimates at one
-   is proven a singleton, and so is everything below it: its node is written out where it lies.
+   is proven a singleton: its node is written out where it lies, and needs its parent's only if that may be shared.
 4. Only the other prefixes, those that may be shared, are shuffled and grouped exactly. An estimate is never too low, so a
    sketch that is too small for its table costs shuffling, never a wrong node.
 5. Sums over subtrees need no walk by depth. A node belongs to its smallest member; of one member's prefixes, those from some
@@ -181,7 +181,7 @@ def _screen(batches: Iterator[pa.RecordBatch], blocks: Broadcast, width: int) ->
         depth, d1, d2, q1, q2 = _arrays(batch, "depth", *NODE[1:], "q1", "q2")
         alone = (estimates(stored, width, d1, d2) == 1) & (depth > 0)
         below = (estimates(stored, width, q1, q2) == 1) & (depth > 1)
-        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(alone | below), pa.array(below)],
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(alone), pa.array(below)],
                                          names=[*batch.schema.names, "alone", "below"])
 
 
