@@ -244,7 +244,7 @@ def test_links_keep_every_component(spark, crowd, distance):
 
 
 def test_sketches_of_any_size_keep_the_same_rows(spark):
-    rows = [(i % 2900, f"a{i % 900} text that some rows share {i % 7}", "x") for i in range(3000)]
+    rows = [(i, f"a{i % 900} text that some rows share {i % 7}", "x") for i in [*range(2900), *range(100)]]
     table = spark.createDataFrame(rows, "doc_id long, text string, fate string").repartition(4)
     kept = simhash.keep_one(table, largest=1024).collect()
     same(kept, simhash.keep_one(table).collect())
