@@ -17,7 +17,7 @@ from functools import lru_cache
 import pyarrow as pa
 import regex
 import tiktoken
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 from cardloom.llm.batches import Memo, arrow_fields, ddl, row_map
 
@@ -47,17 +47,35 @@ def counter(path: str, pattern: str) -> Counter:
 
 
 class TokenTree:
-    """Segment tree over the leaves of one text: node 1 is the root, leaves start at ``base``."""
-
-    def __init__(self, text: str, using: Counter) -> None:
-        self.using = using
-        pieces = using.cut(text)
-        self.texts = ["".join(pieces[i:i + LEAF]) for i in range(0, len(pieces), LEAF)] or [""]
-        self.n_pretokens, self.reencoded = len(pieces), 0
-        self.base = 1 << (len(self.texts) - 1).bit_length()
-        self.chars, self.tokens = [0] * (2 * self.base), [0] * (2 * self.base)
-        for i, t in enumerate(self.texts):
-            self.chars[self.base + i], self.tokens[self.base + i] = len(t), using.count(pieces[i * LEAF:(i + 1) * LEAF])
+    """Segment tree over the leaves of one text: node 1 is the root, leaves start at ``base``, and there are ``base`` of them.
+
+    Edits may leave leaves empty or long. Pieces cut anew are dealt out over the leaves they came from; where these would
+    hold more than twice ``LEAF`` pre-tokens, the leaves are laid out again, without counting the untouched ones again.
+    """
+
+    def __init__(self, text: str | None, using: Counter) -> None:
+        self.using, self.reencoded, self.n_pretokens = using, 0, 0
+        if text is not None:
+            pieces = using.cut(text)
+            self.n_pretokens = len(pieces)
+            self._lay_out(self._leaves(pieces))
+
+    @classmethod
+    def stored(cls, texts: list[str], chars: list[int], tokens: list[int], using: Counter) -> TokenTree:
+        """A tree as ``build`` wrote it; nothing is cut or counted."""
+        tree = cls(None, using)
+        tree.texts, tree.chars, tree.tokens, tree.base = list(texts), list(chars), list(tokens), len(texts)
+        return tree
+
+    def _leaves(self, pieces: list[str]) -> list[tuple[str, int]]:
+        return [("".join(part), self.using.count(part)) for part in (pieces[i:i + LEAF] for i in range(0, len(pieces), LEAF))]
+
+    def _lay_out(self, leaves: list[tuple[str, int]]) -> None:
+        self.base = 1 << max(len(leaves) - 1, 0).bit_length()
+        spare = self.base - len(leaves)
+        self.texts = [t for t, _ in leaves] + [""] * spare
+        self.chars = [0] * self.base + [len(t) for t in self.texts]
+        self.tokens = [0] * self.base + [n for _, n in leaves] + [0] * spare
         for node in range(self.base - 1, 0, -1):
             self._sum(node)
 
@@ -80,6 +98,15 @@ class TokenTree:
                 node += 1
         return node - self.base, start
 
+    def _ahead(self, leaf: int) -> str:
+        """Text after a leaf, longer than any look ahead unless the document ends: empty leaves do not count."""
+        found = ""
+        for text in self.texts[leaf + 1:]:
+            found += text
+            if len(found) > LOOK:
+                break
+        return found
+
     def edit(self, start: int, end: int, new: str) -> None:
         """Replace characters ``start`` to ``end``."""
         first, begins = self.find(max(start - LOOK, 0))
@@ -87,9 +114,8 @@ class TokenTree:
         old = "".join(self.texts[first:last + 1])
         region = old[:start - begins] + new + old[end - begins:]
         while True:
-            ahead = "".join(self.texts[last + 1:last + 3])
             pieces, length = [], 0
-            for piece in self.using.cut(region + ahead):
+            for piece in self.using.cut(region + self._ahead(last)):
                 if length >= len(region):
                     break
                 pieces.append(piece)
@@ -99,11 +125,18 @@ class TokenTree:
             last += 1  # no boundary where the next leaf starts: that leaf is cut anew, too
             region += self.texts[last]
         self.reencoded += len(pieces)
-        self.texts[first:last + 1] = [region] + [""] * (last - first)
-        for leaf in range(first, last + 1):
-            node = self.base + leaf
-            self.chars[node], self.tokens[node] = len(self.texts[leaf]), 0
-        self.tokens[self.base + first] = self.using.count(pieces)
+        self._place(first, last, pieces)
+
+    def _place(self, first: int, last: int, pieces: list[str]) -> None:
+        size = -(-len(pieces) // (last - first + 1))
+        if size > 2 * LEAF:
+            kept = [(t, self.tokens[self.base + i]) for i, t in enumerate(self.texts)]
+            self._lay_out([x for x in kept[:first] + self._leaves(pieces) + kept[last + 1:] if x[0]])
+            return
+        for i, leaf in enumerate(range(first, last + 1)):
+            part = pieces[i * size:(i + 1) * size]
+            self.texts[leaf] = "".join(part)
+            self.chars[self.base + leaf], self.tokens[self.base + leaf] = len(self.texts[leaf]), self.using.count(part)
         low, high = (self.base + first) // 2, (self.base + last) // 2
         while low:
             for node in range(low, high + 1):
@@ -114,6 +147,50 @@ class TokenTree:
         return "".join(self.texts)
 
 
+TREE = ["texts", "chars", "tokens"]
+TREE_TYPES = {"texts": pa.list_(pa.string()), "chars": pa.list_(pa.int64()), "tokens": pa.list_(pa.int64()), "n_tokens": pa.int64()}
+TREE_DDL = "texts array<string>, chars array<long>, tokens array<long>, n_tokens long"
+
+
+def build(docs: DataFrame, path: str, pattern: str, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``key`` and the tree of every row, to be stored: ``texts`` of the leaves, ``chars`` and ``tokens`` of the nodes, and
+    ``n_tokens``. A null text counts as empty; null keys and repeated rows are kept, other columns are left out."""
+    found = docs.select(key, text)
+    schema = pa.schema([*arrow_fields(found, [key]), *TREE_TYPES.items()])
+
+    def rows(batch: pa.RecordBatch):
+        using = counter(path, pattern)
+        for k, t in zip(batch.column(0).to_pylist(), batch.column(1)):
+            tree = TokenTree(t.as_py() or "", using)
+            yield k, tree.texts, tree.chars, tree.tokens, tree.total
+
+    return found.mapInArrow(row_map(rows, schema), f"{ddl(found, [key])}, {TREE_DDL}")
+
+
+def apply(trees: DataFrame, edits: DataFrame, path: str, pattern: str, key: str = "doc_id") -> DataFrame:
+    """The trees of the edited documents after their edits, and ``n_reencoded``, the pre-tokens cut anew for them.
+
+    ``edits`` has ``key``, ``seq``, ``start``, ``end`` (characters) and ``new``. Edits of a document follow one another in
+    the order of ``seq``, ties in that of the other columns; each sees the text that the one before left. Places beyond the
+    end mean the end, a null ``new`` deletes. Documents without edits, and edits without a document, are left out: only
+    edited trees are read by the join's other side and only their touched regions are cut."""
+    edit = F.struct("seq", F.greatest("start", F.lit(0)).cast("long").alias("start"), F.col("end").cast("long").alias("end"), F.coalesce("new", F.lit("")).alias("new"))
+    listed = edits.groupBy(key).agg(F.sort_array(F.collect_list(edit)).alias("_edits"))
+    met = trees.select(key, *TREE).join(listed, key)
+    schema = pa.schema([*arrow_fields(met, [key]), *TREE_TYPES.items(), ("n_reencoded", pa.int64())])
+
+    def rows(batch: pa.RecordBatch):
+        using = counter(path, pattern)
+        for k, texts, chars, tokens, todo in zip(*[batch.column(c) for c in (key, *TREE, "_edits")]):
+            tree = TokenTree.stored(texts.as_py(), chars.as_py(), tokens.as_py(), using)
+            for e in todo.as_py():
+                start = min(e["start"], tree.chars[1])
+                tree.edit(start, min(max(e["end"], start), tree.chars[1]), e["new"])
+            yield k.as_py(), tree.texts, tree.chars, tree.tokens, tree.total, tree.reencoded
+
+    return met.mapInArrow(row_map(rows, schema), f"{ddl(met, [key])}, {TREE_DDL}, n_reencoded long")
+
+
 def redactions(text: str, pattern: regex.Pattern, new: str) -> list[tuple[int, int, str]]:
     return [(m.start(), m.end(), new) for m in pattern.finditer(text)]
 
@@ -124,7 +201,8 @@ def recount(docs: DataFrame, path: str, pattern: str, secrets: str = SECRETS, ne
     each match of ``secrets`` is edited to ``new``.
 
     ``n_reencoded`` counts the pre-tokens cut anew. A null text counts as empty. Null keys and repeated rows are kept,
-    other columns are left out. One pass over the scan; the trees live in the task that counts.
+    other columns are left out; nothing depends on the order of rows, so there are no ties. A very long text has a deeper
+    tree. One pass over the scan; ``build`` and ``apply`` keep trees for later edits.
     """
     found = docs.select(key, text)
     names = ("n_pretokens", "n_tokens", "n_edits", "n_reencoded", "n_tokens_after")

@@ -1,6 +1,7 @@
 """Each operator against a plain version of itself, on the small tables and on rows with every oddity."""
 
 import hashlib
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -148,6 +149,60 @@ def test_counts_after_edits_equal_counts_of_the_edited_text(docs):
     same([(r.doc_id, r.n_tokens, r.n_edits, r.n_tokens_after) for r in got], wanted)
 
 
+EDITED = [*"0123456789abcdef", " ", " ", "  ", "\n", "'s", "'", "é", "abcdef0123456789", "10.0.0.1", " word", "\"", "...", "\n\n ", "0123456789abcdef" * 3]
+
+
+@pytest.mark.parametrize("leaf, n", [(64, 1200), (2, 3000)])
+def test_counts_hold_under_edits_in_any_order(monkeypatch, leaf, n):
+    monkeypatch.setattr(recount, "LEAF", leaf)
+    using = recount.Counter(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    rng, secrets = random.Random(leaf), re.compile(recount.SECRETS)
+
+    def whole(tree, text):
+        assert tree.text() == text and tree.chars[1] == len(text)
+        assert tree.total == len(using.encoding.encode_ordinary(text))
+
+    for i in range(n):
+        text = "".join(rng.choice(EDITED) for _ in range(rng.randrange(0, 40 * leaf if leaf > 2 else 60)))
+        tree = recount.TokenTree(text, using)
+        if i % 2:  # from the end, as the query edits
+            for m in reversed(list(secrets.finditer(text))):
+                tree.edit(m.start(), m.end(), "[removed]")
+            text = secrets.sub("[removed]", text)
+        for _ in range(rng.randrange(6) if i % 2 == 0 else 0):
+            start = rng.randrange(len(text) + 1)
+            end = rng.choice([start, min(start + rng.randrange(30), len(text)), len(text)])
+            new = "".join(rng.choice(EDITED) for _ in range(rng.choice([0, 0, 1, 5, 6 * leaf])))
+            tree.edit(start, end, new)
+            text = text[:start] + new + text[end:]
+        whole(tree, text)
+
+
+def test_stored_trees_follow_batches_of_edits(spark, hard_rows):
+    path, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+    encoding = recount.Counter(path, pattern).encoding
+    texts = {r[0]: r[1] or "" for r in hard_rows if r[0] is not None}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    trees = recount.build(docs, path, pattern)
+    assert {r.doc_id: ("".join(r.texts), r.n_tokens) for r in trees.collect()} == {k: (t, len(encoding.encode_ordinary(t))) for k, t in texts.items()}
+    batches = [[(0, 1, 5, 9, " new words"), (0, 2, 0, 3, None), (18, 1, 100_000, 100_020, "x"), (999, 1, 0, 0, "no document"), (13, 1, 50, 60, "\n12 34")],
+               [(18, 1, 3, 3, "'s "), (12, 1, 0, 10 ** 9, ""), (0, 1, 1, 1, "word " * 500)]]
+    for batch in batches:
+        edits = spark.createDataFrame([(*e, "x") for e in batch], "doc_id long, seq int, start long, end long, new string, texts string")
+        for k, _, start, end, new in sorted(batch):
+            if k in texts:
+                start = min(start, len(texts[k]))
+                texts[k] = texts[k][:start] + (new or "") + texts[k][max(end, start):]
+        trees = recount.apply(trees, edits, path, pattern)
+        got = {r.doc_id: r for r in trees.collect()}
+        assert set(got) == {e[0] for e in batch if e[0] in texts}
+        for k, r in got.items():
+            assert ("".join(r.texts), r.n_tokens) == (texts[k], len(encoding.encode_ordinary(texts[k])))
+        if 18 in got:
+            assert got[18].n_reencoded < 20 * recount.LEAF < got[18].n_tokens / 10
+        trees = recount.build(spark.createDataFrame(list(texts.items()), "doc_id long, text string"), path, pattern) if batch is batches[0] else trees
+
+
 def test_an_edit_cuts_only_its_neighbourhood():
     using = recount.Counter(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
     text = "It's  a tall story,   isn't it?\n" * 2000
