@@ -1,11 +1,12 @@
 """Chat formatting in budgeted windows.
 
 Everything is DataFrame expressions. Turns get their place and the running sum of their tokens from one range-partitioned
-sort of all turns, whose pieces are cut inside long conversations. The sums choose the spans: a span takes the turns that
-begin in one stretch of half a budget, and a turn longer than that stands alone, so a span of more than one turn never
-exceeds the budget. A window is the conversation's system turn, a few turns before the span, and the span. Every turn is
-new in exactly one window; what a window repeats is never a target again. A window holds at most a budget of turns, so no
-group grows with its conversation.
+sort of all turns, whose pieces are cut inside long conversations. A window is the conversation's system turn, a few turns
+before a span, and the span. The sums choose all three: the system turn's tokens are set aside first; a span takes the turns
+that begin in one stretch of half of the rest, and a turn longer than that stands alone, so a span of more than one turn never
+exceeds the rest; of the turns before it those are repeated that still fit. So only a single new turn that is too long by
+itself, beside the system turn, makes a window exceed its budget. Every turn is new in exactly one window; what a window
+repeats is never a target again. No group grows with its conversation.
 """
 
 from __future__ import annotations
@@ -37,48 +38,56 @@ def header(role: Column) -> Column:
 
 
 def turn_tokens(text: Column) -> Column:
-    """A token estimate that never underrates by much: one for every four bytes, and four for the template."""
+    """An estimate of a turn's tokens: one for every four bytes of the text before escaping, and four for the template."""
     return (F.floor((F.octet_length(text) + 3) / 4) + 4).cast("long")
 
 
 def numbered_turns(turns: DataFrame, budget: int) -> DataFrame:
-    """(``conv``, ``pos`` from 1, ``role``, ``text``, ``tokens``, ``span``) of every turn."""
+    """(``conv``, ``pos`` from 1, ``role``, ``text``, ``tokens``, ``before``, ``system``, ``opens``, ``span``) of every turn.
+
+    ``before`` are the tokens of earlier turns. A system turn that opens a conversation of several turns (``opens``) counts
+    by itself, as ``system``, and has no span."""
     rows = turns.select(F.col("conv_id").alias("conv"), F.col("turn"), F.coalesce("role", F.lit("")).alias("role"),
-                        F.coalesce("text", F.lit("")).alias("text"))
-    half = budget // 2
-    sized = rows.withColumn("tokens", turn_tokens(F.col("text"))).withColumn("one", F.lit(1).cast("long")).withColumn(
-        "long", (F.col("tokens") > half).cast("long"))
-    summed = stage(running_totals(sized, ["conv", "turn", "role", "text"], {"count": "one", "sum": "tokens", "longs": "long"}), "turns")
-    starts = summed.groupBy("conv").agg(F.min(F.col("count") - 1).alias("count0"), F.min(F.col("sum") - F.col("tokens")).alias("sum0"),
-                                        F.min(F.col("longs") - F.col("long")).alias("longs0"))
-    placed = summed.join(starts.withColumnRenamed("conv", "c"), F.col("conv").eqNullSafe(F.col("c")))
-    before = F.col("sum") - F.col("tokens") - F.col("sum0")
-    # Twice the number of long turns so far, less one at a long turn itself: all that stand between share a value.
-    parts = 2 * (F.col("longs") - F.col("longs0")) - F.col("long")
-    span = F.struct(F.floor(before / half).alias("stretch"), parts.alias("part"))
-    return placed.select("conv", (F.col("count") - F.col("count0")).alias("pos"), "role", "text", "tokens", span.alias("span"))
+                        F.coalesce("text", F.lit("")).alias("text"), F.monotonically_increasing_id().alias("row"))
+    sized = rows.withColumn("tokens", turn_tokens(F.col("text"))).withColumn("one", F.lit(1).cast("long"))
+    summed = stage(running_totals(sized, ["conv", "turn", "role", "text", "row"], {"count": "one", "sum": "tokens"}).drop("row"), "turns")
+    opening = F.min_by(F.struct("role", "tokens", "count", (F.col("sum") - F.col("tokens")).alias("sum0")), "count")
+    starts = summed.groupBy("conv").agg(opening.alias("o"), F.count(F.lit(1)).alias("n")).select(
+        F.col("conv").alias("c"), (F.col("o.count") - 1).alias("count0"), "o.sum0",
+        F.when((F.col("o.role") == "system") & (F.col("n") > 1), F.col("o.tokens")).otherwise(0).alias("system"))
+    placed = summed.join(starts, F.col("conv").eqNullSafe(F.col("c"))).withColumn("pos", F.col("count") - F.col("count0"))
+    opens = (F.col("pos") == 1) & (F.col("system") > 0)
+    before = F.when(opens, 0).otherwise(F.col("sum") - F.col("tokens") - F.col("sum0") - F.col("system"))
+    half = F.greatest(F.floor((F.lit(budget) - F.col("system")) / 2), F.lit(1))
+    # Nothing else begins in the stretch of a long turn after it, so with what lies before it two spans suffice.
+    span = F.struct(F.floor(F.col("before") / half).alias("stretch"), (F.col("tokens") > half).alias("long"))
+    return placed.withColumns({"before": before, "opens": opens}).select(
+        "conv", "pos", "role", "text", "tokens", "before", "system", "opens", F.when(~F.col("opens"), span).alias("span"))
 
 
 def windows(turns: DataFrame, budget: int = 512, history: int = 2) -> DataFrame:
-    """One row for each window: ``conv_id``, ``first`` (place of its first new turn), ``n_new``, ``n_repeated``,
-    ``formatted`` and ``loss``, an array of (``start``, ``length``) in code points of ``formatted``.
+    """One row for each window: ``conv_id``, ``first`` (place of its first new turn), ``n_new``, ``n_repeated``, ``tokens``
+    (estimated), ``formatted`` and ``loss``, an array of (``start``, ``length``) in code points of ``formatted``.
 
     Turns go in the order of ``turn``, ties in the order of role and text; repeated rows are turns of their own. A null
     text or role is empty; rows with a null conv_id are one conversation. The first turn is repeated if its role is
-    ``system``, and up to ``history`` turns before the span with it. Targets are the texts of new assistant turns.
-    Other columns are left out; an empty table has no windows.
+    ``system``, and up to ``history`` turns before the span as far as the budget has room. Targets are the texts of new
+    assistant turns. Other columns are left out; an empty table has no windows.
     """
     numbered = stage(numbered_turns(turns, budget), "numbered")
-    spans = numbered.groupBy("conv", "span").agg(F.min("pos").alias("first"), F.max("pos").alias("last"))
-    wanted = spans.select("conv", "first", F.explode(F.concat(
-        F.array(F.lit(1).cast("long")), F.sequence(F.greatest(F.lit(1).cast("long"), F.col("first") - history), F.col("last")))).alias("at")).distinct()
-    t = numbered.select(F.col("conv").alias("c"), "pos", "role", "text")
+    spans = numbered.where(~F.col("opens")).groupBy("conv", "span").agg(
+        F.min("pos").alias("first"), F.max("pos").alias("last"), F.min("before").alias("start"),
+        (F.lit(budget) - F.max("system") - F.sum("tokens")).alias("room"))
+    wanted = spans.select("conv", "first", "start", "room", F.explode(F.array_distinct(F.concat(
+        F.array(F.lit(1).cast("long")), F.sequence(F.greatest(F.lit(1).cast("long"), F.col("first") - history), F.col("last"))))).alias("at"))
+    t = numbered.select(F.col("conv").alias("c"), "pos", "role", "text", "tokens", "before", "opens")
     met = wanted.join(t, F.col("conv").eqNullSafe(F.col("c")) & (F.col("at") == F.col("pos")))
-    new = F.col("pos") >= F.col("first")
-    used = met.where(new | (F.col("pos") >= F.col("first") - history) | (F.col("role") == "system"))
+    new = (F.col("pos") >= F.col("first")) | (F.col("opens") & (F.col("first") == 2))
+    fits = (F.col("pos") >= F.col("first") - history) & (F.col("start") - F.col("before") <= F.col("room"))
+    used = met.where(F.col("opens") | new | fits)
     turn = F.struct("pos", header(F.col("role")).alias("head"), escaped(F.col("text")).alias("body"), new.alias("new"),
                     (new & (F.col("role") == TARGET)).alias("target"))
-    grouped = used.groupBy("conv", "first").agg(F.sort_array(F.collect_list(turn)).alias("turns"))
+    grouped = used.groupBy("conv", "first").agg(F.sort_array(F.collect_list(turn)).alias("turns"), F.sum("tokens").alias("tokens"))
     tail = END + "\n"
     # One pass along the turns carries the length so far and the spans of the targets.
     state = F.aggregate(
@@ -89,8 +98,9 @@ def windows(turns: DataFrame, budget: int = 512, history: int = 2) -> DataFrame:
             .otherwise(s["loss"]).alias("loss")))
     formatted = F.array_join(F.transform("turns", lambda x: F.concat(x["head"], x["body"], F.lit(tail))), "")
     n_new = F.size(F.filter("turns", lambda x: x["new"]))
-    return grouped.select(F.col("conv").alias("conv_id"), "first", n_new.alias("n_new"), (F.size("turns") - n_new).alias("n_repeated"),
-                          formatted.alias("formatted"), state["loss"].alias("loss"))
+    own = F.element_at(F.filter("turns", lambda x: x["new"]), 1)["pos"]
+    return grouped.select(F.col("conv").alias("conv_id"), own.alias("first"), n_new.alias("n_new"), (F.size("turns") - n_new).alias("n_repeated"),
+                          "tokens", formatted.alias("formatted"), state["loss"].alias("loss"))
 
 
 def read_back(made: DataFrame) -> DataFrame:
@@ -135,16 +145,21 @@ WITH turns AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
   UNION ALL SELECT -1, 0, 'user', '{END}{START}{TARGET} ok' UNION ALL SELECT -1, 1, '{TARGET}', '{END}{START}{TARGET} ok'),
 sized AS (
-  SELECT *, (strlen(text) + 3) // 4 + 4 AS tokens, CAST((strlen(text) + 3) // 4 + 4 > 256 AS INTEGER) AS long,
+  SELECT *, (strlen(text) + 3) // 4 + 4 AS tokens, count(*) OVER (PARTITION BY conv_id) AS n,
          {len(START) + len(END) + 2} + length(replace({_escaped_sql('role')}, chr(10), '&nl;')) + length({_escaped_sql('text')}) AS chars,
          row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS pos FROM turns),
-summed AS (
-  SELECT *, (sum(tokens) OVER upto - tokens) // 256 AS stretch, 2 * sum(long) OVER upto - long AS part
-  FROM sized WINDOW upto AS (PARTITION BY conv_id ORDER BY pos ROWS UNBOUNDED PRECEDING)),
-spans AS (SELECT conv_id, min(pos) AS first, max(pos) AS last FROM summed GROUP BY conv_id, stretch, part),
+opened AS (
+  SELECT *, pos = 1 AND role = 'system' AND n > 1 AS opens,
+         coalesce(max(tokens) FILTER (WHERE pos = 1 AND role = 'system' AND n > 1) OVER (PARTITION BY conv_id), 0) AS system FROM sized),
+placed AS (
+  SELECT *, CASE WHEN opens THEN 0 ELSE sum(tokens) OVER (PARTITION BY conv_id ORDER BY pos ROWS UNBOUNDED PRECEDING) - tokens - system END AS before,
+         greatest((512 - system) // 2, 1) AS half FROM opened),
+spans AS (
+  SELECT conv_id, min(pos) AS first, max(pos) AS last, min(before) AS start, 512 - any_value(system) - sum(tokens) AS room
+  FROM placed WHERE NOT opens GROUP BY conv_id, before // half, tokens > half),
 formatted AS (
-  SELECT conv_id, CAST(sum(chars) AS BIGINT) AS formatted_chars FROM spans JOIN sized USING (conv_id)
-  WHERE pos BETWEEN first - 2 AND last OR (pos = 1 AND role = 'system') GROUP BY conv_id)
+  SELECT conv_id, CAST(sum(chars) AS BIGINT) AS formatted_chars FROM spans JOIN placed USING (conv_id)
+  WHERE pos BETWEEN first AND last OR opens OR (pos BETWEEN first - 2 AND first - 1 AND start - before <= room) GROUP BY conv_id)
 SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
        CAST(coalesce(sum(length(text)) FILTER (WHERE role = '{TARGET}'), 0) AS BIGINT) AS loss_chars,
        sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = '{TARGET}'), '')) AS loss_sha256,

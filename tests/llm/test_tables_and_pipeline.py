@@ -56,15 +56,44 @@ def test_what_is_read_back_equals_the_conversations(spark, turns):
         assert {r.conv_id: tuple(r)[1:5] for r in got} == wanted
 
 
-def test_windows_keep_the_budget_the_system_turn_and_each_target_once(turns):
-    made = [r for r in chat.windows(turns, budget=256, history=2).collect() if r.conv_id == 1]
-    assert len(made) > 5 and sum(r.n_new for r in made) == 60
-    for r in made:
-        assert "Be brief." in r.formatted and r.formatted.count(chat.START) == r.n_new + r.n_repeated
-        new = r.formatted.split(chat.START)[1 + r.n_repeated:]
-        assert r.n_new == 1 or sum((len(t.split("\n", 1)[1]) + 3) // 4 for t in new) <= 256
-    targets = [r.formatted[x["start"]:x["start"] + x["length"]] for r in sorted(made, key=lambda r: r["first"]) for x in r["loss"]]
-    assert [t.split()[1] for t in targets] == [str(i) for i in range(2, 60, 2)]
+def estimate(text):
+    return (len(text.encode()) + 3) // 4 + 4
+
+
+@pytest.mark.parametrize("source", ["odd", "table"])
+@pytest.mark.parametrize("budget, history", [(512, 2), (256, 2), (90, 5), (24, 1), (4, 0)])
+def test_all_windows_keep_the_budget_the_system_turn_and_each_turn_once(spark, sf, turns, source, budget, history):
+    table = turns if source == "odd" else spark.read.parquet(f"{sf}/conversations.parquet")
+    talks, seen = defaultdict(list), defaultdict(list)
+    for r in table.collect():
+        talks[r.conv_id].append((r.turn is not None, r.turn or 0, r.role or "", r.text or ""))
+    talks = {c: [t[2:] for t in sorted(rows)] for c, rows in talks.items()}
+    for r in chat.windows(table, budget, history).collect():
+        talk, first = talks[r.conv_id], r["first"]
+        new = list(range(first, first + r.n_new))
+        seen[r.conv_id] += new
+        system = talk[0][0] == "system" and len(talk) > 1
+        lead = [1] if system and first > 1 else []
+        past = list(range(first - r.n_repeated + len(lead), first))
+        assert len(past) <= history and (not past or past[0] > len(lead))
+        size = {at: estimate(talk[at - 1][1]) for at in lead + past + new}
+        assert r.tokens == sum(size.values())
+        body = [at for at in new if not (system and at == 1)]
+        assert r.tokens <= budget or (len(body) == 1 and not past)
+        if first > len(past) + 1 + len(lead) and len(past) < history:  # history stops only where the next turn would not fit
+            assert r.tokens + estimate(talk[first - len(past) - 2][1]) > budget
+        parts = r.formatted.split(chat.START)[1:]
+        assert len(parts) == len(size)
+        assert [r.formatted[x["start"]:x["start"] + x["length"]] for x in r.loss] == [
+            talk[at - 1][1].replace("&", "&amp;").replace("<|", "&lt;|") for at in new if talk[at - 1][0] == "assistant"]
+    assert {c: sorted(x) for c, x in seen.items()} == {c: list(range(1, len(t) + 1)) for c, t in talks.items()}
+
+
+def test_a_table_that_already_holds_conversation_minus_one(spark, sf, tmp_path):
+    rows = [(-1, 0, "system", "own"), (-1, 1, "user", "text"), (7, 0, "user", "hi")]
+    spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    got = {r.conv_id: r.n_turns for r in queries.QUERIES["op6_chat_windows"](spark, str(tmp_path)).collect()}
+    assert got == {-1: 4, 7: 1}  # the added turns join it
 
 
 # --- nearest neighbours -------------------------------------------------------------------------------------------
