@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
+from itertools import islice
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -12,14 +13,15 @@ ROWS = 512  # rows of one result batch, so that a batch of long texts is never h
 
 
 class Memo(dict):
-    """A bounded memo of ``make``: emptied when full, so memory stays bounded and results never depend on it."""
+    """A bounded memo of ``make``: its older half goes when it is full, so memory stays bounded; results never depend on it."""
 
     def __init__(self, make: Callable, limit: int = 300_000) -> None:
         self.make, self.limit = make, limit
 
     def __missing__(self, key):
         if len(self) >= self.limit:
-            self.clear()
+            for old in list(islice(self, self.limit // 2 + 1)):
+                del self[old]
         value = self[key] = self.make(key)
         return value
 

@@ -18,12 +18,19 @@ from heapq import heapify, heappop, heappush
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
+from tokenizers import Regex, pre_tokenizers
 
 from cardloom.llm.batches import Memo, arrow_fields, ddl, row_map
 
 SCHEMA = pa.schema([("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())])
 SHIFT, AT = 20, 32  # bits of an id inside a pair, and of a position inside a queue entry
 MEMO_CHARS = 64  # longer stretches hardly come back
+# Lower-case pairs newer than Python's character tables, by the first, the last and what lies between them.
+NEW_LOWER = {a: a + step for first, last, step in (
+    (0x1C89, 0x1C89, 1), (0xA7CB, 0xA7CB, 0x264 - 0xA7CB), (0xA7CC, 0xA7CC, 1), (0xA7CE, 0xA7CE, 1), (0xA7D2, 0xA7D2, 1), (0xA7D4, 0xA7D4, 1),
+    (0xA7DA, 0xA7DA, 1), (0xA7DC, 0xA7DC, 0x19B - 0xA7DC), (0x10D50, 0x10D65, 0x20), (0x16EA0, 0x16EB8, 0x1B)) for a in range(first, last + 1)}
+NAMED = regex.compile(r"[\p{L}\p{N}]")
+HAS_NEW = re.compile("[" + "".join(map(chr, NEW_LOWER)) + "]")
 CONTROLS = "\x1c\x1d\x1e\x1f"
 SPACE = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
 FAST = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\t-\r a-z0-9]+")  # the vocabulary's own cut, on lower-case ASCII
@@ -60,6 +67,14 @@ class WordBpe:
         self.last = [vocab[s + suffix] for s in symbols]
         cut = next(p["pattern"]["Regex"] for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
         self.words = regex.compile(cut)
+        # The regex package may know newer letters and numbers than the library. Python calls a character that is new to it
+        # unprintable, which tells where this matters; of these, the library itself says which it does not know.
+        new = "".join(chr(x) for x in range(0x110000) if unicodedata.category(chr(x)) == "Cn" and NAMED.match(chr(x)))
+        strange = pre_tokenizers.Split(Regex(NAMED.pattern), "removed").pre_tokenize_str(new)
+        points = sorted(ord(c) for part, _ in strange for c in part)
+        ends = [i for i, x in enumerate(points) if points[i + 1:i + 2] != [x + 1]]
+        codes = "".join(f"\\U{points[a]:08X}-\\U{points[b]:08X}" for a, b in zip([0, *[e + 1 for e in ends]], ends))
+        self.old_words = regex.compile("(?V1)" + re.sub(r"\\p\{[LN]\}", lambda m: f"[{m[0]}--[{codes}]]", cut)) if codes else self.words
         self.specials = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")")
         self.coded, self.chunked = Memo(self._coded, limit=400_000), Memo(self._chunk, limit=200_000)
         self.counted = Memo(self._count, limit=400_000)
@@ -105,7 +120,9 @@ class WordBpe:
 
     def pretokens(self, plain: str) -> list[str]:
         """Cut a normalised text without special tokens."""
-        return FAST.findall(plain) if plain.isascii() else self.words.findall(plain)
+        if plain.isascii():
+            return FAST.findall(plain)
+        return (self.words if plain.isprintable() else self.old_words).findall(plain)
 
     def _coded(self, word: str) -> tuple[str, str, int]:
         ids = self.merge(word.encode("utf-8"))
@@ -134,8 +151,11 @@ class WordBpe:
         for part in self.specials.split(text) if "<|" in text else (text,):
             special = self.special.get(part)
             # Lower-casing goes character by character: no final form of sigma.
-            found.append((special, part if special is not None or not part else
-                          unicodedata.normalize("NFC", part).replace("Σ", "σ").lower()))
+            if special is None and part:
+                part = unicodedata.normalize("NFC", part).replace("Σ", "σ").lower()
+                if not part.isascii() and HAS_NEW.search(part):
+                    part = part.translate(NEW_LOWER)
+            found.append((special, part))
         return found
 
     def encode(self, text: str | None) -> list[int]:
@@ -167,7 +187,14 @@ class WordBpe:
         """Number of ids, none of which is kept. Only short stretches enter the memo."""
         memo, n = self.counted, 0
         for special, part in self.parts(text or ""):
-            n += 1 if special is not None else sum(memo[c] if len(c) <= MEMO_CHARS else self._count(c) for c in self.chunks(part))
+            if special is not None:
+                n += 1
+                continue
+            chunks = self.chunks(part)
+            if max(map(len, chunks), default=0) <= MEMO_CHARS:
+                n += sum(map(memo.__getitem__, chunks))
+            else:
+                n += sum([memo[c] if len(c) <= MEMO_CHARS else self._count(c) for c in chunks])
         return n
 
 

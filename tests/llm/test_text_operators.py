@@ -47,6 +47,16 @@ def test_encoding_and_decoding_equal_the_library(docs):
     same([(k, n, tuple(ids), t) for k, n, ids, t in bpe.encode(docs, path).collect()], plain)
 
 
+def test_every_code_point_is_encoded_as_by_the_library():
+    path = public_tokenizers.path("word_bpe_49k.json")
+    library, model = Tokenizer.from_file(path), bpe.model(path)
+    points = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    for low in range(0, len(points), 50_000):
+        texts = [f"a{c}b {c}{c}1{c}" for c in points[low:low + 50_000]]
+        for c, text, made in zip(points[low:], texts, library.encode_batch(texts, add_special_tokens=False)):
+            assert model.encode(text) == made.ids, hex(ord(c))
+
+
 def test_a_memo_that_overflows_changes_nothing():
     model = bpe.WordBpe(public_tokenizers.path("word_bpe_49k.json"))
     text = " ".join(f"word{i % 37}'s ÉTÉ{i % 11} x\x1cy" for i in range(400))
