@@ -71,9 +71,11 @@ def keep_bitmaps(docs: DataFrame, min_chars: int = 40, min_docs: int = 5, key: s
 
 
 def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``row`` (the whole input row as a struct), ``n_lines``, ``n_dropped`` and ``kept``, the remaining text."""
+    """``row`` (the whole input row as a struct), ``n_lines``, ``n_dropped`` and ``kept``, the remaining text.
+
+    Bitmaps grow with the documents, so they are merged at every size and never broadcast."""
     packed = docs.select(F.struct("*").alias("row"), F.col(key).alias("d"), F.xxhash64(text).alias("v"))
-    joined = packed.join(bitmaps, F.col("d").eqNullSafe(F.col("doc")) & (F.col("v") == F.col("version")), "left")
+    joined = packed.join(bitmaps.hint("merge"), F.col("d").eqNullSafe(F.col("doc")) & (F.col("v") == F.col("version")), "left")
     whole = F.coalesce(F.col(f"row.`{text}`"), F.lit(""))
     cut = joined.select("row", whole.alias("t"), F.split(whole, "\n", -1).alias("lines"),
                         F.map_from_entries("keep").alias("words"))
