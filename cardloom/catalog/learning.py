@@ -387,6 +387,22 @@ def saved_fold_models(spark, d):
     return models.average_scores(model_table(spark, d).where("is_test = 1"), MODEL_FEATURES, loaded, "regression")
 
 
+@query("A9", with_views(CARDS, f"""SELECT fold, 'regression' AS task, '{','.join(MODEL_FEATURES)}' AS features, TRUE AS trees_within, count(*) AS n_scored,
+  0 AS n_different FROM cards, range(3) AS folds(fold) WHERE is_test = 1 GROUP BY fold"""))
+def stored_and_reloaded_models(spark, d):
+    """What the manifest says of each fold's model, and how many cards its stored form scores differently: none."""
+    result, path = regression(spark, d), stage_path(spark, "models")
+    models.save_models(result.models, path, "regression", MODEL_FEATURES, BOOSTING)
+    test = model_table(spark, d).where("is_test = 1")
+    before, after = (models.fold_scores(test, MODEL_FEATURES, found, "regression")
+                     for found in (result.models, models.load_models(path, len(result.models), "regression")))
+    compared = before.join(after.withColumnRenamed("prediction", "again"), ["card_id", "fold"]).groupBy("fold").agg(
+        F.count(F.lit(1)).alias("n_scored"), F.count_if(~F.col("prediction").eqNullSafe(F.col("again"))).alias("n_different"))
+    manifest = models.read_manifest(spark, path).select("fold", "task", F.array_join("features", ",").alias("features"),
+                                                           F.col("trees").between(1, BOOSTING["maxIter"]).alias("trees_within"))
+    return manifest.join(compared, "fold")
+
+
 @query("I20")
 def kfold_classification(spark, d):
     result = models.hard_labels(classification(spark, d).oof)

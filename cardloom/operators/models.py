@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import hashlib
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -10,12 +11,13 @@ from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from cardloom.operators.folds import validation_split
 from cardloom.sources.tables import stage
 
 MISSING = -9999.0
+STOPPING = 0.15  # share of the training rows that decides when to stop
 
 
 @dataclass
@@ -55,8 +57,8 @@ def kfold_boosting(train: DataFrame, features: Sequence[str], label: str, fold:
                    vectors: Sequence[str] = (), **params) -> KFoldResult:
     """Fit one model per fold on the other folds and score the held-out rows.
 
-    With early stopping the held-out fold also decides how many trees are kept. Assembled vectors are staged
-    once, so the k fits do not recompute the features.
+    With early stopping ``STOPPING`` of the other folds' rows, by hash, decide how many trees are kept; the held-out fold only
+    reports. Assembled vectors are staged once, so the k fits do not recompute the features.
     """
     data = stage(assemble(train, features, [key, label, fold], vectors), "train")
     names = [*features] if not vectors else None
@@ -64,8 +66,8 @@ def kfold_boosting(train: DataFrame, features: Sequence[str], label: str, fold:
     for f in range(k):
         held = F.col(fold) == f
         if early_stopping:
-            estimator = _estimator(task, label, {"validationIndicatorCol": "_held", **params})
-            model = estimator.fit(data.withColumn("_held", held))
+            estimator = _estimator(task, label, {"validationIndicatorCol": "_stops", **params})
+            model = estimator.fit(validation_split(data.where(~held), key, STOPPING, f, "_stops"))
         else:
             model = _estimator(task, label, params).fit(data.where(~held))
         models.append(model)
@@ -127,15 +129,43 @@ def token_vectors(counts: DataFrame, chosen: DataFrame, key: str, name: str = "t
     return cells.select(key, array_to_vector(dense).alias(name))
 
 
-def save_models(models: Sequence, path: str) -> None:
-    """Store one fitted model per fold."""
+def checksum(model) -> str:
+    """Digest of a tree model's splits and leaves."""
+    return hashlib.sha256(model.toDebugString.split("\n", 1)[1].encode()).hexdigest()
+
+
+def save_models(models: Sequence, path: str, task: str = "regression", features: Sequence[str] = (), parameters: Mapping = {}) -> None:
+    """Store one fitted model per fold, and beside them a manifest: task, features, parameters and checksum of each."""
     for f, model in enumerate(models):
         model.write().overwrite().save(f"{path}/fold_{f}")
+    rows = [(f, task, list(features), {k: str(v) for k, v in parameters.items()}, m.getNumTrees, checksum(m)) for f, m in enumerate(models)]
+    SparkSession.active().createDataFrame(
+        rows, "fold int, task string, features array<string>, parameters map<string,string>, trees int, checksum string"
+    ).coalesce(1).write.mode("overwrite").parquet(f"{path}/manifest")
+
+
+def read_manifest(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(f"{path}/manifest")
 
 
 def load_models(path: str, folds: int, task: str) -> list:
+    """The stored models, each checked against the manifest."""
     kind = {"regression": GBTRegressionModel, "classification": GBTClassificationModel}[task]
-    return [kind.load(f"{path}/fold_{f}") for f in range(folds)]
+    wanted = {r["fold"]: r["checksum"] for r in read_manifest(SparkSession.active(), path).collect()}
+    loaded = [kind.load(f"{path}/fold_{f}") for f in range(folds)]
+    for f, model in enumerate(loaded):
+        if checksum(model) != wanted[f]:
+            raise ValueError(f"the stored model of fold {f} is not the one in the manifest")
+    return loaded
+
+
+def fold_scores(df: DataFrame, features: Sequence[str], models: Sequence, task: str, key: str = "card_id") -> DataFrame:
+    """(``key``, ``fold``, ``prediction``): each model's score of every row."""
+    scored = stage(assemble(df, features, [key]), "scored")
+    for f, model in enumerate(models):
+        scored = _score(model, scored, task, f"_p{f}")
+    each = F.explode(F.array(*[F.struct(F.lit(f).alias("fold"), F.col(f"_p{f}").alias("prediction")) for f in range(len(models))]))
+    return scored.select(key, each.alias("_e")).select(key, "_e.*")
 
 
 def average_scores(df: DataFrame, features: Sequence[str], models: Sequence, task: str, key: str = "card_id") -> DataFrame:

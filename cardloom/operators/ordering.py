@@ -51,8 +51,12 @@ def split_hot(df: DataFrame, keys: Sequence[str], hot: DataFrame) -> tuple[DataF
 
 
 def sorted_pieces(df: DataFrame, order: Sequence[str | Column]) -> DataFrame:
-    """Sort globally and number the rows by (piece, position in piece); materialised, hence stable."""
-    numbered = df.sort(*order).withColumn("_id", F.monotonically_increasing_id())
+    """Sort globally and number the rows by (piece, position in piece); materialised, hence stable.
+
+    Rows that are equal in ``order`` are told apart by their place in ``df``, so that any number of repeats spreads over the
+    pieces. ``df`` is a scan or stored, or has no such rows: a retried task must find the same places."""
+    numbered = (df.withColumn("_tie", F.monotonically_increasing_id()).sort(*order, "_tie").drop("_tie")
+                .withColumn("_id", F.monotonically_increasing_id()))
     return (settle(numbered)
             .withColumn(_PIECE, F.shiftright("_id", 33))
             .withColumn(_POS, F.col("_id").bitwiseAND(F.lit((1 << 33) - 1)))
