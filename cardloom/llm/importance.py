@@ -95,7 +95,7 @@ def resample(docs: DataFrame, labels: DataFrame, share: float | None = None, tar
     """``key``, ``n_grams``, ``log_weight``, ``gumbel_key``, ``rank`` (from 0) and ``kept`` of every row.
 
     The target texts are those labelled good (quality 1) and not toxic. ``share`` of the rows are kept, by default the
-    share of the labelled rows that are good; without any label all are. A null or blank text has no n-grams and weight 0.
+    share of the labelled keys with a good label; without any label all are. ``labels`` has ``quality`` and ``toxic``. A null or blank text has no n-grams and weight 0.
     Rows with a null key are never targets, but are ranked; equal keys go in the order of ``key`` and text hash; repeated
     rows share their noise. Other columns are left out.
     """
@@ -105,7 +105,8 @@ def resample(docs: DataFrame, labels: DataFrame, share: float | None = None, tar
     marked = texts.join(F.broadcast(targets), F.col("own") == F.col("k"), "left").select("t", F.col("k").isNotNull().alias("target"))
     ratios = log_ratios(bucket_counts(marked))
     if share is None:
-        share = labels.agg(F.avg((F.col("quality") == 1).cast("double"))).first()[0]
+        share = labels.where(F.col(key).isNotNull()).groupBy(key).agg(F.max(F.coalesce(good, F.lit(False))).alias("good")).agg(
+            F.avg(F.col("good").cast("double"))).first()[0]
     weighed = log_weights(docs, ratios, key, text)
     keyed = stage(weighed.withColumn("gumbel_key", F.col("log_weight") + gumbel(seed, key, "version")), "weighed")
     keep = round((1.0 if share is None else share) * keyed.count())
