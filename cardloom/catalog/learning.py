@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from cardloom.catalog.base import CARDS, CLEAN, EVENTS, HIST, TXN, TXN_ORDER_SQL, query, register, with_views
 from cardloom.catalog.common import staged_clean
+from cardloom.functions import dates
 from cardloom.operators import aggregate, factor, folds, metrics, models, pivots, select, sequences, text, windows
 from cardloom.operators.ratios import history
 from cardloom.session import stage_path
@@ -105,6 +106,28 @@ def sequence_embedding(spark, d):
     return sequences.embed_sequences(views.transactions(spark, d), "card_id", ["merchant_id", "merchant_category_id"], views.TXN_ORDER)
 
 
+WORD_COLUMNS = [*TEXT_COLUMNS, "month", "day", "weekofyear", "weekday"]
+
+
+def dated_rows(spark, d):
+    return dates.date_parts(views.transactions(spark, d), "purchase_date", ["month", "day", "weekofyear", "weekday"])
+
+
+@query("I3 I4", with_views(TXN, "dated AS (SELECT *, month(purchase_date) AS month, day(purchase_date) AS day, weekofyear(purchase_date) AS weekofyear, "
+                           "isodow(purchase_date) - 1 AS weekday FROM txn)",
+                           f"placed AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY card_id ORDER BY {TXN_ORDER_SQL}) AS at FROM dated)",
+                           "pairs AS (" + " UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", {NAN.format(f'l.{c}')} AS a, {NAN.format(f'r.{c}')} AS b FROM placed l JOIN placed r ON l.card_id = r.card_id "
+    "AND abs(l.at - r.at) BETWEEN 1 AND 3" for c in WORD_COLUMNS) + ")", 'SELECT "column", a, b, count(*) AS n FROM pairs GROUP BY ALL'))
+def sequence_cooccurrence(spark, d):
+    return sequences.cooccurrence(dated_rows(spark, d), "card_id", WORD_COLUMNS, views.TXN_ORDER)
+
+
+@query("I4")
+def sequence_vectors(spark, d):
+    return sequences.association_vectors(tables.stage(dated_rows(spark, d), "dated"), "card_id", WORD_COLUMNS, views.TXN_ORDER)
+
+
 @query("I4")
 def monthly_count_embedding(spark, d):
     rows = views.transactions(spark, d).withColumn("month", F.month("purchase_date"))

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from cardloom.catalog import learning
 from cardloom.catalog.flows import SETTING
-from cardloom.operators import factor, models, pivots, select
+from cardloom.operators import factor, models, pivots, select, sequences
 from cardloom.plans import outliers
 from cardloom.session import stage_path
 from cardloom.sources import tables, views
@@ -133,3 +133,22 @@ def test_outlier_chain_end_to_end(spark, sf):
     assert result.stacked.oof.agg(F.min("prediction") >= 0, F.max("prediction") <= 1).first() == (True, True)
     assert 0 <= result.auc.first()[0] <= 1 and result.threshold.count() == 1
     assert result.regression.test.count() == views.cards(spark, sf).where("is_test = 1").count()
+
+
+def test_word_vectors_factorise_the_association_of_neighbours(spark):
+    rng = np.random.default_rng(5)
+    talks = {k: [str(x) for x in (rng.integers(0, 5, 40) if k % 2 else rng.integers(4, 9, 40))] for k in range(6)}
+    rows = [(k, at, w, None if w == "4" else "x") for k, words in talks.items() for at, w in enumerate(words)]
+    table = spark.createDataFrame(rows, "k int, at int, w string, u string")
+    got = {r["k"]: np.array([r[f"card_w_vec_{i}"] for i in range(3)]) for r in sequences.association_vectors(table, "k", ["w", "u"], ["at"], size=3, hot_rows=20).collect()}
+    n = np.zeros((9, 9))
+    for words in talks.values():
+        for i, a in enumerate(words):
+            for b in words[max(i - 3, 0):i] + words[i + 1:i + 4]:
+                n[int(a), int(b)] += 1
+    with np.errstate(divide="ignore"):
+        x = np.maximum(np.log(n * n.sum() / np.outer(n.sum(1), n.sum(0))), 0)
+    u, s, _ = np.linalg.svd(x)
+    wanted = u[:, :3] * np.sqrt(s[:3])
+    for k, words in talks.items():
+        assert np.allclose(np.abs(got[k]), np.abs(np.mean([wanted[int(w)] for w in words], axis=0)), atol=1e-6)
