@@ -70,7 +70,7 @@ def per_day(df: DataFrame, ts: str, columns: Mapping[str, str]) -> DataFrame:
     return df.withColumns({new: ratio(F.col(old), days) for old, new in columns.items()})
 
 
-# Which combined columns exist: column stem -> statistics that are added, and stems whose sums are divided.
+# Fixed values. Which combined columns exist: column stem -> statistics that are added, and stems whose sums are divided.
 ADDED = {"purchase_amount": ("mean", "max", "min"), "month_diff": ("mean",), "month_lag": ("mean", "max", "min"),
          "category_1": ("mean",), "installments": ("mean", "max"), "duration": ("mean", "min", "max"),
          "amount_month_ratio": ("mean", "min", "max")}

@@ -18,6 +18,7 @@ from cardloom.operators.ordering import NEVER_HOT, hot_keys
 from cardloom.operators.ratios import authorised_history, history, lag_slices, recent
 from cardloom.sources.tables import stage
 
+# The month lags of the slices.
 HIST_LAGS = (-1, -3, -5, -7, -13)
 NEW_LAGS = (1, 2)
 RATIO_LAGS = (0, -1, -2, -3, -4, -13)
@@ -45,6 +46,7 @@ def with_known_skew(rows: DataFrame, setting: Setting) -> Setting:
 
 # --- baseline -----------------------------------------------------------------------------------------------------
 
+# Columns of the baseline table and their statistics.
 BASELINE_SPEC = [
     ("subsector_id", ["nunique"]), ("merchant_id", ["nunique"]), ("merchant_category_id", ["nunique"]),
     ("month", ["nunique", "mean", "min", "max"]), ("hour", ["nunique", "mean", "min", "max"]),
@@ -124,6 +126,7 @@ def baseline_features(cards: DataFrame, txn: DataFrame, setting: Setting) -> Dat
 
 # --- staged chain, stage 1 ---------------------------------------------------------------------------------------
 
+# Interaction keys and coded columns of the staged table.
 INTERACTIONS = ["city_C1", "C2_state", "C2_state_subsector", "subsector_city", "auth_C3"]
 CODE_COLUMNS = [*INTERACTIONS, "authorized_flag", "merchant_id", "city_id", "category_1", "category_2", "category_3",
                 "merchant_category_id", "subsector_id"]
@@ -228,6 +231,7 @@ def stage_two_ratios(rows: DataFrame, merchants: DataFrame, setting: Setting) ->
     return tables
 
 
+# Columns of the large table and their statistics.
 LARGE_SPEC = [
     *[(c, ["mean", "min", "max"]) for c in ("duration", "amount_month_ratio", "installments_month_diff", "installments_month_diff_ratio")],
     *[(c, ["mean", "min", "max", "median"]) for c in ("purchase_lag", "purchase_per_month_lag", "purchase_amount_weekend",

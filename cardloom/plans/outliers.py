@@ -16,6 +16,7 @@ from cardloom.operators.select import numeric_columns
 from cardloom.plans.features import Setting, with_known_skew
 from cardloom.sources.tables import stage
 
+# Items of the rates, columns of means, counts and texts, and numbers of chosen tokens.
 RATE_ITEMS = ["feature_1", "feature_2", "feature_3", "new_month_diff_mean", "hist_month_diff_mean", "hist_month_diff_max", "hist_month_diff_min"]
 MEAN_COLUMNS = ["month", "hour", "weekofyear", "weekday", "year", "subsector_id", "merchant_id", "merchant_category_id",
                 "category_1", "category_2", "category_3", "month_lag"]
