@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from functools import reduce
+
+from pyspark.sql import DataFrame, functions as F
 
 from cardloom.catalog.base import CARDS, CLEAN, EVENTS, HIST, TXN, TXN_ORDER_SQL, query, register, with_views
 from cardloom.catalog.common import staged_clean
@@ -457,6 +459,37 @@ def regression_without_outliers(spark, d):
     return regression(spark, d, F.col("outlier") == 0).test
 
 
+def scored_sql(model, part, where):
+    return f"SELECT '{model}' AS model, '{part}' AS part, count(*) AS n_cards, 0 AS n_twice, 0 AS n_without_score FROM cards WHERE {where}"
+
+
+@query("I19 I20 I22 I23", with_views(CARDS, " UNION ALL ".join(scored_sql(*x) for x in (
+    ("regression", "held out", "is_test = 0"), ("regression", "test", "is_test = 1"), ("classification", "held out", "TRUE"),
+    ("stacked", "held out", "TRUE"), ("without outliers", "test", "is_test = 1")))))
+def scored_cards(spark, d):
+    """Each model scores each card it should exactly once: held-out cards by the model of the other folds, test cards by all."""
+    whole = regression(spark, d)
+    tables_of = [("regression", "held out", whole.oof), ("regression", "test", whole.test), ("classification", "held out", classification(spark, d).oof),
+                 ("stacked", "held out", stacked_classification(spark, d)), ("without outliers", "test", regression_without_outliers(spark, d))]
+    scored = reduce(DataFrame.unionByName, [t.select(F.lit(m).alias("model"), F.lit(p).alias("part"), "card_id", "prediction") for m, p, t in tables_of])
+    cards = scored.groupBy("model", "part", "card_id").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("prediction").isNull() | F.isnan("prediction")).alias("none"))
+    return cards.groupBy("model", "part").agg(F.count(F.lit(1)).alias("n_cards"), F.count_if(F.col("n") > 1).alias("n_twice"),
+                                              F.sum("none").alias("n_without_score"))
+
+
+@query("I15", with_views(TXN, CARDS, FEATURES, """kept AS (SELECT card_id FROM cards WHERE target IS NOT NULL),
+facts AS (SELECT f.* FROM kept LEFT JOIN feats f USING (card_id))
+SELECT 'constant' AS feature, CASE WHEN count(DISTINCT constant) = 1 THEN 'single_unique' END AS reason FROM facts
+UNION ALL SELECT 'mostly_missing', CASE WHEN avg(CASE WHEN mostly_missing IS NULL THEN 1.0 ELSE 0 END) > 0.6 THEN 'missing' END FROM facts
+UNION ALL SELECT 'visits_copy', CASE WHEN abs(corr(visits, visits_copy)) > 0.95 THEN 'collinear' END FROM facts"""))
+def planted_columns_removed(spark, d):
+    """Why the selector removes the planted columns: one value, mostly missing, copy of another."""
+    selector = select.FeatureSelector(selectable(spark, d), label="target")
+    found = {"single_unique": selector.identify_single_unique(), "missing": selector.identify_missing(0.6), "collinear": selector.identify_collinear(0.95)}
+    return spark.createDataFrame([(c, next((why for why, names in found.items() if c in names), None)) for c in ("constant", "mostly_missing", "visits_copy")],
+                                 "feature string, reason string")
+
+
 @query("I24 F2", """
 WITH means AS (SELECT feature, avg(n) AS m FROM (
   SELECT p_type AS feature, p_size % 5 AS fold, count(*) AS n FROM part GROUP BY 1, 2) GROUP BY 1)
