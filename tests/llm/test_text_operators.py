@@ -60,10 +60,15 @@ def test_every_code_point_is_encoded_as_by_the_library():
 def test_a_memo_that_overflows_changes_nothing():
     model = bpe.WordBpe(public_tokenizers.path("word_bpe_49k.json"))
     text = " ".join(f"word{i % 37}'s ÉTÉ{i % 11} x\x1cy" for i in range(400))
+    text += " " + "q" * 200 + " " + "é!" * 90
     free = model.digest(text)
-    model.coded.limit = model.chunked.limit = 3
-    model.coded.clear(), model.chunked.clear()
-    assert model.digest(text) == free
+    memos = (model.coded, model.chunked, model.counted, model.sizes)
+    assert model.count(text) == free[0] == len(model.encode(text))
+    for memo in memos:
+        memo.limit = 3
+        memo.clear()
+    assert model.digest(text) == free and model.count(text) == free[0]
+    assert all(len(memo) <= 3 for memo in memos)
 
 
 # --- importance resampling ----------------------------------------------------------------------------------------
