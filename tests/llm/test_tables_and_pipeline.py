@@ -182,6 +182,41 @@ def test_recall_with_unequal_norms(spark, norms):
     assert hits >= (0.87 if norms == "one long" else 0.95) * 20 * len(wanted), hits / 20 / len(wanted)
 
 
+@pytest.mark.parametrize("crowd", [2048, 16, 1])
+def test_recall_when_axes_are_cut_further(spark, crowd):
+    rng = np.random.default_rng(8)
+    vectors = rng.normal(size=(2000, 20))
+    rows = [(i, v / np.linalg.norm(v)) for i, v in enumerate(vectors)]
+    got, wanted = searched(spark, rows, crowd=crowd), best_by_key(rows)
+    assert all(len(x) == 20 for x in got.values())
+    hits = sum(len({i for i, _ in got[q]} & {i for i, _ in wanted[q]}) for q in wanted)
+    assert hits >= 0.9 * 20 * len(wanted), hits / 20 / len(wanted)
+
+
+def test_a_stored_vector_lies_in_the_first_bucket_of_its_own_order():
+    vectors = np.random.default_rng(9).normal(size=(50, 12))
+    for fine in (1, 2, 8, 64):
+        rotations = crosspolytope.Rotations(12, 5, fine)
+        assert rotations.buckets == 2 * rotations.width * rotations.fine
+        codes = rotations.codes(vectors, np.linalg.norm(vectors, axis=1) * (1 + 1e-12), 5)
+        for at, tab, order in rotations.orders(vectors, 5):
+            assert sorted(order[0]) == list(range(rotations.buckets))
+            assert (order[:, 0] == codes[at:at + len(order), tab]).all()
+
+
+def test_a_larger_table_needs_a_smaller_share_of_its_pairs():
+    rng, shares = np.random.default_rng(10), []
+    for n in (500, 16_000):
+        vectors = rng.normal(size=(n, 32))
+        vectors /= np.linalg.norm(vectors, axis=1)[:, None]
+        rotations = crosspolytope.Rotations(32, 16)
+        codes = rotations.codes(vectors, np.full(n, 1 + 1e-12), 16)
+        near = {q: np.argsort(-(vectors @ vectors[q]), kind="stable")[1:21] for q in range(0, 320, 10)}
+        tables, probes = crosspolytope.fitted({q: (vectors[q], codes[i]) for q, i in near.items()}, rotations, 16, 0.96, n, n // 20)
+        shares.append(tables * probes / rotations.buckets)
+    assert shares[1] < shares[0], shares
+
+
 def test_queries_that_find_too_little_meet_all_vectors(spark):
     rows = list(enumerate(np.random.default_rng(4).normal(size=(300, 64))))
     rows = [(i, v / np.linalg.norm(v)) for i, v in rows]
