@@ -39,16 +39,18 @@ WHOLE = -1  # table and band of the vectors that are not hashed
 
 
 def usable(vectors: DataFrame, key: str, vector: str) -> DataFrame:
-    """(``id``, ``v``): vectors of doubles without null or non-finite components and not all zero, with a key; each once."""
+    """(``id``, ``v``, ``norm``): vectors of doubles without null or non-finite components and not all zero, with a key; each once.
+
+    The largest component is a column before the norm is taken, or it would be looked for anew at each component."""
     v = F.col(vector).cast("array<double>")
     finite = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     return (vectors.select(F.col(key).cast("long").alias("id"), v.alias("v")).where(F.col("id").isNotNull() & F.col("v").isNotNull())
-            .where(finite & F.exists("v", lambda x: x != 0)).dropDuplicates(["id", "v"]))
+            .where(finite & F.exists("v", lambda x: x != 0)).withColumn("top", F.array_max(F.transform("v", F.abs)))
+            .dropDuplicates(["id", "v"]).select("id", "v", norm(F.col("v"), F.col("top")).alias("norm")))
 
 
-def norm(v: Column) -> Column:
+def norm(v: Column, top: Column) -> Column:
     """Euclidean norm; divided by the largest component first, so that squares neither overflow nor vanish."""
-    top = F.array_max(F.transform(v, F.abs))
     return top * F.sqrt(F.aggregate(v, F.lit(0.0), lambda a, x: a + (x / top) * (x / top)))
 
 
@@ -124,9 +126,8 @@ def padded(arrays: list[list[float]], dimension: int) -> np.ndarray:
 def banded(good: DataFrame, least: int) -> tuple[DataFrame, bool]:
     """``good`` with its ``band`` and the ``largest`` norm in it, and whether a band is ``WHOLE``: the bands of fewer
     than ``least`` vectors, as one. A band is a stretch of norms, so there are some thousands of them at most."""
-    normed = good.withColumn("norm", norm(F.col("v")))
-    top = normed.agg(F.max("norm")).first()[0] or 1.0
-    placed = normed.withColumn("band", F.floor((F.log(F.lit(top)) - F.log("norm")) / float(np.log(STEP)) + 1e-9).cast("int"))
+    top = good.agg(F.max("norm")).first()[0] or 1.0
+    placed = good.withColumn("band", F.floor((F.log(F.lit(top)) - F.log("norm")) / float(np.log(STEP)) + 1e-9).cast("int"))
     bands = placed.groupBy("band").agg(F.count(F.lit(1)).alias("n"), F.max("norm").alias("largest")).collect()
     big = [r for r in bands if r["n"] >= least]
     edges = good.sparkSession.createDataFrame([(r["band"], r["largest"]) for r in big], "band int, largest double")
