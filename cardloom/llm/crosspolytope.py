@@ -250,7 +250,9 @@ def sample_codes(in_bands: DataFrame, asked: DataFrame, rotations: Rotations, ta
             limits = np.array([x or float("inf") for x in largest]) * (1 + 1e-12)
             for j, own in enumerate(ids):
                 scores = np.where(keys == own, -np.inf, products[:, j])
-                out += [(own, int(i), float(scores[i])) for i in np.argsort(-scores, kind="stable")[:k] if keys[i] != own]
+                order = np.argsort(-scores, kind="stable")
+                nearest = order[np.sort(np.unique(keys[order], return_index=True)[1])]  # the best row of each key
+                out += [(own, int(i), float(scores[i])) for i in nearest[:k + 1] if keys[i] != own][:k]
             rows = sorted({i for _, i, _ in out})
             found = dict(zip(rows, rotations.codes(matrix[rows], limits[rows], tables).tolist())) if rows else {}
             columns = ([o for o, _, _ in out], [int(keys[i]) for _, i, _ in out], [x for _, _, x in out],
@@ -260,7 +262,8 @@ def sample_codes(in_bands: DataFrame, asked: DataFrame, rotations: Rotations, ta
     types = (pa.int64(), pa.int64(), pa.float64(), pa.list_(pa.int32()))
     near = in_bands.select("id", "v", "band", "largest").mapInArrow(best, "query_id long, vec_id long, score double, codes array<int>")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    kept = near.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "codes").collect()
+    once = near.groupBy("query_id", "vec_id").agg(F.max_by("codes", "score").alias("codes"), F.max("score").alias("score"))
+    kept = once.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "codes").collect()
     places = {own: queries[j] for j, own in enumerate(ids)}
     found: dict[int, list] = {}
     for r in kept:
@@ -270,7 +273,8 @@ def sample_codes(in_bands: DataFrame, asked: DataFrame, rotations: Rotations, ta
 
 
 def fitted(found: dict, rotations: Rotations, tables: int, goal: float, n_stored: int, n_asked: int) -> tuple[int, int]:
-    """The cheapest number of tables and of probes with which the share ``goal`` of the sampled neighbours is found."""
+    """The cheapest number of tables and of probes with which the share ``goal`` of the sampled neighbours is found, and
+    two standard errors more, as the sample may be small."""
     if not found:
         return 1, 1
     needs = []  # for each neighbour and table, how many probes reach its bucket
@@ -282,7 +286,8 @@ def fitted(found: dict, rotations: Rotations, tables: int, goal: float, n_stored
             of_table[:, tab] = rank[codes[:, tab]]
         needs.append(of_table)
     reached = np.sort(np.minimum.accumulate(np.concatenate(needs), axis=1), axis=0)
-    probes = reached[int(np.ceil(goal * len(reached))) - 1]
+    share = min(1.0, goal + 2 * (goal * (1 - goal) / len(reached)) ** 0.5)
+    probes = reached[int(np.ceil(share * len(reached))) - 1]
 
     def cost(t: int) -> float:
         asked = t * int(probes[t - 1]) * n_asked
