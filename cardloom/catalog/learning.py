@@ -381,15 +381,15 @@ def model_table(spark, d):
     return tables.stage(folds.stratified_kfold(table, "card_id", "outlier", 3, 326), "model_table")
 
 
-def regression(spark, d, where=None):
-    table = model_table(spark, d)
+def regression(spark, d, where=None, table=None):
+    table = table or model_table(spark, d)
     train, test = table.where("is_test = 0"), table.where("is_test = 1")
     train = train if where is None else train.where(where)
     return models.kfold_boosting(train, MODEL_FEATURES, "target", "fold", 3, "regression", test, **BOOSTING)
 
 
-def classification(spark, d, features=None, seed=7):
-    table = model_table(spark, d)
+def classification(spark, d, features=None, seed=7, table=None):
+    table = table or model_table(spark, d)
     return models.kfold_boosting(table, features or MODEL_FEATURES, "outlier", "fold", 3, "classification",
                                  **{**BOOSTING, "seed": seed})
 
@@ -446,14 +446,19 @@ def classification_with_tokens(spark, d):
     return result.oof.select("card_id", "outlier", "fold", "prediction")
 
 
-@query("I22")
-def stacked_classification(spark, d):
-    first = [classification(spark, d, MODEL_FEATURES[:4], 1).oof, classification(spark, d, MODEL_FEATURES[3:], 2).oof]
+def stacked(spark, d, table=None):
+    table = table or model_table(spark, d)
+    first = [classification(spark, d, MODEL_FEATURES[:4], 1, table).oof, classification(spark, d, MODEL_FEATURES[3:], 2, table).oof]
     level = folds.stratified_kfold(models.stack(first, label="outlier"), "card_id", "outlier", 3, 99)
     result = models.kfold_boosting(level, ["score_0", "score_1"], "outlier", "fold", 3, "classification", **BOOSTING)
     return result.oof.select("card_id", "outlier", "fold", "prediction")
 
 
+@query("I22")
+def stacked_classification(spark, d):
+    return stacked(spark, d)
+
+
 @query("I23")
 def regression_without_outliers(spark, d):
     return regression(spark, d, F.col("outlier") == 0).test
@@ -467,10 +472,14 @@ def scored_sql(model, part, where):
     ("regression", "held out", "is_test = 0"), ("regression", "test", "is_test = 1"), ("classification", "held out", "TRUE"),
     ("stacked", "held out", "TRUE"), ("without outliers", "test", "is_test = 1")))))
 def scored_cards(spark, d):
-    """Each model scores each card it should exactly once: held-out cards by the model of the other folds, test cards by all."""
-    whole = regression(spark, d)
-    tables_of = [("regression", "held out", whole.oof), ("regression", "test", whole.test), ("classification", "held out", classification(spark, d).oof),
-                 ("stacked", "held out", stacked_classification(spark, d)), ("without outliers", "test", regression_without_outliers(spark, d))]
+    """Each model scores each card it should exactly once: held-out cards by the model of the other folds, test cards by all.
+
+    All models read one stored table."""
+    table = model_table(spark, d)
+    whole = regression(spark, d, table=table)
+    tables_of = [("regression", "held out", whole.oof), ("regression", "test", whole.test), ("classification", "held out", classification(spark, d, table=table).oof),
+                 ("stacked", "held out", stacked(spark, d, table)),
+                 ("without outliers", "test", regression(spark, d, F.col("outlier") == 0, table).test)]
     scored = reduce(DataFrame.unionByName, [t.select(F.lit(m).alias("model"), F.lit(p).alias("part"), "card_id", "prediction") for m, p, t in tables_of])
     cards = scored.groupBy("model", "part", "card_id").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("prediction").isNull() | F.isnan("prediction")).alias("none"))
     return cards.groupBy("model", "part").agg(F.count(F.lit(1)).alias("n_cards"), F.count_if(F.col("n") > 1).alias("n_twice"),
