@@ -191,7 +191,7 @@ SELECT card_id, {c}, {money_mean()} AS m FROM txn WHERE {HIST} AND {c} IS NOT NU
     for c in MEAN_COLUMNS for p, w in (("hist", HIST), ("new", NEW))) + " FROM txn " + " ".join(
     f"LEFT JOIN m_{c} USING (card_id, {c})" for c in MEAN_COLUMNS) + " GROUP BY card_id"))
 def category_mean_on_rows(spark, d):
-    txn = tables.stage(views.transactions(spark, d), "means")
+    txn = tables.stage(views.transactions(spark, d).select("card_id", "month_lag", "purchase_amount", *MEAN_COLUMNS), "means")
     table = txn.select("card_id").distinct()
     for c in MEAN_COLUMNS:
         for part, where in (("hist", history()), ("new", recent())):

@@ -247,9 +247,19 @@ def relative_to_group(df: DataFrame, key: str, inner: Sequence[str], value: str,
 
 def group_mean_summary(df: DataFrame, key: str, inner: Sequence[str], value: str, stats: Sequence[str],
                        name: str, source: DataFrame | None = None, hot_rows: int | None = None) -> DataFrame:
-    """Mean of (key, inner) given to every row, then statistics per key; ``source`` may be another slice."""
-    rows = group_transform(df, [key, *inner], value, {name: "mean"}, source)
-    return multi_agg(rows, [key], [(name, list(stats))], hot_rows=hot_rows)
+    """Mean of (key, inner) given to every row, then statistics per key; ``source`` may be another slice.
+
+    All rows of a group have the same mean, so it is taken once, weighted by their number: only groups are shuffled and
+    joined. Statistics without a weighted form, and keys with very many groups, go by the rows.
+    """
+    weighted = {"max": F.max(name), "min": F.min(name), "median": F.percentile(name, F.lit(0.5), F.col("_rows"))}
+    counts = df.where(F.col(key).isNotNull()).groupBy(key, *inner).agg(F.count(F.lit(1)).alias("_rows"))
+    if not set(stats) <= set(weighted) or ("median" in stats and hot_keys(counts, [key], hot_rows) is not None):
+        rows = group_transform(df, [key, *inner], value, {name: "mean"}, source)
+        return multi_agg(rows, [key], [(name, list(stats))], hot_rows=hot_rows)
+    means = multi_agg(source if source is not None else df, [key, *inner], [(value, ["mean"])])
+    groups = attach(counts, means.withColumnRenamed(f"{value}_mean", name), [key, *inner])
+    return groups.groupBy(key).agg(*[weighted[s].alias(f"{name}_{s}") for s in stats])
 
 
 def repurchase_ratio(df: DataFrame, key: str, inner: Sequence[str], value: str, name: str) -> DataFrame:

@@ -3,7 +3,8 @@
 from pyspark.sql import functions as F
 
 from cardloom.catalog import learning
-from cardloom.operators import models
+from cardloom.operators import aggregate, models
+from test_plans import plan
 from test_plans import plan
 
 
@@ -17,3 +18,13 @@ def test_all_scored_models_read_one_stored_table(spark, sf, monkeypatch):
     monkeypatch.setattr(models, "kfold_boosting", unfitted)
     learning.scored_cards(spark, sf)
     assert len(made) == 1
+
+
+def test_group_means_are_weighted_without_a_join_to_rows(spark):
+    rows = spark.createDataFrame([(1, "a", 2.0), (1, "a", 4.0), (1, "a", 3.0), (1, "b", 9.0), (1, None, 50.0), (2, None, 1.0), (None, "a", 1.0)],
+                                 "card_id long, c string, amount double")
+    made = aggregate.group_mean_summary(rows, "card_id", ["c"], "amount", ["max", "min", "median"], "m")
+    assert sorted(map(tuple, made.collect())) == [(1, 9.0, 3.0, 3.0), (2, None, None, None)]
+    assert sorted(map(tuple, aggregate.group_mean_summary(rows, "card_id", ["c"], "amount", ["max", "min", "median"], "m", hot_rows=1).collect())) == [
+        (1, 9.0, 3.0, 3.0), (2, None, None, None)]
+    assert "FileScan" not in plan(made)  # no stored means are joined back to the rows
