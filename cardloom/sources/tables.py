@@ -35,6 +35,15 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
+def clustered(df: DataFrame, *keys: str) -> DataFrame:
+    """Deal rows out by key before they are stored, so that later aggregations combine a key's rows before they shuffle.
+
+    Joins leave the rows of a key all over the pieces, more of them the larger the table: partial aggregates then number as many
+    as the rows. Spark cuts crowded pieces, so a long key still spreads over the tasks.
+    """
+    return df.hint("rebalance", *[F.col(k) for k in keys])
+
+
 def parse_dates(df: DataFrame, columns: Sequence[str], pattern: str | None = None) -> DataFrame:
     """Turn text columns into zone-free timestamps."""
     arguments = (F.lit(pattern),) if pattern else ()

@@ -3,8 +3,10 @@
 from pyspark.sql import functions as F
 
 from cardloom.catalog import learning
+from cardloom.catalog.flows import SETTING
 from cardloom.operators import aggregate, models
-from test_plans import plan
+from cardloom.plans import features
+from cardloom.sources import views
 from test_plans import plan
 
 
@@ -28,3 +30,10 @@ def test_group_means_are_weighted_without_a_join_to_rows(spark):
     assert sorted(map(tuple, aggregate.group_mean_summary(rows, "card_id", ["c"], "amount", ["max", "min", "median"], "m", hot_rows=1).collect())) == [
         (1, 9.0, 3.0, 3.0), (2, None, None, None)]
     assert "FileScan" not in plan(made)  # no stored means are joined back to the rows
+
+
+def test_baseline_rows_are_dealt_out_by_card(spark, sf, monkeypatch):
+    stored = {}
+    monkeypatch.setattr(features, "stage", lambda df, name, *a: stored.setdefault(name, df))
+    features.baseline_features(views.cards(spark, sf), views.transactions(spark, sf), SETTING)
+    assert "REBALANCE_PARTITIONS_BY_COL" in plan(stored["baseline_rows"])
