@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from cardloom.catalog import learning
 from cardloom.catalog.flows import SETTING
-from cardloom.operators import aggregate, models
+from cardloom.operators import aggregate, models, pivots, ratios, sequences, windows
 from cardloom.plans import features
 from cardloom.sources import views
 from test_plans import plan
@@ -37,3 +37,22 @@ def test_baseline_rows_are_dealt_out_by_card(spark, sf, monkeypatch):
     monkeypatch.setattr(features, "stage", lambda df, name, *a: stored.setdefault(name, df))
     features.baseline_features(views.cards(spark, sf), views.transactions(spark, sf), SETTING)
     assert "REBALANCE_PARTITIONS_BY_COL" in plan(stored["baseline_rows"])
+
+
+def purchases(spark):
+    return spark.createDataFrame([(1, "a", 1, 2.0, 0), (1, "a", 2, 4.0, 1), (1, None, 3, 9.0, 0), (1, "b", 4, 3.0, None), (1, "b", 5, 3.0, 1),
+                                  (2, "b", 1, 5.0, 0), (None, "a", 1, 7.0, 0), (None, "a", 2, 8.0, 0)],
+                                 "card_id long, merchant_id string, at long, purchase_amount double, month_lag int")
+
+
+def exchanges(df):
+    return plan(df).count("Exchange hashpartitioning")
+
+
+def test_neighbours_are_counted_without_a_join_and_alike_on_both_routes(spark):
+    counted = sequences.cooccurrence(purchases(spark), "card_id", ["merchant_id", "month_lag"], ["at"], 2)
+    assert "Join" not in plan(counted)
+    rows = sorted(map(tuple, counted.collect()))
+    assert rows == sorted(map(tuple, sequences.cooccurrence(purchases(spark), "card_id", ["merchant_id", "month_lag"], ["at"], 2, hot_rows=2).collect()))
+    assert [r[1:] for r in rows if r[0] == "merchant_id"] == [("a", "a", 2), ("a", "b", 1), ("a", "nan", 2), ("b", "a", 1), ("b", "b", 2),
+                                                             ("b", "nan", 2), ("nan", "a", 2), ("nan", "b", 2)]
