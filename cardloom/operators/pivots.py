@@ -28,7 +28,8 @@ def sum_pivot(df: DataFrame, key: str, column: str, value: str, values: Sequence
     """Sum (or count) of ``value`` per key with one zero-filled column per pivot value.
 
     Cells are summed in long form first, so a row updates one sum however many columns there are; the wide step
-    then only places finished cells. ``total`` names a column for the sum of all cells, ``active`` one for their
+    then only places finished cells. A key's cells, one for each value at most, are brought together before it, or every
+    task would hold a wide row of nearly every key. ``total`` names a column for the sum of all cells, ``active`` one for their
     number (how many different periods a key is active in).
     """
     values = pivot_values(df, column) if values is None else values
@@ -44,7 +45,7 @@ def sum_pivot(df: DataFrame, key: str, column: str, value: str, values: Sequence
 
     extra = [F.sum("_cell").cast("double").alias(total)] if total else []
     extra += [F.count(F.lit(1)).alias(active)] if active else []
-    return cells.groupBy(key).agg(*[placed(v).alias(name(v)) for v in values], *extra)
+    return cells.repartition(F.col(key)).groupBy(key).agg(*[placed(v).alias(name(v)) for v in values], *extra)
 
 
 def share_pivot(df: DataFrame, key: str, column: str, value: str, values: Sequence | None = None,

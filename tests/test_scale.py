@@ -56,3 +56,10 @@ def test_neighbours_are_counted_without_a_join_and_alike_on_both_routes(spark):
     assert rows == sorted(map(tuple, sequences.cooccurrence(purchases(spark), "card_id", ["merchant_id", "month_lag"], ["at"], 2, hot_rows=2).collect()))
     assert [r[1:] for r in rows if r[0] == "merchant_id"] == [("a", "a", 2), ("a", "b", 1), ("a", "nan", 2), ("b", "a", 1), ("b", "b", 2),
                                                              ("b", "nan", 2), ("nan", "a", 2), ("nan", "b", 2)]
+
+
+def test_wide_rows_of_a_pivot_are_made_where_a_keys_cells_lie(spark):
+    wide = pivots.sum_pivot(purchases(spark), "card_id", "at", "purchase_amount", [1, 2])
+    assert exchanges(wide) == 2 and sorted(map(tuple, wide.collect())) == [(1, 2.0, 4.0), (2, 5.0, 0.0)]
+    text = plan(wide)
+    assert "hashpartitioning(card_id" in text[text.index("partial_sum(CASE"):].split("\n")[1]  # nothing wide is made before that shuffle
