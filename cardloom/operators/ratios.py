@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from cardloom.functions.clean import ratio
-from cardloom.operators.aggregate import EXACT_SCALE, exact_sum, multi_agg, statistic, two_level, value_groups
+from cardloom.operators.aggregate import EXACT_SCALE, exact_sum, multi_agg, statistic, two_level
+from cardloom.sources.tables import stage
 
 
 def history() -> Column:
@@ -47,18 +49,21 @@ def _history_rows() -> Column:
 def distinct_ratios(df: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
     """Number of values in the new period over their number in history; a missing value counts as one.
 
-    One aggregation by value serves all columns; cards without new rows get 0.
+    Cards without new rows get 0. The rows are stored and each column is grouped by value for itself, in tasks of its own:
+    all columns in one aggregation would hold a group for each row and column at once.
     """
-    groups, chosen = value_groups(df.where(F.col(key).isNotNull()), [key], columns,
-                                  {"_h": F.bool_or(history()), "_r": F.bool_or(recent())})
+    rows = stage(df.where(F.col(key).isNotNull()).select(key, *columns, history().alias("_h"), recent().alias("_r")), "values")
+    groups = reduce(DataFrame.unionAll, [
+        rows.groupBy(key, c).agg(F.bool_or("_h").alias("_h"), F.bool_or("_r").alias("_r")).select(key, F.lit(i).alias("_column"), "_h", "_r")
+        for i, c in enumerate(columns)])
 
-    def number(column: str, flag: str) -> Column:
-        return F.count(F.when(chosen[column] & F.col(flag), F.lit(1)))
+    def number(i: int, flag: str) -> Column:
+        return F.count(F.when((F.col("_column") == i) & F.col(flag), F.lit(1)))
 
     table = groups.groupBy(key).agg(
         F.count(F.when(F.col("_h"), F.lit(1))).alias("_hist_rows"),
-        *[F.coalesce(ratio(number(c, "_r"), number(c, "_h")), F.lit(0.0)).alias(f"new_hist_{c}_counts_ratio")
-          for c in columns])
+        *[F.coalesce(ratio(number(i, "_r"), number(i, "_h")), F.lit(0.0)).alias(f"new_hist_{c}_counts_ratio")
+          for i, c in enumerate(columns)])
     return _with_history(table)
 
 

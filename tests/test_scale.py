@@ -63,3 +63,9 @@ def test_wide_rows_of_a_pivot_are_made_where_a_keys_cells_lie(spark):
     assert exchanges(wide) == 2 and sorted(map(tuple, wide.collect())) == [(1, 2.0, 4.0), (2, 5.0, 0.0)]
     text = plan(wide)
     assert "hashpartitioning(card_id" in text[text.index("partial_sum(CASE"):].split("\n")[1]  # nothing wide is made before that shuffle
+
+
+def test_distinct_ratios_group_each_column_for_itself(spark):
+    made = ratios.distinct_ratios(purchases(spark), "card_id", ["merchant_id", "at"])
+    assert "Expand" not in plan(made)
+    assert sorted(map(tuple, made.collect())) == [(1, 1.0, 1.0), (2, 0.0, 0.0)]
