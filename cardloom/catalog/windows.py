@@ -13,7 +13,7 @@ from cardloom.operators import windows
 from cardloom.operators.ratios import history, lag_slices, recent
 from cardloom.operators.aggregate import multi_agg
 from cardloom.plans.features import HIST_LAGS, NEW_LAGS
-from cardloom.sources import views
+from cardloom.sources import tables, views
 
 GROUPS = {
     "card": (["card_id"], "E1"),
@@ -76,7 +76,9 @@ FAMILIES = {"merchant": ["card_id", "merchant_id"], "category": ["card_id", "mer
     f"max(r_{n}) AS {n}_shift_ratio_max, round(max(d_{n}), 4) AS {n}_diff_max, round(median(d_{n}), 4) AS {n}_diff_median"
     for n in FAMILIES) + " FROM diffs GROUP BY card_id"))
 def change_summary_per_grouping(spark, d):
-    table = windows.change_summary(views.transactions(spark, d), "card_id", FAMILIES, views.TXN_ORDER, "purchase_amount")
+    needed = dict.fromkeys([*(c for group in FAMILIES.values() for c in group), *views.TXN_ORDER])
+    rows = tables.stage(views.transactions(spark, d).select(*needed), "changes")
+    table = windows.change_summary(rows, "card_id", FAMILIES, views.TXN_ORDER, "purchase_amount")
     return table.withColumns({c: F.round(c, 4) for c in table.columns if "_diff_" in c})
 
 

@@ -69,3 +69,19 @@ def test_distinct_ratios_group_each_column_for_itself(spark):
     made = ratios.distinct_ratios(purchases(spark), "card_id", ["merchant_id", "at"])
     assert "Expand" not in plan(made)
     assert sorted(map(tuple, made.collect())) == [(1, 1.0, 1.0), (2, 0.0, 0.0)]
+
+
+def test_change_summary_deals_rows_out_once(spark):
+    groups = {"merchant": ["card_id", "merchant_id"], "lag": ["card_id", "month_lag"]}
+    made, split = (windows.change_summary(purchases(spark), "card_id", groups, ["at"], "purchase_amount", hot_rows=h) for h in (None, 2))
+    assert exchanges(made) == 1
+    assert sorted(map(tuple, made.collect())) == sorted(map(tuple, split.collect())) == [(1, 1.0, 2.0, 0.0, 4 / 3, 7.0, 0.0), (2, 0.0, 0.0, 0.0, 0.0, 0.0, 0.0)]
+
+
+def test_ordinary_keys_gather_medians_and_distinct_values(spark):
+    rows = spark.createDataFrame([(1, 0.0, 3), (1, -0.0, 1), (1, None, 2), (1, 5.0, None), (2, None, None), (None, 1.0, 1)], "k int, v double, w int")
+    spec = [("v", ["nunique", "median", "max"]), ("w", ["median", "nunique"])]
+    made, split = (aggregate.multi_agg(rows, ["k"], spec, slices={"": F.lit(True), "_few": F.col("w") < 3}, hot_rows=h) for h in (None, 1))
+    assert "percentile" not in plan(made) and "Expand" not in plan(made)
+    assert sorted(map(tuple, made.collect()), key=str) == sorted(map(tuple, split.collect()), key=str) == [
+        (1, 2, 0.0, 5.0, 2.0, 3, 1, 0.0, 0.0, 1.5, 2), (2, 0, None, None, None, 0, 0, None, None, None, 0)]
