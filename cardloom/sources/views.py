@@ -19,17 +19,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Order lines as card transactions; sentinels and missing codes are planted by the mapping."""
+    """Order lines as card transactions; sentinels and missing codes are planted by the mapping.
+
+    Orders come last: the joins before carry none of their columns, and where they shuffle, the lines of an order, hence of a card,
+    leave together, so that sums by card combine before their own shuffle.
+    """
     lineitem = spread(table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_extendedprice", "l_returnflag", "l_linestatus"))
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
     part = table(spark, sf_dir, "part").select("p_partkey", "p_type", "p_size")
     supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
-    joined = (lineitem.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-              .join(part, F.col("l_partkey") == F.col("p_partkey"))
-              .join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
-              .join(nation, F.col("s_nationkey") == F.col("n_nationkey")))
+    joined = (lineitem.join(part, F.col("l_partkey") == F.col("p_partkey"))
+              .join(supplier.join(nation, F.col("s_nationkey") == F.col("n_nationkey")), F.col("l_suppkey") == F.col("s_suppkey"))
+              .join(orders, F.col("l_orderkey") == F.col("o_orderkey")))
     line, flag = F.col("l_linenumber"), F.col("l_returnflag")
     return joined.select(
         F.col("o_custkey").alias("card_id"),

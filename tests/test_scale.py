@@ -94,3 +94,16 @@ def test_visit_counts_are_the_same_with_and_without_windows(spark):
     def rows(df):
         return sorted(map(tuple, df.select("card_id", "merchant_id", "at", "card_merchant_counts_totals", "card_visit_counts").collect()), key=str)
     assert rows(made) == rows(joined) and (1, None, 3, None, 5) in rows(made) and (None, "a", 1, None, None) in rows(made)
+
+
+def test_orders_are_joined_last(spark, sf):
+    joins = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    before = {name: spark.conf.get(name) for name in joins}
+    try:
+        for name, value in joins.items():
+            spark.conf.set(name, value)
+        found = plan(views.transactions(spark, sf).groupBy("card_id").agg(F.count("month_lag")))
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    assert found.index("SortMergeJoin [l_orderkey") < found.index("SortMergeJoin [l_partkey")  # the outermost join is shown first
