@@ -13,6 +13,8 @@ from functools import partial
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 from cardloom.operators.folds import HASH_RANGE, key_hash
@@ -92,21 +94,70 @@ def first_guess(column: str, seed: int, components: int, scale: float) -> Column
     return F.array(*[key_hash(column, seed + i) / F.lit(float(HASH_RANGE)) * F.lit(scale) + F.lit(FLOOR) for i in range(components)])
 
 
-def _improved(batch: pd.DataFrame, gram: np.ndarray, sweeps: int, ahead: float) -> np.ndarray:
+def _better(old: np.ndarray, f: np.ndarray, g: np.ndarray, gram: np.ndarray, sweeps: int, ahead: float) -> np.ndarray:
     """Rows of one factor, each component in turn at its best given the others and the other factor, and beside them rows
     that go ``ahead`` of this step by a share of it."""
-    old, f, g = _rows(batch["n"]), _rows(batch["f"]), _rows(batch["g"])
     for _ in range(sweeps):
         for i in range(len(gram)):
             f[:, i] = np.maximum(f[:, i] + (g[:, i] - f @ gram[:, i]) / max(gram[i, i], FLOOR), FLOOR)
     return np.hstack([f, np.maximum(f + ahead * (f - old), FLOOR)])
 
 
+def _improved(batch: pd.DataFrame, gram: np.ndarray, sweeps: int, ahead: float) -> np.ndarray:
+    return _better(_rows(batch["n"]), _rows(batch["f"]), _rows(batch["g"]), gram, sweeps, ahead)
+
+
+# --- rows that carry their cells ----------------------------------------------------------------------------------------
+
+FEW = 2048  # categories up to this number: a key's cells lie in its row, and tasks are given the categories' factor
+
+
+def packed(a: DataFrame, codes: DataFrame) -> DataFrame:
+    """(``k``, ``j``, ``x``): each key with the numbers and values of its cells, at most one for each category."""
+    cells = a.join(F.broadcast(codes), "c").groupBy("k", "j").agg(F.sum("x").alias("x"))
+    row = F.collect_list(F.struct("j", "x")).alias("l")
+    return cells.groupBy("k").agg(row).select("k", F.col("l.j").alias("j"), F.col("l.x").alias("x"))
+
+
+def _cells(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of all cells of a batch: the row, the category's number and the value."""
+    owner = np.repeat(np.arange(batch.num_rows), pc.list_value_length(batch.column("j")).to_numpy(zero_copy_only=False))
+    return owner, *(batch.column(c).flatten().to_numpy(zero_copy_only=False) for c in "jx")
+
+
+def _factor(batch: pa.RecordBatch, column: str, width: int) -> np.ndarray:
+    return batch.column(column).flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
+
+
+def _keys_improved(batches: Iterator[pa.RecordBatch], other: np.ndarray, gram: np.ndarray, sweeps: int, ahead: float) -> Iterator[pa.RecordBatch]:
+    """As ``_improved``, for rows with their cells, which stay beside them. ``other`` is the categories' factor."""
+    r = len(gram)
+    for batch in batches:
+        if batch.num_rows:
+            owner, j, x = _cells(batch)
+            g = np.stack([np.bincount(owner, x * other[j, i], batch.num_rows) for i in range(r)], axis=1)
+            made = _better(_factor(batch, "n", r), _factor(batch, "f", r).copy(), g, gram, sweeps, ahead)
+            lists = [pa.ListArray.from_arrays(pa.array(np.arange(len(made) + 1, dtype="int32") * r), pa.array(np.ravel(part)))
+                     for part in (made[:, :r], made[:, r:])]
+            yield pa.RecordBatch.from_arrays([batch.column("k"), *lists, batch.column("j"), batch.column("x")], ["k", "n", "f", "j", "x"])
+
+
+def _category_sums(batches: Iterator[pa.RecordBatch], m: int, r: int) -> Iterator[pa.RecordBatch]:
+    """The matrix's transpose times the keys' factor, a row for each category; under the numbers from ``m`` on, the factor's Gram matrix."""
+    total = np.zeros((m + r, r))
+    for batch in batches:
+        if batch.num_rows:
+            (owner, j, x), f = _cells(batch), _factor(batch, "f", r)
+            total[:m] += np.stack([np.bincount(j, x * f[owner, i], m) for i in range(r)], axis=1)
+            total[m:] += f.T @ f
+    yield pa.RecordBatch.from_arrays([pa.array(np.arange(m + r, dtype="int32")), pa.array(list(total), pa.list_(pa.float64()))], ["j", "g"])
+
+
 AHEAD, FASTER, SLOWER = 0.5, 1.05, 1.5
 
 
 def nmf(cells: DataFrame, key: str, category: str, value: str, components: int = 10, rounds: int = 200, tolerance: float = 1e-4,
-        sweeps: int = 4, seed: int = 42, prefix: str = "nmf") -> Factors:
+        sweeps: int = 4, seed: int = 42, prefix: str = "nmf", few: int = FEW) -> Factors:
     """Non-negative factors by alternating least squares, a component at a time, with extrapolated steps.
 
     A round improves the keys' factor, then the categories', each from rows that run ahead of its last step (``f`` beside the
@@ -114,6 +165,9 @@ def nmf(cells: DataFrame, key: str, category: str, value: str, components: int =
     far ahead; so of both factors two generations are kept, and older ones are removed. Rounds end when the residual norm falls
     by less than ``tolerance`` of its first value, or after ``rounds``. Keys and categories without a name are left out;
     missing values count as zero.
+
+    With at most ``few`` categories a key's cells lie in its row, and a round is two passes over those rows that shuffle only sums
+    by category; with more, cells and factors meet in joins.
     """
     spark, r = cells.sparkSession, components
     a = matrix(cells, key, category, value)
@@ -124,23 +178,45 @@ def nmf(cells: DataFrame, key: str, category: str, value: str, components: int =
     def stored(table: DataFrame, column: str, generation: int) -> DataFrame:
         path = stage_path(spark, "nmf")
         paths.setdefault(generation, []).append(path)
-        split = [F.slice("nf", 1 + i * r, r).alias(c) for i, c in enumerate("nf")]
-        return stage(table.select(column, *split, *[c for c in table.columns if c == "g"]), "nmf", path)
+        split = [F.slice("nf", 1 + i * r, r).alias(c) for i, c in enumerate("nf")] if "nf" in table.columns else ["n", "f"]
+        return stage(table.select(column, *split, *[c for c in table.columns if c in ("g", "j", "x")]), "nmf", path)
 
-    def guessed(column: str, first_seed: int) -> DataFrame:
+    def guessed(rows: DataFrame, column: str, first_seed: int) -> DataFrame:
         guess = first_guess(column, first_seed, r, scale)
-        return stored(a.select(column).distinct().select(column, F.concat(guess, guess).alias("nf")), column, 0)
+        return stored(rows.withColumn("nf", F.concat(guess, guess)), column, 0)
+
+    in_rows = 0 < m <= few
+    keys = a.select("k").distinct()
+    if in_rows:
+        codes = stage(global_index(a.select("c").distinct(), ["c"], "j").select("c", F.col("j").cast("int").alias("j")), "codes")
+        keys = packed(a, codes)
+    w, h = guessed(keys, "k", seed), guessed(a.select("c").distinct(), "c", seed + r)
+    if in_rows:
+        a.unpersist()
+
+    def key_step(**how: float) -> DataFrame:
+        if not in_rows:
+            return with_rows(w.join(product(a, h, "c", "k", r), "k"), partial(_improved, gram=hh, **how), "nf", "k")
+        found = h.join(codes, "c").select("j", "f").toPandas().sort_values("j")  # at most ``few`` rows
+        return w.select(*"knfjx").mapInArrow(partial(_keys_improved, other=_rows(found["f"]), gram=hh, **how), w.select(*"knfjx").schema)
+
+    def category_sums() -> tuple[np.ndarray, DataFrame]:
+        """The Gram matrix of the keys' new factor, and its products with the categories' cells."""
+        if not in_rows:
+            return small_product(new_w, "f", "f"), product(a, new_w, "k", "c", r)
+        parts = new_w.select(*"fjx").mapInArrow(partial(_category_sums, m=m, r=r), "j int, g array<double>")
+        sums = stage(parts.groupBy("j").agg(F.array(*[F.sum(F.get("g", F.lit(i))) for i in range(r)]).alias("g")), "sums")
+        return _rows(sums.where(F.col("j") >= m).orderBy("j").toPandas()["g"]), sums.join(codes, "j").select("c", "g")
 
-    w, h = guessed("k", seed), guessed("c", seed + r)
     residuals: list[float] = []
     ahead, good = AHEAD, 0  # ``good`` is the last generation that was not taken back
     if n:
         hh = plain_hh = small_product(h, "f", "f")
     for now in range(1, rounds + 1 if n else 1):
         step = partial(_improved, sweeps=sweeps, ahead=ahead)
-        new_w = stored(with_rows(w.join(product(a, h, "c", "k", r), "k"), partial(step, gram=hh), "nf", "k"), "k", now)
-        ww = small_product(new_w, "f", "f")
-        new_h = stored(with_rows(h.select("c", "n", "f").join(product(a, new_w, "k", "c", r), "c"), partial(step, gram=ww), "nf", "c", "g"), "c", now)
+        new_w = stored(key_step(sweeps=sweeps, ahead=ahead), "k", now)
+        ww, met = category_sums()
+        new_h = stored(with_rows(h.select("c", "n", "f").join(met, "c"), partial(step, gram=ww), "nf", "c", "g"), "c", now)
         sums = small_product(new_h.withColumns({"nf": F.concat("n", "f"), "nfg": F.concat("n", "f", "g")}), "nf", "nfg")
         residual = float(np.sqrt(max(square - 2 * np.trace(sums[:r, 2 * r:]) + np.sum(ww * sums[:r, :r]), 0.0)))
         if residuals and residual > residuals[-1]:

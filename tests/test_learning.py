@@ -41,6 +41,18 @@ def test_nmf_is_non_negative_and_converges(cells):
     assert np.abs(np.where(w > 1e-8, slope, np.minimum(slope, 0))).max() < 0.05 * np.abs(a @ h.T).max()
 
 
+def test_nmf_with_cells_in_rows_equals_nmf_by_joins(spark, sf, cells, monkeypatch):
+    odd = cells.select("card_id", "category", "n").unionByName(spark.createDataFrame(
+        [(1, 3, 2), (1, 3, 2), (2, 4, None), (None, 3, 9), (4, None, 9), (10 ** 9, 99, None)], "card_id long, category int, n long"))
+    joined = factor.nmf(odd, "card_id", "category", "n", components=3, rounds=12, few=0)
+    monkeypatch.setattr(factor, "product", None)  # no join of cells and factors is left
+    found = factor.nmf(odd, "card_id", "category", "n", components=3, rounds=12)
+    assert np.allclose(found.sizes, joined.sizes, rtol=1e-9)
+    for a, b in ((found.scores, joined.scores), (found.loadings, joined.loadings)):
+        a, b = sorted(map(tuple, a.collect())), sorted(map(tuple, b.collect()))
+        assert [r[0] for r in a] == [r[0] for r in b] and np.allclose(a, b, rtol=1e-6, atol=1e-8)
+
+
 @pytest.mark.parametrize("category, value, widest", [("city_id", "amount", 320), ("merchant_category_id", "amount", 320), ("merchant_category_id", "n", 36)])
 def test_svd_scores_equal_numpy_up_to_sign(spark, sf, category, value, widest):
     cells = tables.stage(pivots.category_matrix(views.transactions(spark, sf), "card_id", category, "purchase_amount"), "cells")
