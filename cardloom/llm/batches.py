@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
-from itertools import islice
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -13,16 +12,24 @@ ROWS = 512  # rows of one result batch, so that a batch of long texts is never h
 
 
 class Memo(dict):
-    """A bounded memo of ``make``: its older half goes when it is full, so memory stays bounded; results never depend on it."""
+    """A bounded memo of ``make``, in two generations: when the newer one is full it becomes the older one, which is dropped. What
+    is asked for again moves to the newer one, so frequent keys stay; results never depend on it.
 
-    def __init__(self, make: Callable, limit: int = 300_000) -> None:
-        self.make, self.limit = make, limit
+    Keys beyond ``longest`` are made anew each time."""
+
+    def __init__(self, make: Callable, limit: int = 300_000, longest: int | None = None) -> None:
+        self.make, self.limit, self.longest, self.older = make, limit, longest, {}
 
     def __missing__(self, key):
-        if len(self) >= self.limit:
-            for old in list(islice(self, self.limit // 2 + 1)):
-                del self[old]
-        value = self[key] = self.make(key)
+        if self.longest is not None and len(key) > self.longest:
+            return self.make(key)
+        value = self.older.get(key)
+        if value is None:
+            value = self.make(key)
+        if len(self) >= self.limit // 2:
+            self.older = dict(self)
+            self.clear()
+        self[key] = value
         return value
 
 

@@ -25,6 +25,7 @@ from cardloom.llm.batches import Memo, arrow_fields, ddl, row_map
 SCHEMA = pa.schema([("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())])
 SHIFT, AT = 20, 32  # bits of an id inside a pair, and of a position inside a queue entry
 MEMO_CHARS = 64  # longer stretches hardly come back
+NO_RANK = 1 << 32  # above every rank
 # Lower-case pairs newer than Python's character tables, by the first, the last and what lies between them.
 NEW_LOWER = {a: a + step for first, last, step in (
     (0x1C89, 0x1C89, 1), (0xA7CB, 0xA7CB, 0x264 - 0xA7CB), (0xA7CC, 0xA7CC, 1), (0xA7CE, 0xA7CE, 1), (0xA7D2, 0xA7D2, 1), (0xA7D4, 0xA7D4, 1),
@@ -34,6 +35,9 @@ HAS_NEW = re.compile("[" + "".join(map(chr, NEW_LOWER)) + "]")
 CONTROLS = "\x1c\x1d\x1e\x1f"
 SPACE = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
 FAST = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\t-\r a-z0-9]+")  # the vocabulary's own cut, on lower-case ASCII
+# The same on lower-case text without characters of UNUSUAL: Latin letters and signs, and the punctuation and currency set beside them.
+LATIN = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zªµºß-öø-ſ]+|[0-9²³¹¼-¾]|[^\t-\r \x85\xa0a-z0-9ªµºß-öø-ſ²³¹¼-¾]+")
+UNUSUAL = re.compile("[^\x00-\u017f\u2010-\u2027€]")
 
 
 def byte_symbols() -> list[str]:
@@ -77,7 +81,7 @@ class WordBpe:
         self.old_words = regex.compile("(?V1)" + re.sub(r"\\p\{[LN]\}", lambda m: f"[{m[0]}--[{codes}]]", cut)) if codes else self.words
         self.specials = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")")
         self.coded, self.chunked = Memo(self._coded, limit=400_000), Memo(self._chunk, limit=200_000)
-        self.counted, self.sizes = Memo(self._count, limit=400_000), Memo(self._size, limit=600_000)
+        self.counted, self.sizes = Memo(self._count, limit=100_000, longest=MEMO_CHARS), Memo(self._size, limit=800_000, longest=MEMO_CHARS)
 
     def merge(self, word: bytes) -> list[int]:
         """Ids of one pre-token."""
@@ -136,14 +140,32 @@ class WordBpe:
         ids, strings, counts = zip(*[self.coded[word] for word in words])
         return " ".join(ids), " ".join(strings), sum(counts)
 
-    def _size(self, word: str) -> int:
-        """How many ids a pre-token has."""
-        return len(self.merge(word.encode("utf-8")))
+    def _size(self, text: str) -> int:
+        """How many ids a pre-token has. In a short one the pair to merge next is sooner looked for than kept in a queue."""
+        word = text.encode("utf-8")
+        if len(word) > MEMO_CHARS:
+            return len(self.merge(word))
+        inner, rank_of, made = self.inner, self.ranks.get, self.made
+        ids = [inner[b] for b in word]
+        ids[-1] = self.last[word[-1]]
+        ranks = [rank_of(left << SHIFT | right, NO_RANK) for left, right in zip(ids, ids[1:])]
+        while ranks:
+            rank = min(ranks)
+            if rank == NO_RANK:
+                break
+            at = ranks.index(rank)
+            new = made[rank]
+            ids[at:at + 2] = (new,)
+            del ranks[at]
+            if at:
+                ranks[at - 1] = rank_of(ids[at - 1] << SHIFT | new, NO_RANK)
+            if at < len(ranks):
+                ranks[at] = rank_of(new << SHIFT | ids[at + 1], NO_RANK)
+        return len(ids)
 
     def _count(self, chunk: str) -> int:
         """How many ids a stretch without white space has. Stretches differ by their punctuation more than by their words."""
-        sizes = self.sizes
-        return sum([sizes[word] if len(word) <= MEMO_CHARS else self._size(word) for word in self.pretokens(chunk)])
+        return sum(map(self.sizes.__getitem__, self.pretokens(chunk)))
 
     @staticmethod
     def chunks(plain: str) -> list[str]:
@@ -189,17 +211,15 @@ class WordBpe:
                 hashlib.sha256(" ".join(strings).encode()).hexdigest())
 
     def count(self, text: str | None) -> int:
-        """Number of ids, none of which is kept. Only short stretches enter the memo."""
-        memo, n = self.counted, 0
+        """Number of ids, none of which is kept. Usual texts are cut in one go, others by stretches; only short ones enter the memos."""
+        n = 0
         for special, part in self.parts(text or ""):
             if special is not None:
                 n += 1
-                continue
-            chunks = self.chunks(part)
-            if max(map(len, chunks), default=0) <= MEMO_CHARS:
-                n += sum(map(memo.__getitem__, chunks))
+            elif part.isascii() or not UNUSUAL.search(part):
+                n += sum(map(self.sizes.__getitem__, (FAST if part.isascii() else LATIN).findall(part)))
             else:
-                n += sum([memo[c] if len(c) <= MEMO_CHARS else self._count(c) for c in chunks])
+                n += sum(map(self.counted.__getitem__, self.chunks(part)))
         return n
 
 

@@ -71,6 +71,17 @@ def test_a_memo_that_overflows_changes_nothing():
     assert all(len(memo) <= 3 for memo in memos)
 
 
+def test_usual_texts_are_counted_without_a_memo_of_stretches():
+    path = public_tokenizers.path("word_bpe_49k.json")
+    library, model = Tokenizer.from_file(path), bpe.WordBpe(path)
+    usual = [chr(x) for x in [*range(0x180), *range(0x2010, 0x2028), 0x20AC] if x != 0x130]  # its lower case has a mark
+    for c in [*usual, "\u2028", "\u0391", "\u0307", "\u2074", "\U0001F600"]:
+        text = f"Über {c}ab{c}'s 1{c}2 {c}{c} l'{c} .{c}! {'mañana' * 20}"
+        assert model.count(text) == len(library.encode(text, add_special_tokens=False).ids), hex(ord(c))
+        assert c not in usual or not model.counted
+    assert max(map(len, [*model.sizes, *model.counted])) <= bpe.MEMO_CHARS
+
+
 # --- importance resampling ----------------------------------------------------------------------------------------
 
 def test_weights_are_log_ratios_of_ngram_counts(spark, docs):
