@@ -144,7 +144,7 @@ def multi_agg(df: DataFrame, keys: Sequence[str], spec: Spec, prefix: str = "",
     wide aggregation leaves compiled code; their results are partitioned by the same key and join without
     another shuffle. Give a stored table, since each batch scans its own columns of it. Distinct counts and
     medians run apart, so that they do not slow the others down; where no key is hot, together. Rows with a missing key form no group. ``dealt`` says
-    that the rows of a key already lie in one partition.
+    that the rows of a key already lie in one partition; short lists then need one aggregation in all.
     """
     exact = EXACT_SCALE if exact is None else exact
     df = df.where(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys]))
@@ -157,7 +157,7 @@ def multi_agg(df: DataFrame, keys: Sequence[str], spec: Spec, prefix: str = "",
         hot = hot if hot is not None else hot_keys(df, keys, hot_rows)
     gathered = [p for p in parts if p in distinct or p in medians] if hot is None and (medians or hot_rows == NEVER_HOT) else []
     made = [statistic(F.col(p.column), p.stat, exact.get(p.column), p.where).alias(p.name) for p in plain]
-    if dealt and gathered:
+    if dealt and gathered and len(made) <= batch:
         return _gathered(df, keys, gathered, True, made).select(*keys, *[p.name for p in parts])
     tables = [df.groupBy(*keys).agg(*made[i:i + batch]) for i in range(0, len(made), batch)]
     if gathered:
@@ -217,6 +217,29 @@ def category_profile(rows: DataFrame, keys: Sequence[str], columns: Sequence[str
     return counts.groupBy(*keys).agg(*out)
 
 
+def dealt_profile(rows: DataFrame, keys: Sequence[str], columns: Sequence[str], slices: Mapping[str, Column],
+                  stats: Sequence[str] = PROFILE) -> DataFrame:
+    """``category_profile`` of several slices, named by their prefix, where the rows of a key already lie in one partition.
+
+    Each column is counted by value for itself, all slices in the same pass, so that no row is multiplied and none is shuffled. A key
+    without rows in a slice has missing values there.
+    """
+    rows = rows.where(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys]))
+    tables = []
+    for c in columns:
+        counts = rows.groupBy(*keys, c).agg(*[F.count(F.when(where, F.lit(1))).alias(f"_n{i}") for i, where in enumerate(slices.values())])
+        out = []
+        for i, prefix in enumerate(slices):
+            n = F.col(f"_n{i}")
+            size, distinct = F.sum(n), F.count(F.when(n > 0, F.lit(1)))
+            best = F.min(F.when(n > 0, F.struct((-n).alias("n"), F.col(c).alias("v"))))
+            made = {"mode": best.getField("v"), "nunique": F.when(distinct > 0, distinct),
+                    "mode_ratio": F.try_divide(-best.getField("n"), size), "nunique_ratio": F.try_divide(distinct, size)}
+            out += [made[s].alias(f"{prefix}{c}_{s}") for s in stats]
+        tables.append(counts.groupBy(*keys).agg(*out))
+    return reduce(lambda a, b: a.join(b, list(keys)), tables)
+
+
 def profile_attach(cards: DataFrame, rows: DataFrame, keys: Sequence[str], value: str, name: str,
                    stat: str) -> DataFrame:
     table = category_profile(rows, keys, [value], [stat])
@@ -262,7 +285,7 @@ def visit_counts(df: DataFrame, value: str = "purchase_amount", hot_rows: int |
 
 
 def two_level(df: DataFrame, key: str, inner: Sequence[str], value: str, stat: str, outer: Sequence[str],
-              name: str, slices: Mapping[str, Column] | None = None, hot_rows: int | None = None) -> DataFrame:
+              name: str, slices: Mapping[str, Column] | None = None, hot_rows: int | None = None, dealt: bool = False) -> DataFrame:
     """Statistic per (key, inner keys), then statistics of those per key, for all slices in one pass."""
     slices = slices or {"": None}
     exact = EXACT_SCALE.get(value)
@@ -275,31 +298,52 @@ def two_level(df: DataFrame, key: str, inner: Sequence[str], value: str, stat: s
     inner_table = df.groupBy(key, *inner).agg(*[inner_statistic(where).alias(f"{name}{suffix}")
                                                 for suffix, where in slices.items()])
     present = [(f"{name}{suffix}", list(outer)) for suffix in slices]
-    return multi_agg(inner_table, [key], present, exact={}, hot_rows=hot_rows)
+    return multi_agg(inner_table, [key], present, exact={}, hot_rows=hot_rows, dealt=dealt)
 
 
 def relative_to_group(df: DataFrame, key: str, inner: Sequence[str], value: str, reference: str,
-                      stats: Sequence[str], name: str, hot_rows: int | None = None) -> DataFrame:
-    """Each row over its own group's statistic, then statistics of that quotient per key."""
-    rows = group_transform(df, [key, *inner], value, {"_ref": reference})
+                      stats: Sequence[str], name: str, hot_rows: int | None = None, dealt: bool = False) -> DataFrame:
+    """Each row over its own group's statistic, then statistics of that quotient per key.
+
+    Where the rows of a key already lie in one partition, a largest, smallest or mean value comes from a window there.
+    """
+    if dealt and reference in ("max", "min", "mean"):
+        rows = df.withColumn("_ref", _beside(value, reference, [key, *inner]))
+    else:
+        rows = group_transform(df, [key, *inner], value, {"_ref": reference})
     rows = rows.withColumn(name, F.try_divide(F.col(value).cast("double"), F.col("_ref").cast("double")))
-    return multi_agg(rows, [key], [(name, list(stats))], hot_rows=hot_rows)
+    return multi_agg(rows, [key], [(name, list(stats))], hot_rows=hot_rows, dealt=dealt)
+
+
+def _beside(value: str, stat: str, keys: Sequence[str]) -> Column:
+    """Statistic of the row's own group on each row, as ``group_transform`` gives it: missing where a key is."""
+    group, scale = Window.partitionBy(*keys), EXACT_SCALE.get(value)
+    if stat == "mean" and scale is not None:
+        made = F.try_divide(F.sum(F.col(value).cast(f"decimal(18,{scale})")).over(group).cast("double"), F.count(value).over(group))
+    else:
+        made = statistic(F.col(value), stat).over(group)
+    return F.when(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys]), made)
 
 
 def group_mean_summary(df: DataFrame, key: str, inner: Sequence[str], value: str, stats: Sequence[str],
                        name: str, source: DataFrame | None = None, hot_rows: int | None = None) -> DataFrame:
     """Mean of (key, inner) given to every row, then statistics per key; ``source`` may be another slice.
 
-    All rows of a group have the same mean, so it is taken once, weighted by their number: only groups are shuffled and
-    joined. Statistics without a weighted form, and keys with very many groups, go by the rows.
+    All rows of a group have the same mean, so it is taken once, weighted by their number: only groups are shuffled, and
+    joined only where the means come from ``source``. Statistics without a weighted form, and keys with very many groups, go by the rows.
     """
     weighted = {"max": F.max(name), "min": F.min(name), "median": F.percentile(name, F.lit(0.5), F.col("_rows"))}
     counts = df.where(F.col(key).isNotNull()).groupBy(key, *inner).agg(F.count(F.lit(1)).alias("_rows"))
     if not set(stats) <= set(weighted) or ("median" in stats and hot_keys(counts, [key], hot_rows) is not None):
         rows = group_transform(df, [key, *inner], value, {name: "mean"}, source)
         return multi_agg(rows, [key], [(name, list(stats))], hot_rows=hot_rows)
-    means = multi_agg(source if source is not None else df, [key, *inner], [(value, ["mean"])])
-    groups = attach(counts, means.withColumnRenamed(f"{value}_mean", name), [key, *inner])
+    if source is None:
+        known = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in inner])
+        groups = df.where(F.col(key).isNotNull()).groupBy(key, *inner).agg(
+            F.count(F.lit(1)).alias("_rows"), F.when(known, statistic(F.col(value), "mean", EXACT_SCALE.get(value))).alias(name))
+    else:
+        means = multi_agg(source, [key, *inner], [(value, ["mean"])])
+        groups = attach(counts, means.withColumnRenamed(f"{value}_mean", name), [key, *inner])
     return groups.groupBy(key).agg(*[weighted[s].alias(f"{name}_{s}") for s in stats])
 
 

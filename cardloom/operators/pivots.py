@@ -24,12 +24,12 @@ def value_name(column: str, value: object) -> str:
 
 def sum_pivot(df: DataFrame, key: str, column: str, value: str, values: Sequence | None = None,
               name: Callable[[object], str] | None = None, count: bool = False, total: str | None = None,
-              active: str | None = None) -> DataFrame:
+              active: str | None = None, dealt: bool = False) -> DataFrame:
     """Sum (or count) of ``value`` per key with one zero-filled column per pivot value.
 
     Cells are summed in long form first, so a row updates one sum however many columns there are; the wide step
     then only places finished cells. A key's cells, one for each value at most, are brought together before it, or every
-    task would hold a wide row of nearly every key. ``total`` names a column for the sum of all cells, ``active`` one for their
+    task would hold a wide row of nearly every key; ``dealt`` says that a key's rows lie together already. ``total`` names a column for the sum of all cells, ``active`` one for their
     number (how many different periods a key is active in).
     """
     values = pivot_values(df, column) if values is None else values
@@ -45,15 +45,15 @@ def sum_pivot(df: DataFrame, key: str, column: str, value: str, values: Sequence
 
     extra = [F.sum("_cell").cast("double").alias(total)] if total else []
     extra += [F.count(F.lit(1)).alias(active)] if active else []
-    return cells.repartition(F.col(key)).groupBy(key).agg(*[placed(v).alias(name(v)) for v in values], *extra)
+    return (cells if dealt else cells.repartition(F.col(key))).groupBy(key).agg(*[placed(v).alias(name(v)) for v in values], *extra)
 
 
 def share_pivot(df: DataFrame, key: str, column: str, value: str, values: Sequence | None = None,
-                prefix: str = "") -> DataFrame:
+                prefix: str = "", dealt: bool = False) -> DataFrame:
     """Sums per pivot value and their shares of the key's total."""
     values = pivot_values(df, column) if values is None else values
     names = [f"{prefix}{value_name(column, v)}" for v in values]
-    wide = sum_pivot(df, key, column, value, values, lambda v: f"{prefix}{value_name(column, v)}", total="_total")
+    wide = sum_pivot(df, key, column, value, values, lambda v: f"{prefix}{value_name(column, v)}", total="_total", dealt=dealt)
     return wide.withColumns({f"{n}_ratio": ratio(F.col(n), F.col("_total")) for n in names}).drop("_total")
 
 

@@ -46,12 +46,21 @@ def _history_rows() -> Column:
     return F.count(F.when(history(), F.lit(1))).alias("_hist_rows")
 
 
-def distinct_ratios(df: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
+def distinct_ratios(df: DataFrame, key: str, columns: Sequence[str], dealt: bool = False) -> DataFrame:
     """Number of values in the new period over their number in history; a missing value counts as one.
 
     Cards without new rows get 0. The rows are stored and each column is grouped by value for itself, in tasks of its own:
-    all columns in one aggregation would hold a group for each row and column at once.
+    all columns in one aggregation would hold a group for each row and column at once. ``dealt`` says that the rows of a key
+    already lie in one partition: they are not stored again, and the columns' counts are joined there.
     """
+    if dealt:
+        tables = []
+        for c in columns:
+            values = df.where(F.col(key).isNotNull()).groupBy(key, c).agg(F.bool_or(history()).alias("_h"), F.bool_or(recent()).alias("_r"))
+            old, new = (F.count(F.when(F.col(flag), F.lit(1))) for flag in ("_h", "_r"))
+            tables.append(values.groupBy(key).agg(*([] if tables else [old.alias("_hist_rows")]),
+                                                  F.coalesce(ratio(new, old), F.lit(0.0)).alias(f"new_hist_{c}_counts_ratio")))
+        return _with_history(reduce(lambda a, b: a.join(b, key), tables))
     rows = stage(df.where(F.col(key).isNotNull()).select(key, *columns, history().alias("_h"), recent().alias("_r")), "values")
     groups = reduce(DataFrame.unionAll, [
         rows.groupBy(key, c).agg(F.bool_or("_h").alias("_h"), F.bool_or("_r").alias("_r")).select(key, F.lit(i).alias("_column"), "_h", "_r")
@@ -88,10 +97,10 @@ def lag_sum_ratios(df: DataFrame, key: str, value: str, lags: Sequence[int]) ->
 
 
 def two_level_ratios(df: DataFrame, key: str, inner: Sequence[str], value: str, outer: Sequence[str],
-                     name: str, hot_rows: int | None = None) -> DataFrame:
+                     name: str, hot_rows: int | None = None, dealt: bool = False) -> DataFrame:
     """Statistics over per-group means, new over history, 0 where undefined."""
     table = two_level(df, key, inner, value, "mean", outer, name,
-                      {"_hist": history(), "_new": recent()}, hot_rows)
+                      {"_hist": history(), "_new": recent()}, hot_rows, dealt)
     ratios = [F.coalesce(ratio(F.col(f"{name}_new_{s}"), F.col(f"{name}_hist_{s}")), F.lit(0.0))
               .alias(f"new_hist_{name}_{s}_ratio") for s in outer]
     return table.where(F.col(f"{name}_hist_{outer[0]}").isNotNull()).select(key, *ratios)

@@ -32,17 +32,19 @@ def difference(df: DataFrame, group: Group, order: Sequence[str], value: str, na
 
 def change_summary(df: DataFrame, key: str, groups: Mapping[str, Group], order: Sequence[str], value: str,
                    ratio_stats: Sequence[str] = ("max",), diff_stats: Sequence[str] = ("max", "median"),
-                   hot_rows: int | None = None) -> DataFrame:
+                   hot_rows: int | None = None, dealt: bool = False) -> DataFrame:
     """Lag ratios and differences for several groupings, then one row of statistics per key.
 
     Every grouping must contain the key. Where no key is hot, rows are dealt out by key once: all windows and the
-    statistics then find their rows in the same partition already and only sort. Give a stored table.
+    statistics then find their rows in the same partition already and only sort. Give a stored table; ``dealt`` says that it
+    lies by key already.
     """
-    dealt = hot_keys(df, [key], hot_rows) is None
-    if dealt:
+    cold = dealt or hot_keys(df, [key], hot_rows) is None
+    if cold:
         hot_rows = NEVER_HOT  # nor is any group inside a key
         needed = dict.fromkeys([key, *(c for group in groups.values() for c in group), *order, value])
-        df = df.where(F.col(key).isNotNull()).select(*needed).repartition(F.col(key))
+        df = df.where(F.col(key).isNotNull()).select(*needed)
+        df = df if dealt else df.repartition(F.col(key))
     spec = []
     for label, group in groups.items():
         df = previous_in_group(df, group, order, {"_p": value}, hot_rows)
@@ -51,7 +53,7 @@ def change_summary(df: DataFrame, key: str, groups: Mapping[str, Group], order:
             f"{label}_diff": F.coalesce(F.col(value) - F.col("_p"), F.lit(0.0)),
         }).drop("_p")
         spec += [(f"{label}_shift_ratio", list(ratio_stats)), (f"{label}_diff", list(diff_stats))]
-    return multi_agg(df, [key], spec, hot_rows=hot_rows, dealt=dealt)
+    return multi_agg(df, [key], spec, hot_rows=hot_rows, dealt=cold)
 
 
 def purchase_gaps(df: DataFrame, group: Group, order: Sequence[str], ts: str, fill_mean: bool = True,

@@ -80,6 +80,19 @@ def stage(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def stage_by(df: DataFrame, name: str, buckets: int, *keys: str) -> DataFrame:
+    """Write one stage in buckets by key: groupings, windows and joins by these keys then shuffle nothing.
+
+    A bucket is read by one task, so no key may have more rows than a task should hold. The table is external: its files lie
+    with the other stages.
+    """
+    path = stage_path(df.sparkSession, name)
+    table = path.rsplit("/", 1)[1].replace("-", "_")
+    dealt = df.repartition(buckets, *[F.col(k) for k in keys])
+    dealt.write.format("parquet").bucketBy(buckets, *keys).option("path", path).saveAsTable(table)
+    return df.sparkSession.table(table)
+
+
 def write_predictions(df: DataFrame, path: str, key: str = "card_id", prediction: str = "prediction",
                       name: str = "target", fmt: str = "csv") -> None:
     """Write the submission table: one key and one predicted value per row."""

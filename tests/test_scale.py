@@ -5,8 +5,8 @@ from pyspark.sql import functions as F
 from cardloom.catalog import learning
 from cardloom.catalog.flows import SETTING
 from cardloom.operators import aggregate, models, pivots, ratios, sequences, windows
-from cardloom.plans import features
-from cardloom.sources import views
+from cardloom.plans import features, outliers
+from cardloom.sources import tables, views
 from test_plans import plan
 
 
@@ -107,3 +107,37 @@ def test_orders_are_joined_last(spark, sf):
         for name, value in before.items():
             spark.conf.set(name, value)
     assert found.index("SortMergeJoin [l_orderkey") < found.index("SortMergeJoin [l_partkey")  # the outermost join is shown first
+
+
+def test_rows_in_buckets_by_card_are_not_shuffled_again(spark):
+    rows, old, new = tables.stage_by(purchases(spark), "purchases", 3, "card_id"), ratios.history(), ratios.recent()
+    value = "purchase_amount"
+
+    def made(df, dealt):
+        profile = aggregate.dealt_profile(df, ["card_id"], ["merchant_id", "at"], {"": F.lit(True)}) if dealt else aggregate.category_profile(
+            df, ["card_id"], ["merchant_id", "at"])
+        return [profile, aggregate.two_level(df, "card_id", ["merchant_id"], value, "mean", ["max", "median"], "m", {"_h": old, "_n": new}, dealt=dealt),
+                *[aggregate.relative_to_group(df, "card_id", ["merchant_id"], value, s, ["max", "median"], "r", dealt=dealt) for s in ("max", "mean")],
+                aggregate.group_mean_summary(df, "card_id", ["merchant_id"], value, ["max", "median"], "m"),
+                ratios.distinct_ratios(df, "card_id", ["merchant_id", "at"], dealt),
+                pivots.share_pivot(df, "card_id", "at", value, [1, 2], dealt=dealt),
+                windows.change_summary(df, "card_id", {"merchant": ["card_id", "merchant_id"]}, ["at"], value, dealt=dealt),
+                aggregate.multi_agg(df, ["card_id"], [(value, ["max", "mean", "median"])], batch=1, hot_rows=features.NEVER_HOT, dealt=dealt)]
+
+    for dealt, plain in zip(made(rows, True), made(purchases(spark), False)):
+        assert exchanges(dealt) == 0
+        assert sorted(map(tuple, dealt.select(*plain.columns).collect()), key=str) == sorted(map(tuple, plain.collect()), key=str)
+
+
+def test_a_profile_of_slices_is_that_of_each_slice(spark):
+    parts = {"old_": ratios.history(), "new_": ratios.recent()}
+    made = aggregate.dealt_profile(purchases(spark), ["card_id"], ["merchant_id", "at"], parts)
+    for prefix, where in parts.items():
+        plain = aggregate.category_profile(purchases(spark).where(where), ["card_id"], ["merchant_id", "at"], prefix=prefix)
+        own = made.select(*plain.columns).where(F.col(f"{prefix}at_nunique").isNotNull())
+        assert sorted(map(tuple, own.collect()), key=str) == sorted(map(tuple, plain.collect()), key=str)
+
+
+def test_rows_lie_in_buckets_unless_a_card_is_hot(spark):
+    assert features.with_buckets(purchases(spark), SETTING).buckets >= 1
+    assert features.with_buckets(purchases(spark), features.replace(SETTING, hot_rows=3)).buckets == 0
