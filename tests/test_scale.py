@@ -141,3 +141,16 @@ def test_a_profile_of_slices_is_that_of_each_slice(spark):
 def test_rows_lie_in_buckets_unless_a_card_is_hot(spark):
     assert features.with_buckets(purchases(spark), SETTING).buckets >= 1
     assert features.with_buckets(purchases(spark), features.replace(SETTING, hot_rows=3)).buckets == 0
+
+
+def test_group_means_come_from_few_sums_and_stay_exact(spark, sf, monkeypatch):
+    names, plain = [], outliers.stage
+    monkeypatch.setattr(outliers, "stage", lambda df, name, *a: names.append(name) or plain(df, name, *a))
+    rows = tables.stage(outliers.outlier_rows(views.transactions(spark, sf), SETTING), "rows")
+    wide = outliers.with_group_means(rows, outliers.MEAN_COLUMNS)
+    assert names.count("mean_cells") == 4  # passes over the rows, for twelve columns
+    for c in ("weekday", "category_2", "merchant_id"):
+        found = wide.where(ratios.history() & F.col(c).isNotNull()).select(c, f"{c}_amount_mean").distinct()
+        own = aggregate.multi_agg(rows.where(ratios.history()), [c], [("purchase_amount", ["mean"])])
+        assert sorted(map(tuple, found.collect())) == sorted(map(tuple, own.collect()))
+    assert wide.where(F.col("category_2").isNull() & F.col("category_2_amount_mean").isNotNull()).isEmpty()
