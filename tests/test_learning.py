@@ -164,3 +164,34 @@ def test_word_vectors_factorise_the_association_of_neighbours(spark):
     wanted = u[:, :3] * np.sqrt(s[:3])
     for k, words in talks.items():
         assert np.allclose(np.abs(got[k]), np.abs(np.mean([wanted[int(w)] for w in words], axis=0)), atol=1e-6)
+
+
+@pytest.mark.parametrize("full", [0.0, 2.0])
+def test_svd_of_few_categories_joins_no_cells(spark, monkeypatch, full):
+    rng = np.random.default_rng(11)
+    a = rng.random((300, 40)) * (rng.random((300, 40)) < 0.2)
+    i, j = np.nonzero(a)
+    cells = spark.createDataFrame([(int(x), f"c{y:02}", float(a[x, y])) for x, y in zip(i, j)] + [(None, "c00", 9.0), (1, None, 9.0), (999, "c00", None)],
+                                  "k int, c string, x double")
+    joined = factor.svd(cells, "k", "c", "x", components=3, held=0)
+    monkeypatch.setattr(factor, "product", None)
+    monkeypatch.setattr(factor, "FULL", full)
+    found = factor.svd(cells, "k", "c", "x", components=3)
+    assert np.allclose(found.sizes, joined.sizes, rtol=1e-9) and np.allclose(found.sizes, np.linalg.svd(a, compute_uv=False)[:3], rtol=1e-9)
+    for one, other in ((found.scores, joined.scores), (found.loadings, joined.loadings)):
+        one, other = sorted(map(tuple, one.collect())), sorted(map(tuple, other.collect()))
+        assert [r[0] for r in one] == [r[0] for r in other]
+        assert np.allclose(np.abs([r[1:] for r in one]), np.abs([r[1:] for r in other]), rtol=1e-5, atol=1e-7)
+
+
+def test_vectors_of_many_words_and_of_hot_keys_are_those_of_few(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    table = spark.createDataFrame([(None if k == 3 else k, at, str(rng.integers(0, 12))) for k in range(8) for at in range(30)], "k int, at int, w string")
+
+    def vectors(**options):
+        rows = sequences.association_vectors(table, "k", ["w"], ["at"], size=2, **options).collect()
+        return [np.abs(r[1:]) for r in sorted(map(tuple, rows), key=str)]
+
+    few = vectors()
+    monkeypatch.setattr(sequences, "FEW_VECTORS", 0)
+    assert np.allclose(few, vectors()) and np.allclose(few, vectors(hot_rows=20)) and len(few) == 8
