@@ -195,3 +195,12 @@ def test_vectors_of_many_words_and_of_hot_keys_are_those_of_few(spark, monkeypat
     few = vectors()
     monkeypatch.setattr(sequences, "FEW_VECTORS", 0)
     assert np.allclose(few, vectors()) and np.allclose(few, vectors(hot_rows=20)) and len(few) == 8
+
+
+def test_transactions_joined_step_by_step_are_the_same_and_keep_one_step(spark, tmp_path, monkeypatch, sf):
+    plain = views.transactions(spark, sf)
+    monkeypatch.setattr(views, "stage_path", lambda spark, name, made=iter(range(9)): f"{tmp_path}/{name}-{next(made)}")
+    found = views.transactions(spark, sf, stepwise=True)
+    assert [p.name for p in tmp_path.iterdir()] == ["lines-2"]
+    assert found.schema == plain.schema and sorted(map(str, found.collect())) == sorted(map(str, plain.collect()))
+    assert "Exchange" not in found._jdf.queryExecution().executedPlan().toString()
