@@ -105,7 +105,7 @@ def staged_card_features(spark, d):
 
 @query("B10 B25 D12 D48 H9")
 def large_card_features(spark, d):
-    return features.large_features(views.transactions(spark, d), SETTING)
+    return features.large_features(views.transactions(spark, d, stepwise=True), SETTING)
 
 
 @query("D14 D39 D43 D44 D45")

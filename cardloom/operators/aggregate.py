@@ -265,18 +265,18 @@ def group_transform(df: DataFrame, keys: Sequence[str], value: str, stats: Mappi
     return attach(df, stage(renamed, "group_statistics"), keys)
 
 
-def visit_counts(df: DataFrame, value: str = "purchase_amount", hot_rows: int | None = None) -> DataFrame:
+def visit_counts(df: DataFrame, value: str = "purchase_amount", hot_rows: int | None = None, dealt: bool = False) -> DataFrame:
     """Rows per (card, merchant) and per card, on each row.
 
-    Where no card is hot, rows are dealt out by card and counted in windows, one shuffle in all. Otherwise the counts are
-    joined back; that of a card is the sum of its pair counts, so both come from one pass over the rows.
+    Where no card is hot, rows are dealt out by card and counted in windows, one shuffle in all, or none where they are ``dealt``
+    already. Otherwise the counts are joined back; that of a card is the sum of its pair counts, so both come from one pass over the rows.
     """
     card, merchant = F.col("card_id"), F.col("merchant_id")
-    if hot_keys(df, ["card_id"], hot_rows) is None:
+    if dealt or hot_keys(df, ["card_id"], hot_rows) is None:
         def number(*group: str) -> Column:
             return F.count(value).over(Window.partitionBy(*group))
 
-        return df.repartition(card).withColumns({
+        return (df if dealt else df.repartition(card)).withColumns({
             "card_merchant_counts_totals": F.when(card.isNotNull() & merchant.isNotNull(), number("card_id", "merchant_id")),
             "card_visit_counts": F.when(card.isNotNull(), number("card_id"))})
     pairs = stage(df.groupBy("card_id", "merchant_id").agg(F.count(value).alias("card_merchant_counts_totals")), "visits")

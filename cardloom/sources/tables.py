@@ -112,7 +112,8 @@ def stage_by(df: DataFrame, name: str, buckets: int, *keys: str) -> DataFrame:
     path = stage_path(df.sparkSession, name)
     table = path.rsplit("/", 1)[1].replace("-", "_")
     dealt = df.repartition(buckets, *[F.col(k) for k in keys])
-    dealt.write.format("parquet").bucketBy(buckets, *keys).option("path", path).saveAsTable(table)
+    with freed_shuffles(df.sparkSession):
+        dealt.write.format("parquet").bucketBy(buckets, *keys).option("path", path).option("compression", "zstd").saveAsTable(table)
     return df.sparkSession.table(table)
 
 

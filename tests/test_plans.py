@@ -54,3 +54,19 @@ def test_tables_of_bucketed_rows_are_written_before_they_are_joined(spark):
     plain = features.joined(keys, made, "part", replace(setting, buckets=0))
     assert found.columns == plain.columns
     assert sorted(map(tuple, found.collect()), key=str) == sorted(map(tuple, plain.collect()), key=str) and found.count() == 4
+
+
+def test_large_features_of_bucketed_rows_shuffle_no_sums(spark, sf, monkeypatch):
+    rows = views.transactions(spark, sf, stepwise=True).where("card_id % 10 = 1")
+    setting = features.Setting("2001-09-01", "2001-02-28", views.TXN_ORDER, {"fest": "2001-05-13"}, 0.8, -1)
+    plans = []
+    monkeypatch.setattr(features, "stored", lambda df, name, s, kept=features.stored: (plans.append((name, plan(df))), kept(df, name, s))[1])
+    found = features.large_features(rows, setting)
+    shuffled = [name for name, text in plans if "Exchange hashpartitioning" in text]
+    assert {name for name, _ in plans} == {"transactions", "period"} and not shuffled
+    plain = features.large_features(rows, replace(setting, hot_rows=5))
+    assert found.columns == plain.columns
+    got, wanted = ({r["card_id"]: r for r in t.collect()} for t in (found, plain))
+    assert got.keys() == wanted.keys() and len(got) > 10
+    for card, r in got.items():
+        assert all(a == b or abs(a - b) <= 1e-6 * max(abs(a), abs(b), 1) for a, b in zip(r, wanted[card]) if isinstance(a, (int, float)))
