@@ -173,10 +173,10 @@ def test_svd_of_few_categories_joins_no_cells(spark, monkeypatch, full):
     i, j = np.nonzero(a)
     cells = spark.createDataFrame([(int(x), f"c{y:02}", float(a[x, y])) for x, y in zip(i, j)] + [(None, "c00", 9.0), (1, None, 9.0), (999, "c00", None)],
                                   "k int, c string, x double")
-    joined = factor.svd(cells, "k", "c", "x", components=3, held=0)
+    joined = factor.svd(cells, "k", "c", "x", components=3)
     monkeypatch.setattr(factor, "product", None)
     monkeypatch.setattr(factor, "FULL", full)
-    found = factor.svd(cells, "k", "c", "x", components=3)
+    found = factor.svd(cells, "k", "c", "x", components=3, held=factor.HELD)
     assert np.allclose(found.sizes, joined.sizes, rtol=1e-9) and np.allclose(found.sizes, np.linalg.svd(a, compute_uv=False)[:3], rtol=1e-9)
     for one, other in ((found.scores, joined.scores), (found.loadings, joined.loadings)):
         one, other = sorted(map(tuple, one.collect())), sorted(map(tuple, other.collect()))
